@@ -18,11 +18,7 @@ KNOWN_PII: Mapping[str, Callable[..., Column]] = {
     "ssn": masks.mask_ssn,
 }
 
-
-def mask_known_columns(df: DataFrame, level: str | Column = "access_level") -> DataFrame:
-    """Mask every well-known PII column the frame has, in one projection."""
-    seen_by = F.col(level) if isinstance(level, str) else level
-    return df.withColumns({name: fn(F.col(name), seen_by) for name, fn in KNOWN_PII.items() if name in df.columns})
+_LEVEL = "__level"
 
 
 @dataclass(frozen=True)
@@ -37,6 +33,23 @@ class ColumnMask:
         return self.fn(F.col(column), level, **extra)
 
 
+def _under_level(df: DataFrame, level: str | Column, chosen: Mapping[str, ColumnMask]) -> DataFrame:
+    """Mask the chosen columns in one projection.
+
+    A level given as an expression is projected first, so that a subquery behind
+    it is planned once and not once per mask.
+    """
+    if isinstance(level, str):
+        return df.withColumns({name: mask.apply(name, F.col(level)) for name, mask in chosen.items()})
+    held = df.withColumn(_LEVEL, level)
+    return held.withColumns({name: mask.apply(name, F.col(_LEVEL)) for name, mask in chosen.items()}).drop(_LEVEL)
+
+
+def mask_known_columns(df: DataFrame, level: str | Column = "access_level") -> DataFrame:
+    """Mask every well-known PII column the frame has, in one projection."""
+    return _under_level(df, level, {name: ColumnMask(fn) for name, fn in KNOWN_PII.items() if name in df.columns})
+
+
 MaskPolicy = Mapping[str, Mapping[str, ColumnMask]]
 
 DEFAULT_POLICY: MaskPolicy = {
@@ -71,5 +84,4 @@ def apply_policy(
         if on_missing == "keep":
             return df
         raise LookupError(f"no mask policy covers {table_name}")
-    seen_by = F.col(level) if isinstance(level, str) else level
-    return df.withColumns({name: mask.apply(name, seen_by) for name, mask in policy[key].items()})
+    return _under_level(df, level, policy[key])
