@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def clean_name(raw: str) -> str:
@@ -48,3 +49,8 @@ def _numbered(names: list[str]) -> list[str]:
 def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
     """Put a source prefix before every name that does not carry it yet."""
     return df.toDF(*(name if name.startswith(prefix) else prefix + name for name in df.columns))
+
+
+def stamp(df: DataFrame, **values: Column | None) -> DataFrame:
+    """Add bookkeeping columns; a value of None stands for the current time."""
+    return df.withColumns({name: F.current_timestamp() if v is None else v for name, v in values.items()})

@@ -67,13 +67,18 @@ def active_grants(
     return grants.filter((F.col("user_email") == who) & in_force(as_of, respect_granted_at))
 
 
-def _strongest(level: Column) -> Column:
-    """Aggregate: the highest level by precedence; unknown levels count as masked."""
+def _rank(level: Column) -> Column:
+    """Precedence of a level; unknown levels count as masked."""
     rank = F.lit(0)
     for i, name in enumerate(ACCESS_LEVELS):
         rank = F.when(level == name, i).otherwise(rank)
+    return rank
+
+
+def _strongest(level: Column) -> Column:
+    """Aggregate: the highest level by precedence."""
     names = F.array(*(F.lit(name) for name in ACCESS_LEVELS))
-    return F.coalesce(F.get(names, F.max(rank)), F.lit(DEFAULT_LEVEL))
+    return F.coalesce(F.get(names, F.max(_rank(level))), F.lit(DEFAULT_LEVEL))
 
 
 def resolve_level(
@@ -96,3 +101,14 @@ def resolve_all_levels(grants: DataFrame, as_of: Column | None = None) -> DataFr
     """The level of every user that appears in the grants."""
     level = F.when(in_force(as_of), F.col("access_level"))
     return grants.groupBy("user_email").agg(_strongest(level).alias("access_level"))
+
+
+def strongest_grants(grants: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """One grant in force per user: the strongest, of equals the latest.
+
+    A combining aggregate, so a user with very many grants costs one row per task.
+    """
+    shown = ["access_level", "granted_by", "granted_at", "approval_ticket_id"]
+    order = F.struct(_rank(F.col("access_level")).alias("rank"), "granted_at", "approval_ticket_id")
+    best = grants.filter(in_force(as_of)).groupBy("user_email").agg(F.max_by(F.struct(*shown), order).alias("best"))
+    return best.select("user_email", "best.*")

@@ -111,12 +111,45 @@ SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus AS status, o_totalprice
 FROM {orders}
 """
 
-DIRTY_NAMES = """
-SELECT c_custkey AS "  Customer ID  ", c_name AS "Full Name", c_address AS "Email  Address", c_phone AS "phone",
- c_mktsegment AS "Date Of Birth", c_nationkey AS "A   B"
-FROM {customer}
+# Dirty change rows of customers: one per order, several per customer, with ties.
+CRM_CHANGES = """
+SELECT o_custkey AS customer_id, o_orderdate AS changed_at, o_orderkey AS change_id,
+ CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CONCAT(' customer ', CAST(o_custkey AS VARCHAR(20)), ' ') END AS full_name,
+ CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'not-an-email'
+   ELSE CONCAT('user', CAST(o_custkey AS VARCHAR(20)), '@mail.example.com') END AS email,
+ CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN CONCAT('65-', CAST(81000000 + o_custkey AS VARCHAR(20)))
+   ELSE CONCAT('0', CAST(81000000 + o_custkey AS VARCHAR(20))) END AS phone,
+ CASE WHEN o_orderkey % 6 = 0 THEN NULL
+   ELSE CONCAT(' s', LPAD(CAST(o_custkey AS VARCHAR(20)), 7, '0'), 'd') END AS nric,
+ CASE o_orderkey % 3 WHEN 0 THEN 'm' WHEN 1 THEN ' M' ELSE 'unknown' END AS gender,
+ CASE o_custkey % 3 WHEN 0 THEN 'usa' WHEN 1 THEN 'UK' ELSE NULL END AS country,
+ CASE o_orderkey % 4 WHEN 0 THEN NULL
+   ELSE CONCAT('Blk 1 Singapore ', LPAD(CAST(o_custkey AS VARCHAR(20)), 6, '0')) END AS address,
+ o_orderpriority AS segment, o_orderstatus AS status, o_totalprice AS annual_income
+FROM {orders}
+"""
+
+# Price changes of products: one per order line.
+PRICE_CHANGES = """
+SELECT l_partkey AS product_id, l_shipdate AS updated_at, l_orderkey, l_linenumber,
+ CASE WHEN l_quantity < 5 THEN NULL ELSE ROUND(l_extendedprice / l_quantity, 0) END AS price,
+ CASE WHEN l_discount > 0.05 THEN 'low' ELSE 'high' END AS cost,
+ l_returnflag AS availability, l_linestatus AS status, l_tax AS tax
+FROM {lineitem}
 """
 
+# Four tables of one cleansing job: (source table, key, dirty columns).
+MANY_TABLES = {
+    "customer": "SELECT c_custkey AS id, CONCAT(' ', LOWER(c_name)) AS name, c_mktsegment AS code,"
+    " CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'sg' END AS country FROM {customer}",
+    "supplier": "SELECT s_suppkey AS id, CONCAT(LOWER(s_name), ' ') AS name, 'usd' AS currency,"
+    " CASE WHEN s_suppkey % 2 = 0 THEN 'China' ELSE 'Brazil' END AS country FROM {supplier}",
+    "orders": "SELECT o_orderkey AS id, LOWER(o_orderpriority) AS name,"
+    " CASE WHEN o_orderkey % 4 = 0 THEN 'rmb' ELSE 'eur' END AS currency FROM {orders}",
+    "part": "SELECT p_partkey AS id, p_name AS name,"
+    " CASE WHEN p_size > 25 THEN 'Yen' ELSE NULL END AS currency, 'france' AS country FROM {part}",
+}
+
 FIXTURES = {
     "crm_customers": CRM_CUSTOMERS,
     "crm_money": CRM_MONEY,
@@ -124,6 +157,9 @@ FIXTURES = {
     "user_changes": USER_CHANGES,
     "skewed_changes": SKEWED_CHANGES,
     "order_changes": ORDER_CHANGES,
+    "crm_changes": CRM_CHANGES,
+    "price_changes": PRICE_CHANGES,
+    **{f"dirty_{name}": text for name, text in MANY_TABLES.items()},
 }
 
 TABLES = (
