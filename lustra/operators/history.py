@@ -168,7 +168,8 @@ def product_history(
 # --- build -----------------------------------------------------------------
 
 
-def _identified(spec: HistorySpec) -> Column:
+def identified(spec: HistorySpec) -> Column:
+    """Condition for a change row that can be placed: keys and sequence are known."""
     whole = F.col(spec.sequence_by).isNotNull()
     for key in spec.keys:
         whole = whole & F.col(key).isNotNull()
@@ -177,7 +178,7 @@ def _identified(spec: HistorySpec) -> Column:
 
 def rejected_changes(changes: DataFrame, spec: HistorySpec) -> DataFrame:
     """Change rows that cannot be placed: a key or the sequence is NULL."""
-    return changes.filter(~_identified(spec))
+    return changes.filter(~identified(spec))
 
 
 def build_history(
@@ -203,38 +204,48 @@ def mark_deletes(changes: DataFrame, spec: HistorySpec) -> DataFrame:
     return changes.withColumn(DELETED, gone)
 
 
-def walk_changes(changes: DataFrame, spec: HistorySpec, skew: SkewPolicy | None = SkewPolicy()) -> DataFrame:
+def walk_changes(
+    changes: DataFrame,
+    spec: HistorySpec,
+    skew: SkewPolicy | None = SkewPolicy(),
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """The last row of every version and of every key, deletes included.
 
     Adds ``__START_AT``, ``__END_AT``, ``__deleted`` and ``__last`` (no later row
     of the key exists). A column ``__seed_start`` in the input marks rows that
-    resume a version begun earlier.
+    resume a version begun earlier. Rows per key, if the caller has them (as
+    column ``n``), spare a counting pass.
     """
     job = _Walk.over(changes, spec)
-    rows = mark_deletes(changes.filter(_identified(spec)), spec)
-    hot = _hot_keys(rows, spec, skew) if skew else None
+    rows = mark_deletes(changes.filter(identified(spec)), spec)
+    hot, hot_rows = _hot_keys(rows, spec, skew, counts) if skew else (None, 0)
     if hot is None:
         return job.plain(rows)
     keys = list(spec.keys)
-    cold_rows = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    hot_rows = rows.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
-    ranges = math.ceil(hot.agg(F.sum("n")).first()[0] / skew.range_rows) + 1
-    return job.plain(cold_rows).unionByName(job.ranged(hot_rows, ranges))
+    few = F.broadcast(hot)
+    cold = job.plain(rows.join(few, keys, "left_anti"))
+    ranges = math.ceil(hot_rows / skew.range_rows) + 1
+    return cold.unionByName(job.ranged(rows.join(few, keys, "left_semi"), ranges))
 
 
-def _hot_keys(rows: DataFrame, spec: HistorySpec, skew: SkewPolicy) -> DataFrame | None:
-    """Keys too big for one task with their row counts, or None.
+def _hot_keys(
+    rows: DataFrame, spec: HistorySpec, skew: SkewPolicy, counts: DataFrame | None
+) -> tuple[DataFrame | None, int]:
+    """Keys too big for one task, and at least how many rows they have together.
 
     Counts combine before the shuffle, so a hot key costs one row per task here.
     """
-    counts = rows.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    if counts is None:
+        counts = rows.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
+    big = F.when(F.col("n") >= skew.hot_rows, F.col("n"))
+    total, largest, big_total = counts.agg(F.sum("n"), F.max("n"), F.sum(big)).first()
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = max(skew.hot_rows, (total or 0) // partitions)
     if (largest or 0) < limit:
-        return None
+        return None, 0
     ensure_checkpoints(rows.sparkSession)
-    return counts.filter(F.col("n") >= limit).checkpoint()
+    return counts.filter(F.col("n") >= limit).select(*spec.keys).checkpoint(), big_total
 
 
 @dataclass(frozen=True)

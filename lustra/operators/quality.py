@@ -18,7 +18,7 @@ Rules = Mapping[str, Column]
 
 FLAG_COLUMN = "data_quality_flags"
 SCORE_COLUMN = "quality_score"
-_VERDICTS = "__verdicts"
+_VERDICT = "__verdict_"
 
 
 def failed_rule_names(rules: Rules, null_is_failure: bool = False) -> Column:
@@ -62,14 +62,15 @@ def add_flags_and_score(
     """
     if not rules or not (flags or score):
         return df
-    judged = df.withColumn(_VERDICTS, F.struct(*(rule.alias(f"r{i}") for i, rule in enumerate(rules.values()))))
-    verdicts = {name: F.col(f"{_VERDICTS}.r{i}") for i, name in enumerate(rules)}
+    held = {name: f"{_VERDICT}{i}" for i, name in enumerate(rules)}
+    judged = df.withColumns({held[name]: rule for name, rule in rules.items()})
+    verdicts = {name: F.col(column) for name, column in held.items()}
     added = {}
     if flags:
         added[FLAG_COLUMN] = failed_rule_names(verdicts, null_is_failure)
     if score:
         added[SCORE_COLUMN] = passed_share(verdicts)
-    return judged.withColumns(added).drop(_VERDICTS)
+    return judged.withColumns(added).drop(*held.values())
 
 
 def add_rule_columns(df: DataFrame, rules: Rules, prefix: str = "is_valid_") -> DataFrame:

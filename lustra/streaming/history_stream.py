@@ -3,11 +3,11 @@
 Plain parquet has no upsert, so every micro-batch writes folders of its own and
 never touches older ones::
 
-    changes/batch_id=N/kb=B    the batch's change rows, by key bucket
-    versions/batch_id=N/slot=-1  versions the batch closed
+    changes/batch_id=N/kb=B      the batch's change rows, by key bucket
+    changes/batch_id=N/kb=-1     its rows without key or sequence
+    versions/batch_id=N/slot=-1  the versions the batch closed
     versions/batch_id=N/slot=B   the latest row of every key of bucket B
-    rejects/batch_id=N         rows without key or sequence
-    commits/batch_id=N         per bucket, the batch that last wrote it
+    commits/batch_id=N           per bucket, the batch that last wrote it
 
 The latest row of a key (its *tail*) is all that is needed to go on: changes
 newer than it resume from it, so a batch costs its own rows plus the tails of
@@ -38,15 +38,25 @@ from lustra.operators.history import (
     START,
     HistorySpec,
     SkewPolicy,
+    identified,
     mark_deletes,
-    rejected_changes,
     walk_changes,
 )
 from lustra.sources.workspace import ensure_checkpoints
 
 BUCKET, BATCH, SLOT, SINCE = "kb", "batch_id", "slot", "__since"
-_CLOSED_SLOT = -1
-_COMMIT_SCHEMA = f"{BUCKET} int, generation long, rebuilt boolean, {BATCH} long"
+_CLOSED = -1
+_REJECTED = -1
+_BUCKETS = "buckets"
+_COMMIT_SCHEMA = f"{_BUCKETS} array<struct<{BUCKET}: int, generation: bigint, rebuilt: boolean>>"
+
+
+@dataclass(frozen=True)
+class _Generation:
+    """The batch that last wrote a bucket, and whether keys in it were ever rebuilt."""
+
+    batch: int
+    rebuilt: bool
 
 
 @dataclass(frozen=True)
@@ -78,82 +88,75 @@ class StreamedHistory:
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Bring the history up to one batch."""
-        spark = batch.sparkSession
+        spark, columns = batch.sparkSession, batch.schema
         ensure_checkpoints(spark)
-        columns = batch.schema
-        before = self._commit(spark, before=batch_id)
+        state = self._committed(spark, before=batch_id)[1]
         held = self._log_batch(batch, batch_id)
-        touched = sorted(row[0] for row in held.select(BUCKET).distinct().collect())
-        generations = {row[BUCKET]: (row["generation"], row["rebuilt"]) for row in before}
+        touched = [row[0] for row in held.select(BUCKET).distinct().collect()]
         if touched:
-            rebuilt = self._advance(held, columns, batch_id, touched, generations)
+            rebuilt = self._advance(held, columns, batch_id, {b: state[b] for b in touched if b in state})
             for bucket in touched:
-                generations[bucket] = (batch_id, bucket in rebuilt or generations.get(bucket, (0, False))[1])
-        self._write_commit(spark, batch_id, generations)
+                before = state[bucket].rebuilt if bucket in state else False
+                state[bucket] = _Generation(batch_id, before or bucket in rebuilt)
+        rows = [(bucket, g.batch, g.rebuilt) for bucket, g in sorted(state.items())]
+        commit = spark.createDataFrame([(rows,)], _COMMIT_SCHEMA).coalesce(1)
+        commit.write.mode("overwrite").parquet(f"{self.root}/commits/{BATCH}={batch_id}")
 
     def _log_batch(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        """Store the batch and return it as stored, so that its source is read once."""
-        rejects = f"{self.root}/rejects/{BATCH}={batch_id}"
-        rejected_changes(batch, self.spec).write.mode("overwrite").parquet(rejects)
-        whole = F.col(self.spec.sequence_by).isNotNull()
-        for key in self.spec.keys:
-            whole = whole & F.col(key).isNotNull()
-        kept = batch.filter(whole).withColumn(BUCKET, self._bucket())
+        """Store the batch and return what can be placed, so that its source is read once."""
+        placed = F.when(identified(self.spec), self._bucket()).otherwise(F.lit(_REJECTED))
         folder = f"{self.root}/changes/{BATCH}={batch_id}"
-        kept.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
-        return batch.sparkSession.read.schema(_with(batch.schema, f"{BUCKET} int")).parquet(folder)
+        logged = batch.withColumn(BUCKET, placed).hint("rebalance", BUCKET)
+        logged.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        stored = batch.sparkSession.read.schema(_with(batch.schema, f"{BUCKET} int")).parquet(folder)
+        return stored.filter(F.col(BUCKET) != _REJECTED)
 
     def _advance(
-        self,
-        held: DataFrame,
-        columns: T.StructType,
-        batch_id: int,
-        touched: list[int],
-        generations: dict[int, tuple[int, bool]],
+        self, held: DataFrame, columns: T.StructType, batch_id: int, state: dict[int, _Generation]
     ) -> set[int]:
-        """Write the batch's versions; returns the buckets with rebuilt keys."""
+        """Write the batch's versions; returns the buckets in which keys were rebuilt."""
         spark, spec, keys = held.sparkSession, self.spec, list(self.spec.keys)
-        seq = spec.sequence_by
-        tails = self._tails(spark, columns, {b: generations[b][0] for b in touched if b in generations})
-
-        # Per key of the batch: is any of its rows out of order?
-        arrivals = held.groupBy(*keys, BUCKET).agg(F.min(seq).alias("__first"))
-        known = tails.select(*keys, F.col(seq).alias("__tail_seq"), SINCE)
-        late = F.coalesce(F.col("__first") <= F.col("__tail_seq"), F.lit(False))
-        plan = arrivals.join(known, keys, "left").select(
-            *keys, BUCKET, late.alias("__late"), F.when(late, F.lit(batch_id)).otherwise(F.col(SINCE)).alias(SINCE)
-        )
-        plan = plan.checkpoint()
-        rebuilt = {row[0] for row in plan.filter("__late").select(BUCKET).distinct().collect()}
-
-        marks = plan.select(*keys, "__late", SINCE)
-        in_order = marks.filter(~F.col("__late")).drop("__late")
-        resumed = tails.drop(SINCE).join(in_order, keys).withColumn(SEED, F.col(START))
-        fresh = mark_deletes(held.drop(BUCKET), spec).withColumn(SEED, F.lit(None).cast(columns[seq].dataType))
-        work = [resumed]
+        tails = self._tails(spark, columns, state)
+        plan = self._plan(held, tails, batch_id).checkpoint()
+        rebuilt = {row[0] for row in plan.filter("late").select(BUCKET).distinct().collect()}
+
+        unseeded = F.lit(None).cast(columns[spec.sequence_by].dataType)
+        counts = plan.select(*keys, "n", "late")
+        going_on = plan.filter(~F.col("late")).select(*keys, SINCE)
+        fresh = mark_deletes(held, spec).withColumn(SEED, unseeded).join(going_on, keys)
+        resumed = tails.drop(SINCE).withColumn(SEED, F.col(START)).join(going_on, keys)
+        parts = [fresh, resumed]
         if rebuilt:
-            out_of_order = marks.filter("__late").drop("__late")
-            log = mark_deletes(self._log(spark, columns, batch_id, sorted(rebuilt)), spec).withColumn(
-                SEED, F.lit(None).cast(columns[seq].dataType)
+            late = plan.filter("late").select(*keys, SINCE)
+            log = self._log(spark, columns, batch_id, rebuilt).join(late, keys)
+            parts.append(mark_deletes(log, spec).withColumn(SEED, unseeded))
+            counts = counts.filter(~F.col("late")).unionByName(
+                log.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("late"))
             )
-            work += [fresh.join(in_order, keys), log.join(out_of_order, keys)]
-        else:
-            work += [fresh.join(in_order, keys)]
         order = [*columns.names, DELETED, SEED, SINCE]
-        rows = work[0].select(*order)
-        for part in work[1:]:
+        rows = parts[0].select(*order)
+        for part in parts[1:]:
             rows = rows.unionByName(part.select(*order))
 
         walk = replace(spec, transient=(*spec.transient, SINCE))
-        walked = walk_changes(rows, walk, self.skew).withColumn(
-            SLOT, F.when(F.col(LAST), self._bucket()).otherwise(F.lit(_CLOSED_SLOT))
+        walked = walk_changes(rows, walk, self.skew, counts).withColumn(
+            SLOT, F.when(F.col(LAST), self._bucket()).otherwise(F.lit(_CLOSED))
         )
-        untouched = tails.join(marks, keys, "left_anti").withColumns({LAST: F.lit(True), SLOT: self._bucket()})
+        untouched = tails.join(plan, keys, "left_anti").withColumns({LAST: F.lit(True), SLOT: self._bucket()})
         out = walked.unionByName(untouched.select(*walked.columns)).drop(LAST)
         folder = f"{self.root}/versions/{BATCH}={batch_id}"
         out.hint("rebalance", SLOT).write.mode("overwrite").partitionBy(SLOT).parquet(folder)
         return rebuilt
 
+    def _plan(self, held: DataFrame, tails: DataFrame, batch_id: int) -> DataFrame:
+        """One row per key of the batch: its rows, and whether any is not newer than its tail."""
+        keys, seq = list(self.spec.keys), self.spec.sequence_by
+        arrived = held.groupBy(*keys, BUCKET).agg(F.min(seq).alias("first"), F.count(F.lit(1)).alias("n"))
+        known = tails.select(*keys, F.col(seq).alias("newest"), SINCE)
+        late = F.coalesce(F.col("first") <= F.col("newest"), F.lit(False))
+        since = F.when(late, F.lit(batch_id)).otherwise(F.col(SINCE))
+        return arrived.join(known, keys, "left").select(*keys, BUCKET, "n", late.alias("late"), since.alias(SINCE))
+
     # --- stored state ------------------------------------------------------
 
     def _bucket(self) -> Column:
@@ -164,62 +167,61 @@ class StreamedHistory:
         schema = T.StructType(list(columns.fields))
         return schema.add(START, at).add(END, at).add(DELETED, "boolean").add(SINCE, "long")
 
-    def _tails(self, spark: SparkSession, columns: T.StructType, generations: dict[int, int]) -> DataFrame:
-        """The latest row of every key in the given buckets."""
+    def _tails(self, spark: SparkSession, columns: T.StructType, state: dict[int, _Generation]) -> DataFrame:
+        """The latest row of every key in some buckets."""
         schema = self._version_schema(columns)
-        if not generations:
+        if not state:
             return spark.createDataFrame([], schema)
-        folders = [f"{self.root}/versions/{BATCH}={g}/{SLOT}={b}" for b, g in sorted(generations.items())]
+        folders = [f"{self.root}/versions/{BATCH}={g.batch}/{SLOT}={b}" for b, g in sorted(state.items())]
         return spark.read.schema(schema).parquet(*folders)
 
-    def _log(self, spark: SparkSession, columns: T.StructType, batch_id: int, buckets: list[int]) -> DataFrame:
-        """All change rows of some buckets up to a batch."""
+    def _log(self, spark: SparkSession, columns: T.StructType, batch_id: int, buckets: set[int]) -> DataFrame:
+        """All placed change rows of some buckets up to a batch."""
         log = spark.read.schema(_with(columns, f"{BUCKET} int, {BATCH} long")).parquet(f"{self.root}/changes")
-        return log.filter(F.col(BUCKET).isin(buckets) & (F.col(BATCH) <= batch_id)).drop(BUCKET, BATCH)
+        return log.filter(F.col(BUCKET).isin(sorted(buckets)) & (F.col(BATCH) <= batch_id)).drop(BUCKET, BATCH)
 
-    def _commit(self, spark: SparkSession, before: int | None = None) -> list:
-        """The newest commit, or the newest before a batch: one row per bucket."""
+    def _committed(self, spark: SparkSession, before: int | None = None) -> tuple[int, dict[int, _Generation]]:
+        """The newest commit, or the newest before a batch: its id and each bucket's state."""
         try:
-            commits = spark.read.schema(_COMMIT_SCHEMA).parquet(f"{self.root}/commits")
+            commits = spark.read.schema(f"{_COMMIT_SCHEMA}, {BATCH} long").parquet(f"{self.root}/commits")
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
-                return []
+                return -1, {}
             raise
         if before is not None:
             commits = commits.filter(F.col(BATCH) < before)
-        newest = commits.agg(F.max(BATCH)).first()[0]
-        return commits.filter(F.col(BATCH) == newest).collect() if newest is not None else []
-
-    def _write_commit(self, spark: SparkSession, batch_id: int, generations: dict[int, tuple[int, bool]]) -> None:
-        rows = [(bucket, generation, rebuilt) for bucket, (generation, rebuilt) in generations.items()]
-        commit = spark.createDataFrame(rows, f"{BUCKET} int, generation long, rebuilt boolean")
-        commit.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/{BATCH}={batch_id}")
+        newest, buckets = commits.agg(F.max(BATCH), F.max_by(_BUCKETS, BATCH)).first()
+        if newest is None:
+            return -1, {}
+        return newest, {b[BUCKET]: _Generation(b["generation"], b["rebuilt"]) for b in buckets}
 
     # --- reading -----------------------------------------------------------
 
     def read(self, spark: SparkSession, columns: T.StructType) -> DataFrame:
         """The history as of the newest commit; ``columns`` is the change rows' schema."""
-        commit = self._commit(spark)
+        newest, state = self._committed(spark)
         keys = list(self.spec.keys)
         shown = [*keys, *self.spec.stored(columns.names), START, END]
-        tails = self._tails(spark, columns, {row[BUCKET]: row["generation"] for row in commit})
+        tails = self._tails(spark, columns, state)
         still_open = tails.filter(~F.col(DELETED)).select(*shown)
-        if not commit:
+        if not state:
             return still_open
         closed = (
             spark.read.schema(_with(self._version_schema(columns), f"{BATCH} long, {SLOT} int"))
             .parquet(f"{self.root}/versions")
-            .filter((F.col(SLOT) == _CLOSED_SLOT) & (F.col(BATCH) <= commit[0][BATCH]))
+            .filter((F.col(SLOT) == _CLOSED) & (F.col(BATCH) <= newest))
         )
-        if any(row["rebuilt"] for row in commit):
-            void = tails.filter(F.col(SINCE).isNotNull()).select(*keys, F.col(SINCE).alias("__void_before"))
-            matches = [closed[key] == void[key] for key in keys]
-            closed = closed.join(void, [*matches, closed[BATCH] < void["__void_before"]], "left_anti")
+        if any(generation.rebuilt for generation in state.values()):
+            void = tails.filter(F.col(SINCE).isNotNull()).select(*keys, F.col(SINCE).alias("void_before"))
+            same_key = [closed[key] == void[key] for key in keys]
+            closed = closed.join(void, [*same_key, closed[BATCH] < void["void_before"]], "left_anti")
         return closed.select(*shown).unionByName(still_open)
 
     def rejects(self, spark: SparkSession, columns: T.StructType) -> DataFrame:
         """Change rows that could not be placed, with the batch they came in."""
-        return spark.read.schema(_with(columns, f"{BATCH} long")).parquet(f"{self.root}/rejects")
+        newest, _ = self._committed(spark)
+        log = spark.read.schema(_with(columns, f"{BUCKET} int, {BATCH} long")).parquet(f"{self.root}/changes")
+        return log.filter((F.col(BUCKET) == _REJECTED) & (F.col(BATCH) <= newest)).drop(BUCKET)
 
 
 def _with(columns: T.StructType, more: str) -> T.StructType:
