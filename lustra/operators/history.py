@@ -34,10 +34,16 @@ from lustra.sources.workspace import ensure_checkpoints
 
 START, END = "__START_AT", "__END_AT"
 
-# Working columns; none of them leaves this module except DELETED, LAST and SEED.
+# Working columns of callers that continue a history: on input SEED and WATCH,
+# on output the others.
+SEED = "__seed_start"
+WATCH = "__watch"
 DELETED = "__deleted"
 LAST = "__last"
-SEED = "__seed_start"
+CLOSED = "__closed"
+MARK = "__mark"
+
+# Working columns of this module.
 _RANGE = "__range"
 _CARRY = "__carry"
 _BORDER = "__border"
@@ -212,8 +218,10 @@ def walk_changes(
 ) -> DataFrame:
     """The last row of every version and of every key, deletes included.
 
-    Adds ``__START_AT``, ``__END_AT``, ``__deleted`` and ``__last`` (no later row
-    of the key exists). A column ``__seed_start`` in the input marks rows that
+    Adds ``__START_AT``, ``__END_AT`` and ``__deleted``, and says of each row
+    whether it is the key's ``__last``, whether a version is ``__closed`` with it,
+    and whether it is a ``__mark``: the row before the sequence value that the
+    input names in ``__watch``. An input column ``__seed_start`` tells rows that
     resume a version begun earlier. Rows per key, if the caller has them (as
     column ``n``), spare a counting pass.
     """
@@ -261,7 +269,7 @@ class _Walk:
 
     @classmethod
     def over(cls, changes: DataFrame, spec: HistorySpec) -> _Walk:
-        columns = [c for c in changes.columns if c not in (SEED, DELETED)]
+        columns = [c for c in changes.columns if c not in (SEED, WATCH, DELETED)]
         stored = spec.stored(columns)
         return cls(
             spec=spec,
@@ -409,11 +417,16 @@ class _Walk:
             following = F.coalesce(following, F.col(f"{_BORDER}.next"))
             start = F.coalesce(start, F.col(f"{_BORDER}.opening"))
         seen = rows.withColumns({_NEXT: following, START: start})
-        is_last = F.col(_NEXT).isNull()
-        ends_version = ~F.col(DELETED) & F.col(f"{_NEXT}.ends_previous")
-        return seen.filter(is_last | ends_version).select(
-            *self.columns, START, F.col(f"{_NEXT}.at").alias(END), DELETED, is_last.alias(LAST)
+        no, end = F.lit(False), F.col(f"{_NEXT}.at")
+        told = seen.withColumns(
+            {
+                LAST: F.col(_NEXT).isNull(),
+                CLOSED: F.coalesce(~F.col(DELETED) & F.col(f"{_NEXT}.ends_previous"), no),
+                MARK: F.coalesce(end == F.col(WATCH), no) if WATCH in rows.columns else no,
+            }
         )
+        kept = told.filter(F.col(LAST) | F.col(CLOSED) | F.col(MARK))
+        return kept.select(*self.columns, START, end.alias(END), DELETED, LAST, CLOSED, MARK)
 
 
 def history_with_quality(

@@ -5,24 +5,34 @@ never touches older ones::
 
     changes/batch_id=N/kb=B      the batch's change rows, by key bucket
     changes/batch_id=N/kb=-1     its rows without key or sequence
-    versions/batch_id=N/slot=-1  the versions the batch closed
     versions/batch_id=N/slot=B   the latest row of every key of bucket B
+    versions/batch_id=N/slot=-1  the versions the batch closed
+    versions/batch_id=N/slot=-2  the keys whose earlier versions it replaced
+    versions/batch_id=N/slot=-3  the state of those keys just before its late rows
     commits/batch_id=N           per bucket, the batch that last wrote it
 
-The latest row of a key (its *tail*) is all that is needed to go on: changes
-newer than it resume from it, so a batch costs its own rows plus the tails of
-the buckets it touches, however long the history is. A key that receives a row
-not newer than its tail is rebuilt from its change rows; the versions closed for
-it by earlier batches are then void, which the tail records (``__since``).
-
-Batch N reads only what batches before N committed and overwrites its own
-folders, so a replay, after whatever failure, ends in the same state. The commit
-is the last step; readers use the newest one and see one consistent snapshot.
+**Rows in order.** The latest row of a key (its *tail*) is all that is needed to
+go on: newer changes resume from it. A batch costs its own rows plus the tails of
+the buckets it touches, however long the history is.
+
+**Late rows.** A key that receives a row not newer than its tail is repaired: it
+resumes from a state stored before that row and replays the changes since. Such
+states are its tail of ``lookback`` batches ago, still on disk, and the marks that
+repairs in between left just before their own late rows; so a key that is a
+little late in every batch replays a little in every batch. Only a row older than
+all of them has its key rebuilt from all its changes. A repair voids the key's
+closed versions that ended after the point of resumption and were written by
+earlier batches.
+
+**Failures.** Batch N reads only what batches before N committed and overwrites
+its own folders, so a replay, after whatever failure, ends in the same state. The
+commit is the last step; readers use the newest one and see one consistent
+snapshot. A root belongs to one stream checkpoint, whose batch ids it uses.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,11 +41,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lustra.operators.history import (
+    CLOSED,
     DELETED,
     END,
     LAST,
+    MARK,
     SEED,
     START,
+    WATCH,
     HistorySpec,
     SkewPolicy,
     identified,
@@ -44,19 +57,19 @@ from lustra.operators.history import (
 )
 from lustra.sources.workspace import ensure_checkpoints
 
-BUCKET, BATCH, SLOT, SINCE = "kb", "batch_id", "slot", "__since"
-_CLOSED = -1
+BUCKET, BATCH, SLOT = "kb", "batch_id", "slot"
 _REJECTED = -1
-_BUCKETS = "buckets"
-_COMMIT_SCHEMA = f"{_BUCKETS} array<struct<{BUCKET}: int, generation: bigint, rebuilt: boolean>>"
+_CLOSED, _VOIDS, _MARKS = -1, -2, -3
+_COMMIT_SCHEMA = f"buckets array<struct<{BUCKET}: int, generation: bigint>>, repaired boolean"
 
 
-@dataclass(frozen=True)
-class _Generation:
-    """The batch that last wrote a bucket, and whether keys in it were ever rebuilt."""
+@dataclass
+class _Commit:
+    """A batch's end state: the batch that last wrote each bucket, and whether any key was ever repaired."""
 
-    batch: int
-    rebuilt: bool
+    batch_id: int = -1
+    generations: dict[int, int] = field(default_factory=dict)
+    repaired: bool = False
 
 
 @dataclass(frozen=True)
@@ -64,20 +77,17 @@ class StreamedHistory:
     """History of one table under one folder on shared storage.
 
     ``buckets`` bounds how many tails a small batch has to rewrite; a few
-    thousand suit billions of keys.
+    thousand suit billions of keys. ``lookback`` is how many batches late a row
+    may be before its key is rebuilt from all its changes.
     """
 
     root: str
     spec: HistorySpec
     buckets: int = 64
+    lookback: int = 8
     skew: SkewPolicy | None = SkewPolicy()
 
-    def start(
-        self,
-        changes: DataFrame,
-        checkpoint: str,
-        once: bool = True,
-    ) -> StreamingQuery:
+    def start(self, changes: DataFrame, checkpoint: str, once: bool = True) -> StreamingQuery:
         """Feed a stream of change rows into the history."""
         writer = changes.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)
         if once:
@@ -90,17 +100,16 @@ class StreamedHistory:
         """Bring the history up to one batch."""
         spark, columns = batch.sparkSession, batch.schema
         ensure_checkpoints(spark)
-        state = self._committed(spark, before=batch_id)[1]
+        commit = self._committed(spark, batch_id - 1)
         held = self._log_batch(batch, batch_id)
         touched = [row[0] for row in held.select(BUCKET).distinct().collect()]
         if touched:
-            rebuilt = self._advance(held, columns, batch_id, {b: state[b] for b in touched if b in state})
-            for bucket in touched:
-                before = state[bucket].rebuilt if bucket in state else False
-                state[bucket] = _Generation(batch_id, before or bucket in rebuilt)
-        rows = [(bucket, g.batch, g.rebuilt) for bucket, g in sorted(state.items())]
-        commit = spark.createDataFrame([(rows,)], _COMMIT_SCHEMA).coalesce(1)
-        commit.write.mode("overwrite").parquet(f"{self.root}/commits/{BATCH}={batch_id}")
+            tails = self._tails(spark, columns, commit, touched)
+            commit.repaired |= self._advance(held, tails, columns, batch_id)
+            commit.generations.update(dict.fromkeys(touched, batch_id))
+        row = (sorted(commit.generations.items()), commit.repaired)
+        one_file = spark.createDataFrame([row], _COMMIT_SCHEMA).coalesce(1)
+        one_file.write.mode("overwrite").parquet(f"{self.root}/commits/{BATCH}={batch_id}")
 
     def _log_batch(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """Store the batch and return what can be placed, so that its source is read once."""
@@ -111,117 +120,167 @@ class StreamedHistory:
         stored = batch.sparkSession.read.schema(_with(batch.schema, f"{BUCKET} int")).parquet(folder)
         return stored.filter(F.col(BUCKET) != _REJECTED)
 
-    def _advance(
-        self, held: DataFrame, columns: T.StructType, batch_id: int, state: dict[int, _Generation]
-    ) -> set[int]:
-        """Write the batch's versions; returns the buckets in which keys were rebuilt."""
-        spark, spec, keys = held.sparkSession, self.spec, list(self.spec.keys)
-        tails = self._tails(spark, columns, state)
-        plan = self._plan(held, tails, batch_id).checkpoint()
-        rebuilt = {row[0] for row in plan.filter("late").select(BUCKET).distinct().collect()}
-
-        unseeded = F.lit(None).cast(columns[spec.sequence_by].dataType)
-        counts = plan.select(*keys, "n", "late")
-        going_on = plan.filter(~F.col("late")).select(*keys, SINCE)
-        fresh = mark_deletes(held, spec).withColumn(SEED, unseeded).join(going_on, keys)
-        resumed = tails.drop(SINCE).withColumn(SEED, F.col(START)).join(going_on, keys)
-        parts = [fresh, resumed]
-        if rebuilt:
-            late = plan.filter("late").select(*keys, SINCE)
-            log = self._log(spark, columns, batch_id, rebuilt).join(late, keys)
-            parts.append(mark_deletes(log, spec).withColumn(SEED, unseeded))
-            counts = counts.filter(~F.col("late")).unionByName(
-                log.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("late"))
-            )
-        order = [*columns.names, DELETED, SEED, SINCE]
-        rows = parts[0].select(*order)
-        for part in parts[1:]:
-            rows = rows.unionByName(part.select(*order))
-
-        walk = replace(spec, transient=(*spec.transient, SINCE))
-        walked = walk_changes(rows, walk, self.skew, counts).withColumn(
-            SLOT, F.when(F.col(LAST), self._bucket()).otherwise(F.lit(_CLOSED))
+    def _advance(self, held: DataFrame, tails: DataFrame, columns: T.StructType, batch_id: int) -> bool:
+        """Write what the batch changes; says whether keys had to be repaired."""
+        spec, keys, seq = self.spec, list(self.spec.keys), self.spec.sequence_by
+        arrived = held.groupBy(*keys, BUCKET).agg(F.min(seq).alias("first"), F.count(F.lit(1)).alias("n"))
+        known = tails.select(*keys, F.col(seq).alias("newest"))
+        is_late = F.coalesce(F.col("first") <= F.col("newest"), F.lit(False))
+        plan = arrived.join(known, keys, "left").withColumn("late", is_late).drop("newest").checkpoint()
+        late_buckets = [row[0] for row in plan.filter("late").select(BUCKET).distinct().collect()]
+
+        going_on = plan.filter(~F.col("late"))
+        changes = held.drop(BUCKET).join(going_on.select(*keys), keys, "left_semi")
+        seeds = tails.join(going_on.select(*keys), keys, "left_semi")
+        counts = going_on.select(*keys, "n")
+        voids = None
+        if late_buckets:
+            replayed, resumed, voids = self._repair(plan.filter("late"), columns, batch_id, late_buckets)
+            changes, seeds = changes.unionByName(replayed), seeds.unionByName(resumed)
+            counts = counts.unionByName(replayed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+
+        nothing = F.lit(None).cast(columns[seq].dataType)
+        rows = mark_deletes(changes, spec).withColumn(SEED, nothing)
+        rows = rows.unionByName(seeds.withColumn(SEED, F.col(START)).select(*rows.columns))
+        if late_buckets:
+            watched = plan.filter("late").select(*keys, F.col("first").alias(WATCH))
+            rows = rows.join(watched, keys, "left")
+        walked = walk_changes(rows, spec, self.skew, counts)
+        slots = F.array(
+            F.when(F.col(LAST), self._bucket()),
+            F.when(F.col(CLOSED), F.lit(_CLOSED)),
+            F.when(F.col(MARK), F.lit(_MARKS)),
         )
-        untouched = tails.join(plan, keys, "left_anti").withColumns({LAST: F.lit(True), SLOT: self._bucket()})
-        out = walked.unionByName(untouched.select(*walked.columns)).drop(LAST)
+        stored = [*columns.names, START, END, DELETED, SLOT]
+        out = walked.withColumn(SLOT, F.explode(F.array_compact(slots))).select(*stored)
+        untouched = tails.join(plan, keys, "left_anti").withColumn(SLOT, self._bucket())
+        out = out.unionByName(untouched.select(*stored))
+        if voids is not None:
+            out = out.unionByName(voids.withColumn(SLOT, F.lit(_VOIDS)), allowMissingColumns=True)
         folder = f"{self.root}/versions/{BATCH}={batch_id}"
         out.hint("rebalance", SLOT).write.mode("overwrite").partitionBy(SLOT).parquet(folder)
-        return rebuilt
+        return voids is not None
+
+    def _repair(
+        self, late: DataFrame, columns: T.StructType, batch_id: int, buckets: list[int]
+    ) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """For keys with late rows: changes to replay, states to resume from, and what becomes void.
+
+        A void row holds the point of resumption as sequence (NULL for the
+        beginning) and the earliest late row as start.
+        """
+        spark, keys, seq = late.sparkSession, list(self.spec.keys), self.spec.sequence_by
+        floor = self._committed(spark, batch_id - self.lookback)
+        old_tails = self._tails(spark, columns, floor, buckets)
+        written = self._versions(spark, columns).filter((F.col(BATCH) > floor.batch_id) & (F.col(BATCH) < batch_id))
+        marks = written.filter(F.col(SLOT) == _MARKS).drop(SLOT)
+        disturbed = written.filter(F.col(SLOT) == _VOIDS).select(
+            *keys, F.col(START).alias("late_row"), F.col(BATCH).alias("in_batch")
+        )
 
-    def _plan(self, held: DataFrame, tails: DataFrame, batch_id: int) -> DataFrame:
-        """One row per key of the batch: its rows, and whether any is not newer than its tail."""
-        keys, seq = list(self.spec.keys), self.spec.sequence_by
-        arrived = held.groupBy(*keys, BUCKET).agg(F.min(seq).alias("first"), F.count(F.lit(1)).alias("n"))
-        known = tails.select(*keys, F.col(seq).alias("newest"), SINCE)
-        late = F.coalesce(F.col("first") <= F.col("newest"), F.lit(False))
-        since = F.when(late, F.lit(batch_id)).otherwise(F.col(SINCE))
-        return arrived.join(known, keys, "left").select(*keys, BUCKET, "n", late.alias("late"), since.alias(SINCE))
+        # A state holds as long as no later batch brought a row that precedes it.
+        states = old_tails.withColumn(BATCH, F.lit(floor.batch_id)).unionByName(marks)
+        states = states.join(late.select(*keys, "first"), keys).filter(F.col(seq) < F.col("first")).drop("first")
+        same_key = [states[key] == disturbed[key] for key in keys]
+        precedes = (disturbed["in_batch"] > states[BATCH]) & (disturbed["late_row"] <= states[seq])
+        holding = states.join(disturbed, [*same_key, precedes], "left_anti").drop(BATCH)
+        whole_row = F.struct(*(c for c in holding.columns if c not in keys))
+        newest = holding.groupBy(*keys).agg(F.max_by(whole_row, seq).alias("state"))
+
+        # The batches since the floor have all changes newer than the tail of
+        # then, and all changes of keys not known then.
+        known = old_tails.select(*keys, F.col(seq).alias("floor_seq"))
+        after, floor_seq = F.col(f"state.{seq}"), F.col("floor_seq")
+        deep = floor_seq.isNotNull() & (after.isNull() | (after < floor_seq))
+        found = late.join(known, keys, "left").join(newest, keys, "left")
+        repairs = found.select(
+            *keys, BUCKET, "first", deep.alias("deep"), F.when(~deep, F.col("state")).alias("state")
+        ).checkpoint()
+        deep_buckets = [row[0] for row in repairs.filter("deep").select(BUCKET).distinct().collect()]
+
+        shallow = repairs.filter(~F.col("deep")).select(*keys, after.alias("after"))
+        recent = self._log(spark, columns, floor.batch_id, batch_id, buckets).join(shallow, keys)
+        replayed = recent.filter(F.col("after").isNull() | (F.col(seq) > F.col("after"))).drop("after")
+        if deep_buckets:
+            rebuilt = repairs.filter("deep").select(*keys)
+            whole = self._log(spark, columns, -1, batch_id, deep_buckets).join(rebuilt, keys, "left_semi")
+            replayed = replayed.unionByName(whole)
+        resumed = repairs.filter(F.col("state").isNotNull()).select(*keys, "state.*")
+        voids = repairs.select(*keys, after.alias(seq), F.col("first").alias(START))
+        return replayed, resumed, voids
 
     # --- stored state ------------------------------------------------------
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.buckets)).cast("int")
 
-    def _version_schema(self, columns: T.StructType) -> T.StructType:
+    def _row_schema(self, columns: T.StructType) -> T.StructType:
         at = columns[self.spec.sequence_by].dataType
-        schema = T.StructType(list(columns.fields))
-        return schema.add(START, at).add(END, at).add(DELETED, "boolean").add(SINCE, "long")
+        return T.StructType(list(columns.fields)).add(START, at).add(END, at).add(DELETED, "boolean")
 
-    def _tails(self, spark: SparkSession, columns: T.StructType, state: dict[int, _Generation]) -> DataFrame:
-        """The latest row of every key in some buckets."""
-        schema = self._version_schema(columns)
-        if not state:
+    def _versions(self, spark: SparkSession, columns: T.StructType) -> DataFrame:
+        schema = _with(self._row_schema(columns), f"{BATCH} long, {SLOT} int")
+        return spark.read.schema(schema).parquet(f"{self.root}/versions")
+
+    def _tails(self, spark: SparkSession, columns: T.StructType, commit: _Commit, buckets: list[int]) -> DataFrame:
+        """The latest row, as of a commit, of every key in some buckets."""
+        schema = self._row_schema(columns)
+        written = [(b, commit.generations[b]) for b in sorted(buckets) if b in commit.generations]
+        if not written:
             return spark.createDataFrame([], schema)
-        folders = [f"{self.root}/versions/{BATCH}={g.batch}/{SLOT}={b}" for b, g in sorted(state.items())]
+        folders = [f"{self.root}/versions/{BATCH}={batch}/{SLOT}={bucket}" for bucket, batch in written]
         return spark.read.schema(schema).parquet(*folders)
 
-    def _log(self, spark: SparkSession, columns: T.StructType, batch_id: int, buckets: set[int]) -> DataFrame:
-        """All placed change rows of some buckets up to a batch."""
+    def _log(self, spark: SparkSession, columns: T.StructType, after: int, upto: int, buckets: list[int]) -> DataFrame:
+        """The change rows some batches brought for some buckets."""
         log = spark.read.schema(_with(columns, f"{BUCKET} int, {BATCH} long")).parquet(f"{self.root}/changes")
-        return log.filter(F.col(BUCKET).isin(sorted(buckets)) & (F.col(BATCH) <= batch_id)).drop(BUCKET, BATCH)
+        wanted = F.col(BUCKET).isin(sorted(buckets)) & (F.col(BATCH) > after) & (F.col(BATCH) <= upto)
+        return log.filter(wanted).drop(BUCKET, BATCH)
 
-    def _committed(self, spark: SparkSession, before: int | None = None) -> tuple[int, dict[int, _Generation]]:
-        """The newest commit, or the newest before a batch: its id and each bucket's state."""
+    def _committed(self, spark: SparkSession, upto: int | None = None) -> _Commit:
+        """The newest commit, or the newest up to a batch."""
         try:
             commits = spark.read.schema(f"{_COMMIT_SCHEMA}, {BATCH} long").parquet(f"{self.root}/commits")
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
-                return -1, {}
+                return _Commit()
             raise
-        if before is not None:
-            commits = commits.filter(F.col(BATCH) < before)
-        newest, buckets = commits.agg(F.max(BATCH), F.max_by(_BUCKETS, BATCH)).first()
+        if upto is not None:
+            commits = commits.filter(F.col(BATCH) <= upto)
+        newest = commits.agg(F.max_by(F.struct(BATCH, "buckets", "repaired"), BATCH).alias("c")).first()["c"]
         if newest is None:
-            return -1, {}
-        return newest, {b[BUCKET]: _Generation(b["generation"], b["rebuilt"]) for b in buckets}
+            return _Commit()
+        return _Commit(newest[BATCH], {b[BUCKET]: b["generation"] for b in newest["buckets"]}, newest["repaired"])
 
     # --- reading -----------------------------------------------------------
 
     def read(self, spark: SparkSession, columns: T.StructType) -> DataFrame:
         """The history as of the newest commit; ``columns`` is the change rows' schema."""
-        newest, state = self._committed(spark)
-        keys = list(self.spec.keys)
+        commit = self._committed(spark)
+        keys, seq = list(self.spec.keys), self.spec.sequence_by
         shown = [*keys, *self.spec.stored(columns.names), START, END]
-        tails = self._tails(spark, columns, state)
+        tails = self._tails(spark, columns, commit, list(commit.generations))
         still_open = tails.filter(~F.col(DELETED)).select(*shown)
-        if not state:
+        if not commit.generations:
             return still_open
-        closed = (
-            spark.read.schema(_with(self._version_schema(columns), f"{BATCH} long, {SLOT} int"))
-            .parquet(f"{self.root}/versions")
-            .filter((F.col(SLOT) == _CLOSED) & (F.col(BATCH) <= newest))
-        )
-        if any(generation.rebuilt for generation in state.values()):
-            void = tails.filter(F.col(SINCE).isNotNull()).select(*keys, F.col(SINCE).alias("void_before"))
-            same_key = [closed[key] == void[key] for key in keys]
-            closed = closed.join(void, [*same_key, closed[BATCH] < void["void_before"]], "left_anti")
+        written = self._versions(spark, columns).filter(F.col(BATCH) <= commit.batch_id)
+        closed = written.filter(F.col(SLOT) == _CLOSED)
+        if commit.repaired:
+            voids = written.filter(F.col(SLOT) == _VOIDS).select(
+                *keys, F.col(seq).alias("void_after"), F.col(BATCH).alias("voided_by")
+            )
+            replaced = (closed[BATCH] < F.col("voided_by")) & (
+                F.col("void_after").isNull() | (closed[END] > F.col("void_after"))
+            )
+            same_key = [closed[key] == voids[key] for key in keys]
+            closed = closed.join(voids, [*same_key, replaced], "left_anti")
         return closed.select(*shown).unionByName(still_open)
 
     def rejects(self, spark: SparkSession, columns: T.StructType) -> DataFrame:
         """Change rows that could not be placed, with the batch they came in."""
-        newest, _ = self._committed(spark)
         log = spark.read.schema(_with(columns, f"{BUCKET} int, {BATCH} long")).parquet(f"{self.root}/changes")
-        return log.filter((F.col(BUCKET) == _REJECTED) & (F.col(BATCH) <= newest)).drop(BUCKET)
+        upto = self._committed(spark).batch_id
+        return log.filter((F.col(BUCKET) == _REJECTED) & (F.col(BATCH) <= upto)).drop(BUCKET)
 
 
 def _with(columns: T.StructType, more: str) -> T.StructType:

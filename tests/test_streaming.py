@@ -25,22 +25,30 @@ def shown(target, spark, schema):
 
 
 def batches_of(rows, how, n=4):
+    """Cut rows into batches: by time, by time with a little disorder, or at random."""
+    rnd = random.Random(1)
     if how == "in order":
-        placed = sorted(rows, key=lambda r: (r[1] is not None, r[1]))
+        placed = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0))
+    elif how == "nearly":
+        placed = sorted(rows, key=lambda r: (r[1] or 0) + rnd.uniform(0, 25))
     else:
-        placed = random.Random(1).sample(rows, len(rows))
+        placed = rnd.sample(rows, len(rows))
     size = -(-len(placed) // n)
     return [placed[i : i + size] for i in range(0, len(placed), size)]
 
 
-@pytest.mark.parametrize("how", ["in order", "shuffled"])
-@pytest.mark.parametrize("ignore_null", [True, False])
-def test_batches_add_up_to_one_build(spark, tmp_path, how, ignore_null):
+@pytest.mark.parametrize(
+    "how, n, lookback, ignore_null",
+    [("in order", 4, 8, True), ("in order", 4, 8, False), ("nearly", 8, 2, True), ("nearly", 8, 1, False),
+     ("shuffled", 4, 8, True), ("shuffled", 6, 2, True), ("shuffled", 5, 1, False)],
+)
+def test_batches_add_up_to_one_build(spark, tmp_path, how, n, lookback, ignore_null):
     rows = random_changes(seed=11, n=240)
     spec = replace(SPEC, deletes="d", ignore_null=ignore_null)
-    target = StreamedHistory(str(tmp_path / "t"), spec, buckets=3, skew=CUT if how == "shuffled" else None)
+    skew = CUT if (how, n) == ("shuffled", 4) else None
+    target = StreamedHistory(str(tmp_path / "t"), spec, buckets=3, lookback=lookback, skew=skew)
     seen = []
-    for i, batch in enumerate(batches_of(rows, how)):
+    for i, batch in enumerate(batches_of(rows, how, n)):
         seen += batch
         df = spark.createDataFrame(batch, FIELDS)
         target.apply(df, i)
@@ -51,6 +59,24 @@ def test_batches_add_up_to_one_build(spark, tmp_path, how, ignore_null):
     assert rejects.count() == sum(r[0] is None or r[1] is None for r in rows)
 
 
+def test_slightly_late_rows_replay_recent_batches_only(spark, tmp_path, monkeypatch):
+    """One key is a little late in every batch, and is never rebuilt from all its changes."""
+    rows = [(1 + i % 3, i, i, "xy"[i // 7 % 2], i % 5, False) for i in range(140)]
+    target = StreamedHistory(str(tmp_path / "t"), SPEC, buckets=2, lookback=3)
+    reads = []
+    log = StreamedHistory._log
+    monkeypatch.setattr(StreamedHistory, "_log", lambda self, *a: reads.append(a[2:4]) or log(self, *a))
+    late = [r for r in rows if r[0] == 1 and 12 <= r[1] % 20 <= 14]
+    batches = [[r for r in rows if r[1] // 20 == b and r not in late] for b in range(7)]
+    for row in late[:-1]:
+        batches[row[1] // 20 + 1].append(row)
+    batches[-1].append(late[-1])
+    for i, batch in enumerate(batches):
+        target.apply(spark.createDataFrame(batch, FIELDS), i)
+    assert shown(target, spark, spark.createDataFrame(rows, FIELDS).schema) == versions_of(rows)
+    assert reads == [(max(b - 3, -1), b) for b in range(1, 7)]
+
+
 def test_half_written_batch_is_invisible_and_repaired(spark, tmp_path, monkeypatch):
     spec = replace(SPEC, deletes="d")
     rows = random_changes(seed=21, n=200)
