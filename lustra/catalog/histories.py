@@ -15,6 +15,7 @@ from lustra.operators.history import (
     HistorySpec,
     SkewPolicy,
     build_history,
+    by_start,
     current_versions,
     customer_history,
     history_of,
@@ -297,7 +298,7 @@ WHERE user_id IS NULL OR ts IS NULL""",
         f'SELECT * FROM ({_users_sql()}) AS h WHERE user_id = 7 ORDER BY "__START_AT"',
     ),
     "sort_history": Query(
-        lambda spark, sf_dir: user_history(spark, sf_dir).orderBy("__START_AT"), _users_sql()
+        lambda spark, sf_dir: by_start(user_history(spark, sf_dir), USERS), _users_sql()
     ),
     "scd2_stream": Query(streamed_users, _users_sql()),
 }

@@ -466,3 +466,12 @@ def key_history(history: DataFrame, key: Mapping[str, Any]) -> DataFrame:
     for name, value in key.items():
         wanted = wanted & (F.col(name) == value)
     return history.filter(wanted).orderBy(START)
+
+
+def by_start(history: DataFrame, spec: HistorySpec) -> DataFrame:
+    """All versions in order of their start.
+
+    Keys break ties, so that a start shared by very many versions (a bulk load)
+    still sorts in more than one task.
+    """
+    return history.orderBy(START, *spec.keys)

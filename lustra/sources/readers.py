@@ -49,10 +49,18 @@ def stream_csv(
     folder: str,
     schema: T.StructType | None = None,
     max_files_per_batch: int | None = None,
+    misfits: str | None = None,
 ) -> DataFrame:
-    """Bronze stream of a CSV folder: each file once, lineage added, names cleaned."""
+    """Bronze stream of a CSV folder: each file once, lineage added, names cleaned.
+
+    A line that does not fit the schema has NULLs where it does not; ``misfits``
+    names a column that keeps the text of such lines.
+    """
     reader = spark.readStream.option("header", True)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     known = schema if schema is not None else infer_csv_schema(spark, folder)
+    if misfits is not None:
+        known = T.StructType([*known.fields, T.StructField(misfits, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", misfits)
     return normalize_columns(add_lineage(reader.schema(known).csv(folder)))

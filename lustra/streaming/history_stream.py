@@ -129,22 +129,20 @@ class StreamedHistory:
         plan = arrived.join(known, keys, "left").withColumn("late", is_late).drop("newest").checkpoint()
         late_buckets = [row[0] for row in plan.filter("late").select(BUCKET).distinct().collect()]
 
-        going_on = plan.filter(~F.col("late"))
-        changes = held.drop(BUCKET).join(going_on.select(*keys), keys, "left_semi")
-        seeds = tails.join(going_on.select(*keys), keys, "left_semi")
-        counts = going_on.select(*keys, "n")
-        voids = None
+        nothing = F.lit(None).cast(columns[seq].dataType)
+        changes, voids = held.drop(BUCKET), None
+        seeds = tails.join(plan.filter(~F.col("late")).select(*keys), keys, "left_semi")
+        counts = plan.filter(~F.col("late")).select(*keys, "n")
         if late_buckets:
-            replayed, resumed, voids = self._repair(plan.filter("late"), columns, batch_id, late_buckets)
-            changes, seeds = changes.unionByName(replayed), seeds.unionByName(resumed)
+            late = plan.filter("late")
+            changes = changes.join(late.select(*keys), keys, "left_anti").withColumn(WATCH, nothing)
+            replayed, resumed, voids = self._repair(late, columns, batch_id, late_buckets)
+            changes = changes.unionByName(replayed)
+            seeds = seeds.withColumn(WATCH, nothing).unionByName(resumed)
             counts = counts.unionByName(replayed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
 
-        nothing = F.lit(None).cast(columns[seq].dataType)
         rows = mark_deletes(changes, spec).withColumn(SEED, nothing)
         rows = rows.unionByName(seeds.withColumn(SEED, F.col(START)).select(*rows.columns))
-        if late_buckets:
-            watched = plan.filter("late").select(*keys, F.col("first").alias(WATCH))
-            rows = rows.join(watched, keys, "left")
         walked = walk_changes(rows, spec, self.skew, counts)
         slots = F.array(
             F.when(F.col(LAST), self._bucket()),
@@ -198,14 +196,14 @@ class StreamedHistory:
         ).checkpoint()
         deep_buckets = [row[0] for row in repairs.filter("deep").select(BUCKET).distinct().collect()]
 
-        shallow = repairs.filter(~F.col("deep")).select(*keys, after.alias("after"))
+        watch = F.col("first").alias(WATCH)
+        shallow = repairs.filter(~F.col("deep")).select(*keys, after.alias("after"), watch)
         recent = self._log(spark, columns, floor.batch_id, batch_id, buckets).join(shallow, keys)
         replayed = recent.filter(F.col("after").isNull() | (F.col(seq) > F.col("after"))).drop("after")
         if deep_buckets:
-            rebuilt = repairs.filter("deep").select(*keys)
-            whole = self._log(spark, columns, -1, batch_id, deep_buckets).join(rebuilt, keys, "left_semi")
-            replayed = replayed.unionByName(whole)
-        resumed = repairs.filter(F.col("state").isNotNull()).select(*keys, "state.*")
+            rebuilt = repairs.filter("deep").select(*keys, watch)
+            replayed = replayed.unionByName(self._log(spark, columns, -1, batch_id, deep_buckets).join(rebuilt, keys))
+        resumed = repairs.filter(F.col("state").isNotNull()).select(*keys, "state.*", watch)
         voids = repairs.select(*keys, after.alias(seq), F.col("first").alias(START))
         return replayed, resumed, voids
 

@@ -6,6 +6,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from test_history import CUT, FIELDS, SPEC, random_changes, versions_of
 from dataclasses import replace
 
@@ -147,3 +148,14 @@ def test_silver_is_the_same_on_a_stream(spark, tmp_path):
     batch = silver_customers(bronze, at)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_lines_that_do_not_fit_are_kept(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text("The ID,Name\n1,a\nx,b\n")
+    schema = T.StructType.fromDDL("`The ID` int, Name string")
+    stream = stream_csv(spark, str(landing), schema, misfits="misfit")
+    write_stream_table(stream, str(tmp_path / "bronze"), str(tmp_path / "cp")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "bronze")).select("the_id", "name", "misfit").collect()
+    assert sorted(rows, key=str) == [(1, "a", None), (None, "b", "x,b")]
