@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lustra.catalog.base import Query, fixture_sql, over, silver_sql
 from lustra.functions import masks
+from lustra.functions.sql_masks import register_sql_masks
 from lustra.operators.columns import stamp
 from lustra.operators.grants import (
     active_grants,
@@ -251,6 +252,34 @@ def _policy_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked.select("customer_id", "email", "phone", "nric", "address", "ssn", "postal_code")
 
 
+def _sql_masked(user: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        register_sql_masks(spark, fixture(spark, sf_dir, "pii_grants"), F.lit(_address(user)), _as_of())
+        return spark.sql(
+            "SELECT customer_id, mask_email(email) AS email, mask_phone(phone) AS phone, mask_nric(nric) AS nric,"
+            " mask_address(address, postal_code) AS address, mask_ssn(ssn) AS ssn FROM {silver}",
+            silver=add_postal(_cleaned(spark, sf_dir)),
+        )
+
+    return run
+
+
+def _sql_masked_sql(user: str) -> str:
+    shown = [
+        _masked_sql("email", _EMAIL, "***@***"),
+        _masked_sql("phone", _PHONE, "***"),
+        _masked_sql("nric", _NRIC, "***"),
+        _masked_sql("address", _ADDRESS_POSTAL, "***"),
+        _masked_sql("ssn", _SSN, "***"),
+    ]
+    return over(
+        "crm_customers",
+        f"SELECT customer_id, {', '.join(shown)} FROM (SELECT *, {_level_sql(user)} AS access_level"
+        f" FROM ({silver_sql('crm_customers')}) AS s) AS l",
+        "pii_grants",
+    )
+
+
 # --- gold ------------------------------------------------------------------
 
 # Gold reads history; these bounds give every third customer a closed version.
@@ -459,6 +488,9 @@ QUALIFY row_number() OVER (PARTITION BY user_email ORDER BY {_RANK} DESC, grante
             + f" FROM ({silver_sql('crm_customers')}) AS s) AS l",
         ),
     ),
+    "mask_sql_functions": Query(_sql_masked("scientist"), _sql_masked_sql("scientist")),
+    "mask_sql_functions_full": Query(_sql_masked("governance"), _sql_masked_sql("governance")),
+    "mask_sql_functions_masked": Query(_sql_masked("expired"), _sql_masked_sql("expired")),
     "proj_gold": Query(_projected, over("crm_customers", f"SELECT {_PLAIN_GOLD} FROM ({silver_sql('crm_customers')}) AS s")),
     "meta_stamp": Query(
         _stamped,

@@ -28,6 +28,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lustra.operators.silver import SilverSpec, build_silver
 from lustra.sources.workspace import ensure_checkpoints
@@ -429,6 +430,13 @@ class _Walk:
         return kept.select(*self.columns, START, end.alias(END), DELETED, LAST, CLOSED, MARK)
 
 
+def history_schema(changes: T.StructType, spec: HistorySpec) -> T.StructType:
+    """Columns of the history that change rows of a schema produce."""
+    at = changes[spec.sequence_by].dataType
+    named = [changes[name] for name in (*spec.keys, *spec.stored(changes.names))]
+    return T.StructType(named).add(START, at).add(END, at)
+
+
 def history_with_quality(
     changes: DataFrame,
     spec: HistorySpec,

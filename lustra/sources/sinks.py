@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
+def create_table(
+    spark: SparkSession, name: str, schema: T.StructType, path: str | None = None, comment: str | None = None
+) -> None:
+    """Declare a parquet table in the catalog before anything is written to it."""
+    spark.catalog.createTable(name, path=path, source="parquet", schema=schema, description=comment)
+
+
 def write_stream_table(stream: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Append a stream to parquet files, exactly once per source row.
 

@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lustra.operators import history as h
+from lustra.sources.readers import read_table
+from lustra.sources.sinks import create_table
 
 FIELDS = "k int, s int, tie int, a string, b int, d boolean"
 SPEC = h.history_of("t", ["k"], "s", track=("a",), tie_break=("tie",), transient=("tie", "d"))
@@ -182,3 +184,19 @@ def test_presets():
     assert h.product_history(price_changes=False).track is None
     generic = h.history_of("staff", ["id"], track_except=("note",), deletes="gone")
     assert generic.sequence_by == "updated_at" and generic.deletes == "gone" and generic.ignore_null
+
+
+def test_target_table_can_be_declared_first(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1, 0, "x", 1, False)], FIELDS)
+    schema = h.history_schema(df.schema, SPEC)
+    built_history = h.build_history(df, SPEC)
+    assert schema.names == built_history.columns
+    assert [f.dataType for f in schema] == [f.dataType for f in built_history.schema]
+    create_table(spark, "t_silver", schema, path=str(tmp_path / "t"), comment="versions of t")
+    try:
+        assert read_table(spark, "t_silver").count() == 0
+        built_history.write.mode("append").insertInto("t_silver")
+        assert h.current_versions(read_table(spark, "t_silver")).count() == 1
+        assert spark.catalog.getTable("t_silver").description == "versions of t"
+    finally:
+        spark.sql("DROP TABLE t_silver")
