@@ -60,6 +60,7 @@ from lustra.sources.workspace import ensure_checkpoints
 BUCKET, BATCH, SLOT = "kb", "batch_id", "slot"
 _REJECTED = -1
 _CLOSED, _VOIDS, _MARKS = -1, -2, -3
+_BROADCAST_ROWS = 100_000
 _COMMIT_SCHEMA = f"buckets array<struct<{BUCKET}: int, generation: bigint>>, repaired boolean"
 
 
@@ -127,16 +128,16 @@ class StreamedHistory:
         known = tails.select(*keys, F.col(seq).alias("newest"))
         is_late = F.coalesce(F.col("first") <= F.col("newest"), F.lit(False))
         plan = arrived.join(known, keys, "left").withColumn("late", is_late).drop("newest").checkpoint()
-        late_buckets = [row[0] for row in plan.filter("late").select(BUCKET).distinct().collect()]
+        late_per_bucket = dict(plan.filter("late").groupBy(BUCKET).count().collect())
 
         nothing = F.lit(None).cast(columns[seq].dataType)
         changes, voids = held.drop(BUCKET), None
         seeds = tails.join(plan.filter(~F.col("late")).select(*keys), keys, "left_semi")
         counts = plan.filter(~F.col("late")).select(*keys, "n")
-        if late_buckets:
-            late = plan.filter("late")
+        if late_per_bucket:
+            late = _broadcast_if_few(plan.filter("late"), sum(late_per_bucket.values()))
             changes = changes.join(late.select(*keys), keys, "left_anti").withColumn(WATCH, nothing)
-            replayed, resumed, voids = self._repair(late, columns, batch_id, late_buckets)
+            replayed, resumed, voids = self._repair(late, columns, batch_id, late_per_bucket)
             changes = changes.unionByName(replayed)
             seeds = seeds.withColumn(WATCH, nothing).unionByName(resumed)
             counts = counts.unionByName(replayed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
@@ -160,7 +161,7 @@ class StreamedHistory:
         return voids is not None
 
     def _repair(
-        self, late: DataFrame, columns: T.StructType, batch_id: int, buckets: list[int]
+        self, late: DataFrame, columns: T.StructType, batch_id: int, late_per_bucket: dict[int, int]
     ) -> tuple[DataFrame, DataFrame, DataFrame]:
         """For keys with late rows: changes to replay, states to resume from, and what becomes void.
 
@@ -168,6 +169,7 @@ class StreamedHistory:
         beginning) and the earliest late row as start.
         """
         spark, keys, seq = late.sparkSession, list(self.spec.keys), self.spec.sequence_by
+        buckets, n_late = list(late_per_bucket), sum(late_per_bucket.values())
         floor = self._committed(spark, batch_id - self.lookback)
         old_tails = self._tails(spark, columns, floor, buckets)
         written = self._versions(spark, columns).filter((F.col(BATCH) > floor.batch_id) & (F.col(BATCH) < batch_id))
@@ -198,11 +200,13 @@ class StreamedHistory:
 
         watch = F.col("first").alias(WATCH)
         shallow = repairs.filter(~F.col("deep")).select(*keys, after.alias("after"), watch)
-        recent = self._log(spark, columns, floor.batch_id, batch_id, buckets).join(shallow, keys)
+        recent = self._log(spark, columns, floor.batch_id, batch_id, buckets)
+        recent = recent.join(_broadcast_if_few(shallow, n_late), keys)
         replayed = recent.filter(F.col("after").isNull() | (F.col(seq) > F.col("after"))).drop("after")
         if deep_buckets:
-            rebuilt = repairs.filter("deep").select(*keys, watch)
-            replayed = replayed.unionByName(self._log(spark, columns, -1, batch_id, deep_buckets).join(rebuilt, keys))
+            rebuilt = _broadcast_if_few(repairs.filter("deep").select(*keys, watch), n_late)
+            whole = self._log(spark, columns, -1, batch_id, deep_buckets)
+            replayed = replayed.unionByName(whole.join(rebuilt, keys))
         resumed = repairs.filter(F.col("state").isNotNull()).select(*keys, "state.*", watch)
         voids = repairs.select(*keys, after.alias(seq), F.col("first").alias(START))
         return replayed, resumed, voids
@@ -281,5 +285,13 @@ class StreamedHistory:
         return log.filter((F.col(BUCKET) == _REJECTED) & (F.col(BATCH) <= upto)).drop(BUCKET)
 
 
+def _broadcast_if_few(keyed: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a frame of known and small size, so that a hot key on the other side stays spread.
+
+    A larger one is joined as Spark sees fit.
+    """
+    return F.broadcast(keyed) if rows <= _BROADCAST_ROWS else keyed
+
+
 def _with(columns: T.StructType, more: str) -> T.StructType:
     return T.StructType([*columns.fields, *T.StructType.fromDDL(more).fields])
