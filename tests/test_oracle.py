@@ -6,15 +6,15 @@ import pytest
 from oracle import differences
 
 import __spark_entry__ as entry_points
+from lustra.catalog import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = all_queries()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, name):
-    assert differences(spark, QUERIES[name], ORACLE[name], SF_DIR) is None
+    assert differences(spark, QUERIES[name].run, QUERIES[name].sql, SF_DIR) is None
 
 
 def test_entry_returns_rows(spark):
