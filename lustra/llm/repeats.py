@@ -28,8 +28,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lustra.llm.sketch import Seen
+from lustra.llm.stored import stored
 from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, run_starts
-from lustra.sources.workspace import fresh_folder
 
 U64 = np.uint64
 LAST = 2**63 - 1
@@ -229,13 +229,6 @@ def _expanded(kind: Texts):
     return of
 
 
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Written to the shared folder and read again: computed once, whatever executors are lost later."""
-    path = fresh_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def repeated_ranges(
     texts: DataFrame, kind: Texts, seen: Seen, broadcast_bytes: int = 64 << 20
 ) -> DataFrame:
@@ -257,7 +250,7 @@ def repeated_ranges(
         .filter(F.col("kind").isin(_REMOVE, _WINDOW) | (is_ask & (F.col("later") | F.col("shared"))))
         .withColumn("repeat", is_ask & F.col("later"))
     )
-    judged = _stored(judged.select(*_NAMES, "repeat"), "stretches")
+    judged = stored(judged.select(*_NAMES, "repeat"), "stretches")
 
     gone = judged.filter((F.col("kind") == _REMOVE) | F.col("repeat")).select(
         "doc", "rid", "lo", F.when(F.col("repeat"), F.col("n") + (kind.window - 1)).otherwise(F.col("n")).alias("n")
@@ -267,7 +260,7 @@ def repeated_ranges(
         .groupBy("doc", "rid")
         .agg(F.collect_list(F.struct("lo", "n")).alias("asked"))
     )
-    asked = _stored(asked, "asked")
+    asked = stored(asked, "asked")
     size = asked.select(F.sum(F.size("asked") * 8 + 64)).first()[0] or 0
     if size <= broadcast_bytes:
         asked = F.broadcast(asked)
