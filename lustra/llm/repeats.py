@@ -9,8 +9,8 @@ gram in them) form a stretch. Equal windows have equal anchors, so
 * everything else is unique.
 
 Each chunk of texts settles what it can by itself: of equal stretches or windows it
-sends on one, and of an anchor with several stretches only a mark. So a group that is
-compared after the shuffle has at most a row or two per chunk, however many texts share it.
+sends on one, and of an anchor with many stretches only a mark. So a group that is
+compared after the shuffle has at most a few rows per chunk, however many texts share it.
 
 Identities are pairs of 64-bit hashes. A text is known by its doc_id and a hash of
 doc_id and text, so rows that repeat a doc_id don't mix. NULL ids come last.
@@ -36,6 +36,8 @@ LAST = 2**63 - 1
 _REMOVE, _ASK, _MARK, _WINDOW = 0, 1, 2, 3
 _FOUND = "k long, s long, doc long, rid long, lo int, n int, kind byte"
 _NAMES = [part.split()[0] for part in _FOUND.split(", ")]
+#: Different stretches of one anchor that a chunk may send on as they are.
+_FEW = 8
 
 
 @dataclass(frozen=True)
@@ -45,7 +47,7 @@ class Texts:
     symbols: Callable[[Chunk], tuple[np.ndarray, np.ndarray]]
     window: int = 50
     gram: int = 25
-    chunk_bytes: int = 1 << 21
+    chunk_bytes: int = 1 << 20
 
 
 def byte_symbols(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -122,6 +124,8 @@ class _Rows:
         self._gone.append((row, lo, size))
 
     def add(self, kind: int, k: np.ndarray, s: np.ndarray, row: np.ndarray, lo: np.ndarray, n: np.ndarray) -> None:
+        order = np.lexsort((lo, row))  # rows of a text stay together and so compress
+        k, s, row, lo, n = k[order], s[order], row[order], lo[order], n[order]
         self._parts.append((k, s, self._doc[row], self._rid[row], lo, n, np.full(len(k), kind, np.int8)))
 
     def batch(self) -> pa.RecordBatch:
@@ -194,7 +198,7 @@ def _candidates(kind: Texts, seen: Seen):
                 least = doc_id[row][same][np.cumsum(same) - 1]
                 later = doc_id[row] > least
                 out.gone(row[later], (lo - begin[row])[later], n[later] + kind.window - 1)
-                several = np.bincount(np.cumsum(run_starts(k)) - 1, weights=same) > 1
+                several = np.bincount(np.cumsum(run_starts(k)) - 1, weights=same) > _FEW
                 several = several[np.cumsum(run_starts(k)) - 1]
                 alone = ~later & ~several
                 out.add(_ASK, k[alone], s[alone], row[alone], (lo - begin[row])[alone], n[alone])
@@ -245,6 +249,7 @@ def repeated_ranges(
     later = F.col("doc") > F.min("doc").over(stretch)
     judged = (
         texts.mapInArrow(_candidates(kind, seen), _FOUND)
+        .repartition("k")  # serves both windows
         .withColumn("later", later)
         .withColumn("shared", F.coalesce(shared, F.lit(False)))
         .filter(F.col("kind").isin(_REMOVE, _WINDOW) | (is_ask & (F.col("later") | F.col("shared"))))
