@@ -78,8 +78,8 @@ def remove_repeats(
     kind = Texts(byte_symbols, window, q)
     texts = keyed(documents)
     size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    width = sketch_width(2 * size // (window - q + 2), largest=largest_width)
-    seen = seen_twice(texts, anchors(kind), width)
+    width = sketch_width(2 * size // (window - q + 2), load=0.25, largest=largest_width)
+    seen = seen_twice([(texts, anchors(kind))], width)
     ranges = repeated_ranges(texts, kind, seen)
     cut = texts.join(ranges, ["doc", "rid"], "left").mapInArrow(_cut(keep_text), _CUT)
     return cut.select(

@@ -67,7 +67,7 @@ def remove_repeated_windows(
     texts = keyed(documents)
     size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
     width = sketch_width(2 * (size // 5) // (window - gram + 2), load=0.25, largest=largest_width)
-    seen = seen_twice(texts, anchors(kind), width, depth=2)
+    seen = seen_twice([(texts, anchors(kind))], width, depth=2)
     ranges = repeated_ranges(texts, kind, seen)
     cut = texts.join(ranges, ["doc", "rid"], "left").mapInArrow(_cut(keep_text), _CUT)
     return cut.select(id_of(F.col("doc")).alias("doc_id"), "kept", "n_words", "n_removed", "kept_sha256")

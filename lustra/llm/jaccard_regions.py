@@ -221,7 +221,7 @@ def near_duplicates(
     spark = documents.sparkSession
     texts = keyed(documents)
     size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    seen = seen_twice(texts, _shingles(width), sketch_width(size // 6, load=1, largest=largest_width))
+    seen = seen_twice([(texts, _shingles(width))], sketch_width(size // 6, load=1, largest=largest_width))
     sets = stored(texts.mapInArrow(_sets(width, percent, seen), _SETS), "sets")
 
     point = ["f1", "f2", "n"]

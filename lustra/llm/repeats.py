@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lustra.llm.sketch import Seen
+from lustra.llm.sketch import Seen, seen_twice
 from lustra.llm.stored import stored
 from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, run_starts
 
@@ -60,9 +60,15 @@ def word_symbols(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
 
 
 def keyed(documents: DataFrame) -> DataFrame:
-    """``doc`` (NULL as the largest number), ``rid`` and ``text``; all other columns are left behind."""
+    """``doc`` (NULL as the largest number), ``rid`` and ``text``; all other columns are left behind.
+
+    ``rid`` tells rows of one doc_id apart. It is 0 throughout if no doc_id repeats.
+    """
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    return documents.select(doc.alias("doc"), F.xxhash64(doc, "text").alias("rid"), "text")
+    texts = documents.select(doc.alias("doc"), "text")
+    unique = texts.groupBy("doc").count().filter("count > 1").isEmpty()
+    rid = F.lit(0).cast("long") if unique else F.xxhash64("doc", "text")
+    return texts.select("doc", rid.alias("rid"), "text")
 
 
 def stretches(kind: Texts, symbols: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,12 +156,16 @@ def _windows(
     lo: np.ndarray,
     n: np.ndarray,
     out: _Rows,
+    seen: Seen | None = None,
 ) -> None:
     """Single windows of some stretches: of equal ones the least text's goes on, the others are repeats."""
     each = np.repeat(np.arange(len(lo)), n)
     at = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
     k, s = (r.of(at, kind.window) for r in runs)
     row = row[each]
+    if seen is not None:
+        may = seen.twice(k)
+        k, s, row, at = k[may], s[may], row[may], at[may]
     order = np.lexsort((doc_id[row], s, k))
     k, s, row, at = k[order], s[order], row[order], at[order]
     group = np.cumsum(run_starts(k, s)) - 1
@@ -212,31 +222,76 @@ def _candidates(kind: Texts, seen: Seen):
     return of
 
 
-def _expanded(kind: Texts):
-    """Windows of the stretches that need single comparison, from the texts that hold them."""
+def _asked(kind: Texts, batch: pa.RecordBatch):
+    """Of each chunk: its symbols and the stretches whose windows are to be compared singly."""
+    asked = batch.column("asked")
+    for chunk in chunks(batch.column("text"), kind.chunk_bytes):
+        symbols, doc = kind.symbols(chunk)
+        begin = _begins(doc, len(chunk))
+        lists = asked.slice(chunk.first, len(chunk))
+        row = np.repeat(np.arange(len(chunk)), np.diff(lists.offsets.to_numpy()))
+        flat = lists.flatten()
+        lo, n = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+        yield chunk, symbols, begin, row, lo + begin[row], n
+
+
+def _asked_windows(kind: Texts):
+    """Identities of the windows that are to be compared, for a sketch."""
 
     def of(batches):
         for batch in batches:
-            asked = batch.column("asked")
-            for chunk in chunks(batch.column("text"), kind.chunk_bytes):
+            for _, symbols, _, _, lo, n in _asked(kind, batch):
+                each = np.repeat(np.arange(len(lo)), n)
+                at = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+                yield Runs(symbols, 0).of(at, kind.window)
+
+    return of
+
+
+def _sent_windows(batches):
+    """Identities of windows that were sent on before."""
+    for batch in batches:
+        yield batch.column("k").to_numpy().view(U64)
+
+
+def _expanded(kind: Texts, seen: Seen):
+    """Windows of the stretches that need single comparison, where the sketch shows them twice."""
+
+    def of(batches):
+        for batch in batches:
+            for chunk, symbols, begin, row, lo, n in _asked(kind, batch):
                 doc_id, rid = _ids(batch, chunk)
-                symbols, doc = kind.symbols(chunk)
-                begin = _begins(doc, len(chunk))
-                lists = asked.slice(chunk.first, len(chunk))
-                row = np.repeat(np.arange(len(chunk)), np.diff(lists.offsets.to_numpy()))
-                flat = lists.flatten()
-                lo, n = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
                 out = _Rows(doc_id, rid)
-                _windows(kind, (Runs(symbols, 0), Runs(symbols, 1)), begin, doc_id, row, lo + begin[row], n, out)
+                _windows(kind, (Runs(symbols, 0), Runs(symbols, 1)), begin, doc_id, row, lo, n, out, seen)
                 yield out.batch()
 
     return of
 
 
+def _spans(batches):
+    """Ranges of each text without overlaps."""
+    for batch in batches:
+        lists = batch.column("ranges")
+        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        flat = lists.flatten()
+        lo, n = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+        row, lo, n = _joined(row, lo, n)
+        bounds = pa.array(np.searchsorted(row, np.arange(len(lists) + 1)), pa.int32())
+        pairs = pa.StructArray.from_arrays([pa.array(lo, pa.int32()), pa.array(n, pa.int32())], names=["lo", "n"])
+        spans = pa.ListArray.from_arrays(bounds, pairs)
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("rid"), spans], names=["doc", "rid", "ranges"])
+
+
+def if_small(table: DataFrame, pairs: str, bytes_at_most: int) -> DataFrame:
+    """A stored table marked for broadcast if its rows, with the pairs in a list column, are within the bound."""
+    size = table.select(F.sum(F.size(pairs) * 8 + 64)).first()[0] or 0
+    return F.broadcast(table) if size <= bytes_at_most else table
+
+
 def repeated_ranges(
     texts: DataFrame, kind: Texts, seen: Seen, broadcast_bytes: int = 64 << 20
 ) -> DataFrame:
-    """``doc``, ``rid`` and ``ranges`` (start and length in symbols, overlapping) of texts with repeats.
+    """``doc``, ``rid`` and ``ranges`` (start and length in symbols, apart) of texts with repeats.
 
     A stretch or window is repeated if a text with a smaller doc has it. ``seen`` must
     be true for every anchor that occurs twice.
@@ -255,7 +310,11 @@ def repeated_ranges(
         .filter(F.col("kind").isin(_REMOVE, _WINDOW) | (is_ask & (F.col("later") | F.col("shared"))))
         .withColumn("repeat", is_ask & F.col("later"))
     )
-    judged = stored(judged.select(*_NAMES, "repeat"), "stretches")
+    of_window = F.col("kind") == _WINDOW
+    judged = judged.select(
+        *(F.when(of_window, F.col(c)).alias(c) for c in ("k", "s")), *_NAMES[2:], "repeat"
+    )
+    judged = stored(judged, "stretches")
 
     gone = judged.filter((F.col("kind") == _REMOVE) | F.col("repeat")).select(
         "doc", "rid", "lo", F.when(F.col("repeat"), F.col("n") + (kind.window - 1)).otherwise(F.col("n")).alias("n")
@@ -265,19 +324,17 @@ def repeated_ranges(
         .groupBy("doc", "rid")
         .agg(F.collect_list(F.struct("lo", "n")).alias("asked"))
     )
-    asked = stored(asked, "asked")
-    size = asked.select(F.sum(F.size("asked") * 8 + 64)).first()[0] or 0
-    if size <= broadcast_bytes:
-        asked = F.broadcast(asked)
-    single = texts.join(asked, ["doc", "rid"]).mapInArrow(_expanded(kind), _FOUND)
-    single = single.unionByName(judged.filter(F.col("kind") == _WINDOW).select(*_NAMES))
+    asked = texts.join(if_small(stored(asked, "asked"), "asked", broadcast_bytes), ["doc", "rid"])
+    sent = judged.filter(of_window).select(*_NAMES)
+    twice = seen_twice([(asked, _asked_windows(kind)), (sent.select("k"), _sent_windows)], seen.width)
+    single = asked.mapInArrow(_expanded(kind, twice), _FOUND).unionByName(sent)
     single = single.withColumn("least", F.min("doc").over(stretch))
     more = single.filter((F.col("kind") == _REMOVE) | (F.col("doc") > F.col("least"))).select(
         "doc", "rid", "lo", F.when(F.col("kind") == _REMOVE, F.col("n")).otherwise(F.lit(kind.window)).alias("n")
     )
-    return (
-        gone.unionByName(more).groupBy("doc", "rid").agg(F.collect_list(F.struct("lo", "n")).alias("ranges"))
-    )
+    ranges = gone.unionByName(more).groupBy("doc", "rid").agg(F.collect_list(F.struct("lo", "n")).alias("ranges"))
+    spans = ranges.mapInArrow(_spans, "doc long, rid long, ranges array<struct<lo int, n int>>")
+    return if_small(stored(spans, "spans"), "ranges", broadcast_bytes)
 
 
 def covered(ranges: pa.Array | None, size: int) -> np.ndarray:

@@ -10,6 +10,7 @@ broadcast is bounded; past the bound the sketch lets more through but loses noth
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -85,42 +86,44 @@ class Seen:
     """The merged sketch. ``twice`` is true for every value counted twice or more, and for few others."""
 
     def __init__(self, bits: Broadcast, width: int, depth: int):
-        self._bits, self._width, self._depth = bits, width, depth
+        self._bits, self.width, self._depth = bits, width, depth
 
     def twice(self, values: np.ndarray) -> np.ndarray:
         table = self._bits.value
         found = np.ones(len(values), bool)
         for row in range(self._depth):
-            where = cells(values, self._width, row) + row * self._width
+            where = cells(values, self.width, row) + row * self.width
             found &= (table[where >> 3] >> (where & 7).astype(np.uint8)) & 1 == 1
         return found
 
 
-def seen_twice(
-    texts: DataFrame,
-    values_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]],
-    width: int,
-    depth: int = 1,
-) -> Seen:
-    """Sketch the values that ``values_of`` draws from each partition and merge the partitions' sketches.
+Values = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
+
+
+def seen_twice(sources: list[tuple[DataFrame, Values]], width: int, depth: int = 1) -> Seen:
+    """Sketch the values drawn from each partition of the sources and merge the partitions' sketches.
 
     Sketches travel sparse (two bytes a cell), by block, and one task merges a
     block at a time. The driver holds one bit a cell: 32 MB for the widest row.
     """
 
-    def sketched(batches):
-        held, size = [], 0
-        for values in values_of(batches):
-            held.append(values)
-            size += len(values)
-            if size >= _FLUSH:
+    def sketched(values_of: Values):
+        def of(batches):
+            held, size = [], 0
+            for values in values_of(batches):
+                held.append(values)
+                size += len(values)
+                if size >= _FLUSH:
+                    yield _packed(np.concatenate(held), width, depth)
+                    held, size = [], 0
+            if size:
                 yield _packed(np.concatenate(held), width, depth)
-                held, size = [], 0
-        if size:
-            yield _packed(np.concatenate(held), width, depth)
 
+        return of
+
+    rows = [source.mapInArrow(sketched(values_of), _ROWS) for source, values_of in sources]
     merged = (
-        texts.mapInArrow(sketched, _ROWS)
+        reduce(DataFrame.unionByName, rows)
         .repartition(F.col("block"))
         .sortWithinPartitions("block")
         .mapInArrow(_merged, "block long, bits binary")
@@ -129,4 +132,4 @@ def seen_twice(
     for row in merged.collect():
         at = row.block * (_BLOCK // 8)
         table[at : at + _BLOCK // 8] = np.frombuffer(row.bits, np.uint8)
-    return Seen(texts.sparkSession.sparkContext.broadcast(table), width, depth)
+    return Seen(sources[0][0].sparkSession.sparkContext.broadcast(table), width, depth)
