@@ -2,19 +2,36 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lustra.catalog.base import Query
 from lustra.llm.bucket_refinement import remove_repeats
 from lustra.llm.count_min_windows import remove_repeated_windows
+from lustra.llm.jaccard_regions import near_duplicates
+from lustra.llm.nbest_pieces import Pieces, encode
 from lustra.llm.shipping import ship_package
+from lustra.llm.subword_quality import score, train
+from lustra.llm.token_fertility import Vocabulary, token_quality
+
+#: Where the public tokeniser files are, on the driver and the executors alike.
+TOKENIZERS = os.environ.get("LUSTRA_TOKENIZERS", "/opt/tokenizers")
+VOCABULARIES = tuple(Vocabulary(f"{TOKENIZERS}/{f}") for f in ("piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"))
+PIECES = Pieces(f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, fertility measures and the verdict on every document."""
+    ship_package(spark)
+    return token_quality(table(spark, sf_dir, "documents"), VOCABULARIES)
+
+
 def op2_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 50-byte strings that an earlier document holds are removed."""
     ship_package(spark)
@@ -29,7 +46,36 @@ def op5_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four best segmentations of every document, and whether the best decodes to it."""
+    ship_package(spark)
+    encoded = encode(table(spark, sf_dir, "documents"), PIECES, n=4, with_ids=False)
+    return encoded.select("doc_id", "n_pieces", "scores", "ids_sha256", "round_trip")
+
+
+def op7_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    ship_package(spark)
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents; a third of the labels is held out of training."""
+    ship_package(spark)
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = train(documents, labels.filter(~held_out), "quality")
+    scored = score(documents, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_token_fertility": Query(op1_token_fertility),
     "op2_bucket_refinement": Query(op2_bucket_refinement),
     "op5_count_min_windows": Query(op5_count_min_windows),
+    "op6_nbest_pieces": Query(op6_nbest_pieces),
+    "op7_jaccard_regions": Query(op7_jaccard_regions),
+    "op10_subword_quality": Query(op10_subword_quality),
 }
