@@ -31,7 +31,7 @@ class Subwords:
     grams: tuple[int, ...] = (3, 4)
     again: int = 3
     epochs: int = 8
-    least_steps: int = 800
+    least_steps: int = 500
     rate: float = 2.0
     batch: int = 32
     sample_rows: int = 3000
