@@ -11,16 +11,18 @@ regions and the triangle inequality says which of them another region also needs
   always have one in common. A sketch of all shingles comes first: who has under 75 %
   of shingles that occur twice can't link and goes to no region.
 * Inside a region the pivots are documents. Each member measures its distance to
-  every pivot; under 0.25 it is linked with it and shares its component. Members within
-  0.5 of their nearest pivot form its Voronoi region, with all members of other regions
-  that lie at most 2 * 0.25 farther from this pivot than from their own. Those further
-  from all pivots than 0.25 form the region of the rest: who is further than 0.5 can
-  only link with these. Both are split again with four times the pivots.
-* A region is done when its members are in one component. Small ones compare each pair.
+  every pivot and is linked with it up to 0.25. Links join components, and two members
+  of one component need no comparison: only pairs with a member outside the region's
+  largest component are still open. Those outside form the Voronoi regions of their
+  nearest pivots; with them go all members whose distance to the pivot lies within
+  0.25 of theirs, as by the triangle inequality no other can link with them. These
+  regions are split again in the same way.
+* A region is done when its members are in one component. With few members outside
+  the largest component, these are compared with all others.
 
 Pivots leave their region, so every level shrinks it. Distances always are of the
-whole sets. Nothing is sampled; the work for a hot region is one distance per member
-and pivot.
+whole sets, and nothing is sampled. A group of copies costs one distance for each member
+and pivot, not one for each pair.
 """
 
 from __future__ import annotations
@@ -141,67 +143,74 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("x", "y", shared.alias("shared"), (F.size("xt") + F.size("yt") - shared).alias("both"))
 
 
+def _open_regions(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of regions with more than one component; ``minor``: not of the region's largest component.
+
+    Of regions with the very same members one is kept.
+    """
+    placed = members.withColumn("label", F.col("doc"))
+    if labels is not None:
+        joined = members.join(labels, members.doc == labels.node, "left")
+        placed = joined.withColumn("label", F.coalesce("component", "doc")).drop("node", "component")
+    name = F.xxhash64("doc", "rid")
+    parts = placed.groupBy("region", "label").agg(
+        F.count("*").alias("n"), F.bit_xor(name).alias("f1"), F.sum(name.cast("decimal(38,0)")).alias("f2")
+    )
+    sizes = parts.groupBy("region").agg(
+        F.sum("n").alias("size"),
+        F.max(F.struct("n", (-F.col("label")).alias("at"))).alias("largest"),
+        F.bit_xor("f1").alias("f1"),
+        F.sum("f2").alias("f2"),
+    )
+    sizes = sizes.withColumn("minors", F.col("size") - F.col("largest.n")).filter("minors > 0")
+    sizes = sizes.groupBy("size", "f1", "f2").agg(F.min(F.struct("region", "minors", "largest")).alias("one"))
+    kept = sizes.select("one.region", "one.minors", (-F.col("one.largest.at")).alias("major"))
+    return placed.join(kept, "region").withColumn("minor", F.col("label") != F.col("major")).drop("major")
+
+
 def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75, leaf: int = 8) -> DataFrame:
-    """Links ``a``, ``b`` (doc_ids) that connect whatever the whole join would connect.
+    """``node`` and ``component`` (doc_ids) of all documents that link with another.
 
     ``sets`` has one row for each distinct set: doc, rid, toks. ``members`` has region,
     doc, rid, so that any two sets that link share a region.
     """
-    far = 1 - percent / 100
-    links, labels, pivots = None, None, 1
-    members = stored(members, "regions")
+    far, hair = 1 - percent / 100, 1e-9  # fractions are rounded: a hair of slack lets more through, never less
+    node = F.struct("doc", "rid")
+    labels, pivots = None, 1
     while True:
-        placed = members.withColumn("label", F.col("doc"))
-        if labels is not None:
-            placed = (
-                members.join(labels, members.doc == labels.node, "left")
-                .withColumn("label", F.coalesce("component", "doc"))
-                .drop("node", "component")
-            )
-        sizes = placed.groupBy("region").agg(
-            F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")
-        )
-        open_regions = sizes.filter(F.col("low") < F.col("high")).select("region", "size")
-        placed = stored(placed.join(open_regions, "region"), "regions")
+        placed = stored(_open_regions(members, labels), "regions")
         if placed.isEmpty():
             break
-        node = F.struct("doc", "rid")
-        small = placed.filter(F.col("size") <= leaf).select("region", node.alias("x"), F.col("label").alias("xl"))
-        other = small.select("region", F.col("x").alias("y"), F.col("xl").alias("yl"))
-        leaves = small.join(other, "region").filter((F.col("x") < F.col("y")) & (F.col("xl") != F.col("yl")))
-        large = placed.filter(F.col("size") > leaf)
-        chosen = large.groupBy("region", F.pmod(F.xxhash64("doc", "rid", F.lit(pivots)), F.lit(pivots)).alias("c")).agg(
-            F.min(node).alias("y")
-        )
-        measured = large.select("region", node.alias("x")).join(chosen.select("region", "y"), "region")
-        wanted = measured.filter(F.col("x") != F.col("y")).select("x", "y").unionByName(leaves.select("x", "y"))
+        rows = placed.select("region", node.alias("x"), "label", "minor", "minors")
+        small, large = rows.filter(F.col("minors") <= leaf), rows.filter(F.col("minors") > leaf)
+        others = small.filter("minor").select("region", F.col("x").alias("y"), F.col("label").alias("other"))
+        leaves = small.join(others, "region").filter(F.col("label") != F.col("other"))
+        kind = F.pmod(F.xxhash64("x", F.lit(pivots)), F.lit(pivots))
+        chosen = large.filter("minor").groupBy("region", kind.alias("kind")).agg(F.min("x").alias("y"))
+        chosen = chosen.select("region", "y")
+        measured = large.join(chosen, "region").filter(F.col("x") != F.col("y"))
+        wanted = leaves.select("x", "y").unionByName(measured.select("x", "y"))
         wanted = wanted.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         known = stored(_distances(wanted, sets), "distances")
-        found = known.filter(100 * F.col("shared") >= percent * F.col("both")).select(
-            F.col("x.doc").alias("a"), F.col("y.doc").alias("b")
-        )
-        links = found if links is None else links.unionByName(found)
-        labels = connected_components(links)
+        found = known.filter(100 * F.col("shared") >= percent * F.col("both"))
+        found = found.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+        if labels is not None:
+            found = found.unionByName(labels.toDF("a", "b"))
+        labels = connected_components(found)
 
         distance = known.select("x", "y", (1 - F.col("shared") / F.col("both")).alias("d"))
         either = distance.unionByName(distance.select(F.col("y").alias("x"), F.col("x").alias("y"), "d"))
-        ranged = measured.join(chosen.select("region", F.col("y").alias("x"), F.lit(True).alias("pivot")), ["region", "x"], "left")
-        ranged = ranged.filter(F.col("pivot").isNull()).join(either, ["x", "y"])
-        home = ranged.groupBy("region", "x").agg(F.min("d").alias("home"))
-        # sums of rounded fractions: a hair of slack may only let more through
-        hair = 1e-9
-        near = (
-            ranged.join(home, ["region", "x"])
-            .filter((F.col("home") < 2 * far + hair) & (F.col("d") <= F.col("home") + 2 * far + hair))
-            .select(F.xxhash64("region", "y", F.lit(pivots)).alias("region"), "x")
-        )
-        rest = home.filter(F.col("home") >= far - hair).select(
-            F.xxhash64("region", F.lit("rest"), F.lit(pivots)).alias("region"), "x"
+        retired = chosen.select("region", F.col("y").alias("x"))
+        left = measured.join(retired, ["region", "x"], "left_anti").join(either, ["x", "y"])
+        homes = left.filter("minor").groupBy("region", "x").agg(F.min(F.struct("d", "y")).alias("home"))
+        windows = homes.groupBy("region", F.col("home.y").alias("y")).agg(
+            F.min("home.d").alias("low"), F.max("home.d").alias("high")
         )
-        members = stored(near.unionByName(rest).select("region", "x.doc", "x.rid").distinct(), "regions")
-        pivots *= 4
-    spark = sets.sparkSession
-    return links if links is not None else spark.createDataFrame([], "a long, b long")
+        within = F.col("d").between(F.col("low") - far - hair, F.col("high") + far + hair)
+        members = left.join(windows, ["region", "y"]).filter(within)
+        members = members.select(F.xxhash64("region", "y", F.lit(pivots)).alias("region"), "x.doc", "x.rid")
+        pivots = 4
+    return labels if labels is not None else connected_components(members.selectExpr("doc a", "doc b"))
 
 
 def near_duplicates(
@@ -237,12 +246,13 @@ def near_duplicates(
     counts[tally["cell"].to_numpy(np.int64)] = 1 + np.log2(tally["count"].to_numpy(np.float64)).astype(np.uint8)
     counts = spark.sparkContext.broadcast(counts)
     members = points.mapInArrow(_regions(percent, seen, counts), _MEMBERS)
-    links = near_duplicate_links(points, members, percent, leaf)
+    labels = near_duplicate_links(points, stored(members, "regions"), percent, leaf)
 
     several = named.groupBy("doc").agg(F.min("f1").alias("low"), F.max("f1").alias("high"))
     several = named.join(several.filter(F.col("low") < F.col("high")), "doc", "left_semi")
     same_id = several.join(classes, point).select(F.col("doc").alias("a"), F.col("first.doc").alias("b"))
-    labels = connected_components(links.unionByName(same_id))
+    if not same_id.isEmpty():
+        labels = connected_components(labels.toDF("a", "b").unionByName(same_id))
     ids = sets.select("doc", "n", *point[:2]).join(classes, point, "left")
     at = F.coalesce(F.col("first.doc"), F.col("doc"))
     placed = ids.withColumn("at", at).join(labels, F.col("at") == F.col("node"), "left")
