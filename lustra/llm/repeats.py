@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lustra.llm.sketch import Seen, seen_twice
 from lustra.llm.stored import stored
-from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, run_starts
+from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, mixed, run_starts
 
 U64 = np.uint64
 LAST = 2**63 - 1
@@ -137,7 +137,8 @@ class _Rows:
     def batch(self) -> pa.RecordBatch:
         if self._gone:
             row, lo, size = _joined(*(np.concatenate(x) for x in zip(*self._gone)))
-            self.add(_REMOVE, self._rid[row].astype(U64) + lo.astype(U64), np.zeros(len(row), U64), row, lo, size)
+            anywhere = mixed(self._doc[row].astype(U64) ^ mixed(lo.astype(U64)))
+            self.add(_REMOVE, anywhere, np.zeros(len(row), U64), row, lo, size)
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int8())
         columns = [np.concatenate(x) for x in zip(*self._parts)] if self._parts else [np.empty(0, np.int64)] * 7
         arrays = [
