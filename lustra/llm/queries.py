@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from lustra.catalog.base import Query
 from lustra.llm.bucket_refinement import remove_repeats
 from lustra.llm.count_min_windows import remove_repeated_windows
+from lustra.llm.html_blocks import extract_main_text
 from lustra.llm.jaccard_regions import near_duplicates
+from lustra.llm.licence_digests import known_digests, scan_licences
+from lustra.llm.licence_digests import oracle_sql as licence_sql
 from lustra.llm.nbest_pieces import Pieces, encode
+from lustra.llm.qgram_decontamination import contaminated
+from lustra.llm.redirect_filter import judge_urls
 from lustra.llm.shipping import ship_package
 from lustra.llm.subword_quality import score, train
 from lustra.llm.token_fertility import Vocabulary, token_quality
@@ -39,6 +44,21 @@ def op2_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    ship_package(spark)
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op4_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in documents: one row for each document and passage."""
+    ship_package(spark)
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.count("*").alias("n_found"), F.min("distance").alias("distance"), F.min("begin").alias("first_byte")
+    )
+
+
 def op5_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 50-word windows that an earlier document holds are removed."""
     ship_package(spark)
@@ -59,6 +79,16 @@ def op7_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op9_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that documents are, or that their lines name."""
+    return scan_licences(table(spark, sf_dir, "documents"), known_digests(spark))
+
+
 def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents; a third of the labels is held out of training."""
     ship_package(spark)
@@ -74,8 +104,12 @@ def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_fertility": Query(op1_token_fertility),
     "op2_bucket_refinement": Query(op2_bucket_refinement),
+    "op3_html_blocks": Query(op3_html_blocks),
+    "op4_qgram_decontamination": Query(op4_qgram_decontamination),
     "op5_count_min_windows": Query(op5_count_min_windows),
     "op6_nbest_pieces": Query(op6_nbest_pieces),
     "op7_jaccard_regions": Query(op7_jaccard_regions),
+    "op8_redirect_filter": Query(op8_redirect_filter),
+    "op9_licence_digests": Query(op9_licence_digests, licence_sql()),
     "op10_subword_quality": Query(op10_subword_quality),
 }
