@@ -106,7 +106,8 @@ def declared_links(pages: DataFrame) -> DataFrame:
     telling = pages.filter(html.rlike(r"(?i)canonical|refresh") & F.col("url").contains("://")).select(
         "url", F.explode(tags).alias("tag")
     )
-    telling = telling.filter(tag.rlike(r"(?i)canonical|refresh")).distinct()
+    # few rows; stored, as one generated method for all of these steps would be too large
+    telling = stored(telling.filter(tag.rlike(r"(?i)canonical|refresh")).distinct(), "tags")
     goal = r"(?is)^\s*[\d.]*\s*[;,]?\s*url\s*=\s*[\"']?([^\"']*)"
     named = telling.select(
         "url",
@@ -119,9 +120,8 @@ def declared_links(pages: DataFrame) -> DataFrame:
         F.col("equiv") == "refresh", F.col("goal")
     )
     leading = named.withColumn("href", F.trim(F.replace(href, F.lit("&amp;"), F.lit("&")))).filter("href IS NOT NULL")
-    # distinct after each step: fewer rows, and no generated method over the size limit
-    leading = leading.select("url", "href").distinct()
-    ends = _with_parts(leading, "url").select(_node().alias("a"), _target().alias("target")).distinct()
+    leading = stored(leading.select("url", "href"), "targets")
+    ends = stored(_with_parts(leading, "url").select(_node().alias("a"), _target().alias("target")), "ends")
     pairs = _with_parts(ends, "target").select("a", _node().alias("b"))
     return pairs.filter(F.col("a") != F.col("b")).distinct()
 
