@@ -28,60 +28,71 @@ from pyspark.sql import functions as F
 from lustra.llm.repeats import Texts, anchors, byte_symbols, covered, id_of, keyed, repeated_ranges
 from lustra.llm.sketch import seen_twice, sketch_width
 
-_CUT = "doc long, rid long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-
-
-def _cut(with_kept: bool):
-    def of(batches):
-        for batch in batches:
-            rows = {name: [] for name in ("kept", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
-            ranges = batch.column("ranges")
-            for i, text in enumerate(batch.column("text")):
-                text = text.as_buffer() if text.is_valid else b""
-                found = ranges[i]
-                removed = spans = 0
-                data = memoryview(text) if text else b""
-                if found.is_valid:
-                    bad = covered(found.values, len(data))
-                    removed = int(bad.sum())
-                    spans = int(bad[0]) + int((bad[1:] & ~bad[:-1]).sum())
-                    kept = np.frombuffer(data, np.uint8)[~bad].tobytes()
-                else:
-                    kept = data
-                rows["kept"].append(bytes(kept) if with_kept else None)
-                rows["n_bytes"].append(len(data))
-                rows["n_removed"].append(removed)
-                rows["n_spans"].append(spans)
-                rows["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-            types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            arrays = [pa.array(v, t) for v, t in zip(rows.values(), types)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("rid"), *arrays], names=["doc", "rid", *rows]
-            )
-
-    return of
-
-
-def remove_repeats(
-    documents: DataFrame, window: int = 50, q: int = 25, largest_width: int = 1 << 28, keep_text: bool = True
-) -> DataFrame:
-    """Each text without the bytes of ``window``-byte strings that start in a text with a smaller doc_id.
+_DIGEST = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
+def _kept(text: pa.Scalar, ranges: pa.Scalar) -> tuple[memoryview | bytes, int, int]:
+    """What is left of a text, and the bytes and runs removed."""
+    data = memoryview(text.as_buffer()) if text.is_valid and len(text.as_buffer()) else b""
+    if not ranges.is_valid:
+        return data, 0, 0
+    bad = covered(ranges.values, len(data))
+    runs = int(bad[0]) + int((bad[1:] & ~bad[:-1]).sum())
+    return np.frombuffer(data, np.uint8)[~bad].tobytes(), int(bad.sum()), runs
+
+
+def _digests(batches):
+    for batch in batches:
+        rows = []
+        for text, ranges in zip(batch.column("text"), batch.column("ranges")):
+            kept, removed, runs = _kept(text, ranges)
+            rows.append((len(kept) + removed, removed, runs, hashlib.sha256(kept).hexdigest()))
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc"), *columns], names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+        )
+
+
+def _cut(batches):
+    for batch in batches:
+        pairs = zip(batch.column("text"), batch.column("ranges"))
+        texts = [bytes(_kept(*pair)[0]).decode(errors="ignore") for pair in pairs]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+
+
+def _with_ranges(documents: DataFrame, window: int, q: int, largest_width: int, rest: bool) -> DataFrame:
+    """The texts with their repeated ranges (NULL if none), by the three steps above."""
+    kind = Texts(byte_symbols, window, q)
+    texts = keyed(documents, rest)
+    size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    width = sketch_width(2 * size // (window - q + 2), load=0.25, largest=largest_width)
+    plain = texts.select("doc", "rid", "text")
+    seen = seen_twice([(plain, anchors(kind))], width)
+    return texts.join(repeated_ranges(plain, kind, seen), ["doc", "rid"], "left")
+
+
+def repeat_digests(documents: DataFrame, window: int = 50, q: int = 25, largest_width: int = 1 << 28) -> DataFrame:
+    """What is left of each text without ``window``-byte strings that start in a text with a smaller doc_id.
 
     Needs ``doc_id`` and ``text``; further columns are ignored. Returns one row for each
-    input row: doc_id, kept (the remaining bytes, NULL without ``keep_text``), n_bytes,
-    n_removed, n_spans, kept_sha256.
+    input row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (of
+    the remaining bytes).
 
     NULL text is empty. A NULL doc_id counts as larger than all others. Rows with the
     same doc_id are never earlier than each other, so copies under one id stay. Texts
     under ``window`` bytes stay whole. An empty table gives an empty result.
     """
-    kind = Texts(byte_symbols, window, q)
-    texts = keyed(documents)
-    size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    width = sketch_width(2 * size // (window - q + 2), load=0.25, largest=largest_width)
-    seen = seen_twice([(texts, anchors(kind))], width)
-    ranges = repeated_ranges(texts, kind, seen)
-    cut = texts.join(ranges, ["doc", "rid"], "left").mapInArrow(_cut(keep_text), _CUT)
-    return cut.select(
-        id_of(F.col("doc")).alias("doc_id"), "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"
-    )
+    cut = _with_ranges(documents, window, q, largest_width, False).mapInArrow(_digests, _DIGEST)
+    return cut.select(id_of(F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def remove_repeats(documents: DataFrame, window: int = 50, q: int = 25, largest_width: int = 1 << 28) -> DataFrame:
+    """The rows with all their columns and the text that is left; rules as for ``repeat_digests``.
+
+    Characters that a cut splits are dropped whole. NULL text becomes empty. Other columns
+    may have any names and stay as they are.
+    """
+    rows = _with_ranges(documents, window, q, largest_width, True).select("row", "text", "ranges")
+    cut = rows.mapInArrow(_cut, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    return cut.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in documents.columns))

@@ -32,10 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lustra.llm.components import connected_components
-from lustra.llm.repeats import LAST, id_of, keyed
+from lustra.llm.repeats import LAST, id_of, keyed, repeats_ids
 from lustra.llm.sketch import Seen, seen_twice, sketch_width
 from lustra.llm.stored import stored
 from lustra.llm.symbols import Chunk, Runs, chunks, mixed
@@ -261,3 +262,22 @@ def near_duplicates(
         F.col("n").alias("n_shingles"),
         id_of(F.coalesce("component", "at")).alias("component_id"),
     )
+
+
+def one_of_each_group(documents: DataFrame, width: int = 5, percent: int = 75, broadcast_rows: int = 1 << 20) -> DataFrame:
+    """The rows, with all their columns, without those whose component has a smaller doc_id.
+
+    Of rows that share a doc_id the one with the least text stays; all rows with a NULL
+    doc_id stay.
+    """
+    found = near_duplicates(documents, width, percent)
+    extra = stored(found.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct(), "copies")
+    if extra.count() <= broadcast_rows:
+        extra = F.broadcast(extra)
+    kept = documents.join(extra, "doc_id", "left_anti").select(*documents.columns)
+    if not repeats_ids(documents):
+        return kept
+    row = F.struct(*documents.columns)
+    order = W.partitionBy("row.doc_id").orderBy(F.col("row.text").asc_nulls_last())
+    ranked = kept.select(row.alias("row")).withColumn("rank", F.row_number().over(order))
+    return ranked.filter((F.col("rank") == 1) | F.col("row.doc_id").isNull()).select("row.*")

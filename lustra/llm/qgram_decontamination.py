@@ -12,11 +12,13 @@ handed to every executor is bounded however large the benchmark is.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,7 +155,7 @@ def align(passage: bytes, text: bytes, low: int, width: int, most: int) -> tuple
     return int(ends[best]), end - (len(p) - most + int(back.argmin())), end
 
 
-def _regions(index, budget: Budget):
+def _regions(index):
     def of(batches):
         own: _Index = index.value
         for batch in batches:
@@ -207,6 +209,28 @@ def _chunk_regions(chunk: Chunk, index: _Index) -> list[tuple]:
     return rows
 
 
+def _clean(index):
+    def of(batches):
+        for batch in batches:
+            bad = np.zeros(batch.num_rows, bool)
+            for chunk in chunks(batch.column("text"), 1 << 20):
+                bad[[row[0] for row in _chunk_regions(chunk, index.value)]] = True
+            yield batch.filter(pa.array(~bad))
+
+    return of
+
+
+def _blocks(benchmark: DataFrame, budget: Budget, block_bytes: int) -> Iterator[Broadcast]:
+    """The passages' indexes, each of about ``block_bytes`` of passages."""
+    items = benchmark.select("item_id", "text").filter(F.length("text") > 0)
+    size = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = -(-size // block_bytes)
+    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))
+    for block in range(blocks):
+        rows = sorted(((r.item_id, r.text) for r in items.filter(number == block).collect()), key=repr)
+        yield benchmark.sparkSession.sparkContext.broadcast(_Index(rows, budget))
+
+
 def contaminated(
     documents: DataFrame, benchmark: DataFrame, budget: Budget = Budget(), block_bytes: int = 4 << 20
 ) -> DataFrame:
@@ -223,15 +247,16 @@ def contaminated(
     passages match nothing. Repeated rows match each for themselves. Empty tables give an
     empty result.
     """
-    spark = documents.sparkSession
-    items = benchmark.select("item_id", "text").filter(F.length("text") > 0)
-    size = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // block_bytes)
-    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))
-    schema = _FOUND.format(*(t.schema[c].dataType.simpleString() for t, c in ((documents, "doc_id"), (items, "item_id"))))
-    found = []
-    for block in range(blocks):
-        rows = sorted(((r.item_id, r.text) for r in items.filter(number == block).collect()), key=repr)
-        index = spark.sparkContext.broadcast(_Index(rows, budget))
-        found.append(documents.select("doc_id", "text").mapInArrow(_regions(index, budget), schema))
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
+    kinds = (t.schema[c].dataType.simpleString() for t, c in ((documents, "doc_id"), (benchmark, "item_id")))
+    schema, texts = _FOUND.format(*kinds), documents.select("doc_id", "text")
+    found = [texts.mapInArrow(_regions(index), schema) for index in _blocks(benchmark, budget, block_bytes)]
+    return reduce(DataFrame.unionByName, found) if found else documents.sparkSession.createDataFrame([], schema)
+
+
+def clean_texts(
+    documents: DataFrame, benchmark: DataFrame, budget: Budget = Budget(), block_bytes: int = 4 << 20
+) -> DataFrame:
+    """The rows, with all their columns, in which ``contaminated`` finds nothing."""
+    for index in _blocks(benchmark, budget, block_bytes):
+        documents = documents.mapInArrow(_clean(index), documents.schema)
+    return documents

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lustra.catalog.base import Query
-from lustra.llm.bucket_refinement import remove_repeats
+from lustra.llm.bucket_refinement import repeat_digests
 from lustra.llm.count_min_windows import remove_repeated_windows
 from lustra.llm.html_blocks import extract_main_text
 from lustra.llm.jaccard_regions import near_duplicates
@@ -40,8 +40,7 @@ def op1_token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 50-byte strings that an earlier document holds are removed."""
     ship_package(spark)
-    cut = remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return repeat_digests(table(spark, sf_dir, "documents"))
 
 
 def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,16 +59,22 @@ def word_symbols(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return chunk.word_values(starts, ends), doc
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """``doc`` (NULL as the largest number), ``rid`` and ``text``; all other columns are left behind.
+def keyed(documents: DataFrame, rest: bool = False) -> DataFrame:
+    """``doc`` (NULL as the largest number), ``rid`` and ``text``.
 
     ``rid`` tells rows of one doc_id apart. It is 0 throughout if no doc_id repeats.
+    Other columns are left behind, or with ``rest`` packed into the struct ``row``.
     """
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    texts = documents.select(doc.alias("doc"), "text")
-    unique = texts.groupBy("doc").count().filter("count > 1").isEmpty()
-    rid = F.lit(0).cast("long") if unique else F.xxhash64("doc", "text")
-    return texts.select("doc", rid.alias("rid"), "text")
+    others = [F.struct(*(c for c in documents.columns if c != "text")).alias("row")] if rest else []
+    texts = documents.select(doc.alias("doc"), "text", *others)
+    rid = F.xxhash64("doc", "text") if repeats_ids(documents) else F.lit(0).cast("long")
+    return texts.select("doc", rid.alias("rid"), "text", *(["row"] if rest else []))
+
+
+def repeats_ids(documents: DataFrame) -> bool:
+    """Whether several rows have the same doc_id, NULL included."""
+    return not documents.groupBy("doc_id").count().filter("count > 1").isEmpty()
 
 
 def stretches(kind: Texts, symbols: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -275,6 +275,8 @@ def _measured(vocabularies: tuple[Vocabulary, ...], bands: dict[str, dict[str, B
                     out |= {f"{vocabulary.name}_{k}": v for k, v in measured.items()}
                 out |= {"script": np.array(scripts, object), "fits": fits}
                 parts.append(out)
+            if not parts:
+                continue
             names = list(parts[0])
             columns = [np.concatenate([p[n] for p in parts]) for n in names]
             rest = [c for c in batch.schema.names if c not in ("text", "language")]
@@ -285,6 +287,39 @@ def _measured(vocabularies: tuple[Vocabulary, ...], bands: dict[str, dict[str, B
     return of
 
 
+def _good(vocabularies: tuple[Vocabulary, ...], bands: dict[str, dict[str, Band]], language: str | None):
+    measure = _measured(vocabularies, bands)
+
+    def of(batches):
+        for batch in batches:
+            text = batch.column("text")
+            langs = batch.column(language).cast(pa.string()) if language else pa.nulls(len(text), pa.string())
+            only = pa.RecordBatch.from_arrays([text, langs], names=["text", "language"])
+            for measured in measure(iter([only])):
+                n, repeated, fits = (
+                    measured.column(c).to_numpy(zero_copy_only=False) for c in ("n_words", "n_repeat_words", "fits")
+                )
+                yield batch.filter(pa.array(~base_failed(n, repeated) & fits))
+
+    return of
+
+
+def base_failed(n_words, n_repeat_words):
+    """Under 10 words, or over 20 % of the words in repeated 5-word windows; of arrays or columns."""
+    return (n_words < 10) | (100 * n_repeat_words > 20 * n_words)
+
+
+def good_texts(
+    documents: DataFrame,
+    vocabularies: tuple[Vocabulary, ...],
+    bands: dict[str, dict[str, Band]] = BANDS,
+    language: str | None = "lang",
+) -> DataFrame:
+    """The rows, with all their columns, that ``token_quality`` keeps; whatever other columns are called."""
+    known = language if language and language in documents.columns else None
+    return documents.mapInArrow(_good(vocabularies, bands, known), documents.schema)
+
+
 def token_quality(
     documents: DataFrame,
     vocabularies: tuple[Vocabulary, ...],
@@ -309,7 +344,7 @@ def token_quality(
     schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, " + ", ".join(
         [f"{c} long" for c in counts] + [f"`{m}` double" for m in measures] + ["script string", "fits boolean"]
     )
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     measured = texts.mapInArrow(_measured(vocabularies, bands), schema)
     return (
         measured.withColumn("base_failed", failed)
