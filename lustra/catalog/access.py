@@ -16,6 +16,7 @@ from lustra.operators.grants import (
     active_grants,
     in_force,
     level_of,
+    level_with_default,
     resolve_all_levels,
     resolve_level,
     seed_grants,
@@ -135,51 +136,20 @@ def _levelled(user: str):
     return run
 
 
-def _union_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A user's grants and the default in one relation, reduced to the strongest."""
-    grants = fixture(spark, sf_dir, "pii_grants")
-    mine = active_grants(grants, F.lit(_address("expired")), _as_of()).select("access_level")
-    default = spark.range(1).select(F.lit("masked_only").alias("access_level"))
-    either = mine.unionByName(default).agg(F.min("access_level").alias("access_level"))
-    return fixture(spark, sf_dir, "crm_customers").select("customer_id", either.scalar().alias("access_level"))
-
-
-def _exists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Level by uncorrelated existence tests, each run once."""
-    fixture(spark, sf_dir, "pii_grants").createOrReplaceTempView("lustra_grants")
-    fixture(spark, sf_dir, "crm_customers").createOrReplaceTempView("lustra_customers")
-    return spark.sql(_exists_sql("lustra_customers", "lustra_grants", "TIMESTAMP_NTZ"))
-
-
-def _exists_sql(customers: str, grants: str, ts: str) -> str:
-    def granted(level: str) -> str:
-        return (
-            f"EXISTS (SELECT 1 FROM {grants} WHERE user_email = 'both@company.com' AND access_level = '{level}'"
-            f" AND is_active AND (expires_at IS NULL OR expires_at > CAST('{AS_OF}' AS {ts})))"
-        )
-
-    return (
-        f"SELECT customer_id, CASE WHEN {granted('full_access')} THEN ssn WHEN {granted('partial_access')}"
-        f" THEN concat('***-**-', substring(ssn, -4, 4)) ELSE '***' END AS ssn FROM {customers}"
-    )
+def _for_each_user(shown: Callable[[Column], Column], level_for=level_of) -> Callable[[SparkSession, str], DataFrame]:
+    """Something the level decides, for all users side by side, over all customers."""
 
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        grants = fixture(spark, sf_dir, "pii_grants")
+        levels = {f"as_{u}": shown(level_for(grants, F.lit(_address(u)), _as_of())) for u in USERS}
+        return fixture(spark, sf_dir, "crm_customers").select("customer_id", *(c.alias(n) for n, c in levels.items()))
 
-def _cte(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two common table expressions: the user's level, then the rows with it."""
-    fixture(spark, sf_dir, "pii_grants").createOrReplaceTempView("lustra_grants")
-    fixture(spark, sf_dir, "crm_customers").createOrReplaceTempView("lustra_customers")
-    return spark.sql(_cte_sql("lustra_customers", "lustra_grants", "TIMESTAMP_NTZ"))
+    return run
 
 
-def _cte_sql(customers: str, grants: str, ts: str) -> str:
-    return f"""
-WITH user_level AS (
- SELECT coalesce(max({_RANK}), 0) AS rank FROM {grants}
- WHERE user_email = 'scientist@company.com' AND is_active
-  AND (expires_at IS NULL OR expires_at > CAST('{AS_OF}' AS {ts}))
-), levelled AS (SELECT customer_id, status, (SELECT rank FROM user_level) AS rank FROM {customers})
-SELECT customer_id, CASE WHEN rank = 2 THEN status WHEN rank = 1 THEN substring(status, 1, 1) ELSE '***' END AS status
-FROM levelled"""
+def _for_each_user_sql(shown: str) -> str:
+    columns = ", ".join(f"{shown.format(f'({_level_sql(u)})')} AS as_{u}" for u in USERS)
+    return over("crm_customers", f"SELECT customer_id, {columns} FROM crm_customers", "pii_grants")
 
 
 # --- masks -----------------------------------------------------------------
@@ -223,9 +193,9 @@ _PHONE = (
     " ELSE '****' || right(phone, 4) END"
 )
 _NRIC_LITERAL = "substr(nric, 1, 1) || '****' || substr(nric, -3, 3)"
-_NRIC = f"CASE WHEN length(nric) > 4 THEN {_NRIC_LITERAL} ELSE '***' END"
+_NRIC = f"CASE WHEN length(nric) = 9 THEN {_NRIC_LITERAL} ELSE '***' END"
 _SSN_LITERAL = "'***-**-' || substr(ssn, -4, 4)"
-_SSN = f"CASE WHEN length(ssn) > 4 THEN {_SSN_LITERAL} ELSE '***' END"
+_SSN = f"CASE WHEN regexp_matches(ssn, '^([0-9]{{9}}|[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}})$') THEN {_SSN_LITERAL} ELSE '***' END"
 _ADDRESS = r"'*** Singapore ' || regexp_extract(address, '\b(\d{6})\b', 1)"
 _ADDRESS_POSTAL = "'*** Singapore ' || postal_code"
 
@@ -407,15 +377,7 @@ QUALIFY row_number() OVER (PARTITION BY user_email ORDER BY {_RANK} DESC, grante
             " UNION ALL SELECT user_email, 'masked_only' FROM pii_grants",
         ),
     ),
-    "join_access_cross": Query(
-        _levelled("scientist"),
-        over(
-            "crm_customers",
-            f"SELECT customer_id, coalesce(u.access_level, 'masked_only') AS access_level FROM crm_customers CROSS JOIN"
-            f" (SELECT access_level FROM pii_grants WHERE user_email = '{_address('scientist')}' AND {_LIVE} LIMIT 1) AS u",
-            "pii_grants",
-        ),
-    ),
+    "join_access_cross": Query(_for_each_user(lambda level: level), _for_each_user_sql("{0}")),
     "join_access_no_grant": Query(
         _levelled("stranger"),
         over(
@@ -425,15 +387,19 @@ QUALIFY row_number() OVER (PARTITION BY user_email ORDER BY {_RANK} DESC, grante
         ),
     ),
     "join_access_union_default": Query(
-        _union_default,
-        over("crm_customers", "SELECT customer_id, 'masked_only' AS access_level FROM crm_customers"),
+        _for_each_user(lambda level: level, level_with_default), _for_each_user_sql("{0}")
     ),
     "exists_access": Query(
-        _exists, over("crm_customers", _exists_sql("crm_customers", "pii_grants", "TIMESTAMP"), "pii_grants")
+        _for_each_user(lambda level: masks.mask_ssn(F.col("ssn"), level, strict=False)),
+        _for_each_user_sql(
+            f"CASE {{0}} WHEN 'full_access' THEN ssn WHEN 'partial_access' THEN {_SSN_LITERAL} ELSE '***' END"
+        ),
     ),
     "cte": Query(
-        _cte,
-        over("crm_customers", f"SELECT * FROM ({_cte_sql('crm_customers', 'pii_grants', 'TIMESTAMP')}) AS c", "pii_grants"),
+        _for_each_user(lambda level: masks.by_level(level, F.col("status"), F.col("status").substr(1, 1), "***")),
+        _for_each_user_sql(
+            "CASE {0} WHEN 'full_access' THEN status WHEN 'partial_access' THEN substr(status, 1, 1) ELSE '***' END"
+        ),
     ),
     "mask_email": _mask_query("email", masks.mask_email, _EMAIL, "***@***"),
     "mask_email_literal": _mask_query(

@@ -55,7 +55,7 @@ def _lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/customer.parquet").filter("c_acctbal > 0").select("c_custkey", "c_acctbal")
+    return read_table(spark, f"{sf_dir}/customer.parquet").select("c_custkey", "c_acctbal")
 
 
 def _table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,11 +156,12 @@ QUERIES = {
         _csv_stream,
         over(
             "crm_customers",
-            f"SELECT {', '.join(_CRM_SHOWN)}, true AS ingested_file, true AS ingestion_ts FROM crm_customers",
+            f"SELECT {', '.join(_CRM_SHOWN)}, true AS ingested_file, true AS ingestion_ts,"
+            " CAST(NULL AS VARCHAR) AS misfit_line FROM crm_customers",
         ),
     ),
     "src_lineage": Query(_lineage, "SELECT c_custkey, true AS from_file, true AS stamped FROM customer"),
-    "src_table": Query(_table, "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0"),
+    "src_table": Query(_table, "SELECT c_custkey, c_acctbal FROM customer"),
     "src_table_stream": Query(
         _table_stream,
         over(

@@ -35,6 +35,11 @@ def _last(value: Column, n: int) -> Column:
     return value.substr(-n, n)
 
 
+#: Lengths and shapes a whole value has.
+NRIC_LENGTH = 9
+SSN_SHAPE = "^([0-9]{9}|[0-9]{3}-[0-9]{2}-[0-9]{4})$"
+
+
 def _shown_if(fits: Column, partial: Column, hidden: str) -> Column:
     return F.when(fits, partial).otherwise(F.lit(hidden))
 
@@ -63,18 +68,18 @@ def mask_phone(phone: Column, level: Column, strict: bool = True) -> Column:
 
 
 def mask_nric(nric: Column, level: Column, strict: bool = True) -> Column:
-    """First letter and last three characters."""
+    """First letter and last three characters; strict hides what has not the nine characters of a number."""
     partial = F.concat(nric.substr(1, 1), F.lit(NRIC_FILLER), _last(nric, 3))
     if strict:
-        partial = _shown_if(F.length(nric) > 4, partial, HIDDEN)
+        partial = _shown_if(F.length(nric) == NRIC_LENGTH, partial, HIDDEN)
     return by_level(level, nric, partial, HIDDEN)
 
 
 def mask_ssn(ssn: Column, level: Column, strict: bool = True) -> Column:
-    """Last four digits."""
+    """Last four digits; strict hides what has not the shape of a number."""
     partial = F.concat(F.lit(SSN_FILLER), _last(ssn, 4))
     if strict:
-        partial = _shown_if(F.length(ssn) > 4, partial, HIDDEN)
+        partial = _shown_if(ssn.rlike(SSN_SHAPE), partial, HIDDEN)
     return by_level(level, ssn, partial, HIDDEN)
 
 

@@ -17,9 +17,11 @@ from lustra.functions.masks import (
     HIDDEN,
     HIDDEN_EMAIL,
     NRIC_FILLER,
+    NRIC_LENGTH,
     PHONE_FILLER,
     SHORTEST_PHONE,
     SSN_FILLER,
+    SSN_SHAPE,
 )
 from lustra.functions.standardize import HOME_PREFIX
 from lustra.operators.grants import resolve_level
@@ -43,11 +45,11 @@ _FUNCTIONS = {
     ),
     "mask_nric": (
         ["nric"],
-        f"if(length(nric) > 4, concat(left(nric, 1), '{NRIC_FILLER}', right(nric, 3)), '{HIDDEN}')",
+        f"if(length(nric) = {NRIC_LENGTH}, concat(left(nric, 1), '{NRIC_FILLER}', right(nric, 3)), '{HIDDEN}')",
         HIDDEN,
     ),
     "mask_address": (["address", "postal_code"], f"concat('{ADDRESS_FILLER}', postal_code)", HIDDEN),
-    "mask_ssn": (["ssn"], f"if(length(ssn) > 4, concat('{SSN_FILLER}', right(ssn, 4)), '{HIDDEN}')", HIDDEN),
+    "mask_ssn": (["ssn"], f"if(ssn RLIKE '{SSN_SHAPE}', concat('{SSN_FILLER}', right(ssn, 4)), '{HIDDEN}')", HIDDEN),
 }
 
 

@@ -97,6 +97,15 @@ def level_of(grants: DataFrame, user: Column | None = None, as_of: Column | None
     return resolve_level(grants, user, as_of).scalar()
 
 
+def level_with_default(
+    grants: DataFrame, user: Column | None = None, as_of: Column | None = None, default: str = DEFAULT_LEVEL
+) -> Column:
+    """One user's level where everyone also holds a default: the strongest of grants and default."""
+    mine = active_grants(grants, user, as_of).select("access_level")
+    floor = grants.sparkSession.range(1).select(F.lit(default).alias("access_level"))
+    return mine.unionByName(floor).agg(_strongest(F.col("access_level")).alias("access_level")).scalar()
+
+
 def resolve_all_levels(grants: DataFrame, as_of: Column | None = None) -> DataFrame:
     """The level of every user that appears in the grants."""
     level = F.when(in_force(as_of), F.col("access_level"))

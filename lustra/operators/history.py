@@ -22,6 +22,7 @@ what has to cross a border, so no key is ever held by one task.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
@@ -59,7 +60,7 @@ class HistorySpec:
     ``track`` or ``track_except`` choose the columns whose change opens a
     version; with neither, all but keys, sequence and transient ones do.
     ``transient`` columns serve ordering and deletes but are not stored.
-    ``lenient`` drops tracked names the data lacks instead of raising.
+    ``lenient`` drops tracked names the data lacks, with a warning, but raises if none is left.
     """
 
     target: str
@@ -90,14 +91,19 @@ class HistorySpec:
         if unknown and not (self.lenient and set(unknown) <= set(named or ())):
             raise ValueError(f"{self.target}: no such columns: {', '.join(unknown)}")
         if self.track is not None:
-            return [c for c in self.track if c in columns]
+            found = [c for c in self.track if c in columns]
+            if not found:
+                raise ValueError(f"{self.target}: none of the tracked columns is there: {', '.join(self.track)}")
+            if unknown:
+                warnings.warn(f"{self.target}: not there, so not tracked: {', '.join(unknown)}", stacklevel=2)
+            return found
         skipped = {self.sequence_by, *(self.track_except or ())}
         return [c for c in self.stored(columns) if c not in skipped]
 
     def tie_order(self, columns: list[str]) -> list[str]:
         """The tie-break, made total by all remaining columns."""
         rest = [c for c in columns if c not in (*self.keys, self.sequence_by, *self.tie_break)]
-        return [*self.tie_break, *(rest if not self.tie_break else ())]
+        return [*self.tie_break, *rest]
 
 
 @dataclass(frozen=True)

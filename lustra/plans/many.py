@@ -6,14 +6,23 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 from lustra.operators.silver import SilverSpec, build_silver
 
 
+class TablesFailed(RuntimeError):
+    """What went wrong, by table."""
+
+    def __init__(self, errors: dict[str, Exception]):
+        self.errors = dict(sorted(errors.items()))
+        super().__init__("; ".join(f"{name}: {error}" for name, error in self.errors.items()))
+
+
 @dataclass(frozen=True)
 class TableJob:
-    """A source table, its recipe and where the result goes."""
+    """A source table and its recipe."""
 
     name: str
     spec: SilverSpec
@@ -32,10 +41,19 @@ def run_silver(
 ) -> None:
     """Build and write every table, a few Spark jobs side by side.
 
-    Small tables leave executors idle when written one by one. The first error
-    is raised after the tables already started have finished.
+    Small tables leave executors idle when written one by one. Every table is tried;
+    those that fail, in planning or writing, are raised together at the end.
     """
-    planned = plan_silver(jobs, read)
+    failed: dict[str, Exception] = {}
+
+    def one(job: TableJob) -> None:
+        try:
+            write(job.name, build_silver(read(job.name), job.spec))
+        except Exception as error:
+            failed[job.name] = error
+
     with ThreadPoolExecutor(at_once) as pool:
-        for outcome in [pool.submit(write, name, df) for name, df in planned.items()]:
-            outcome.result()
+        # the target carries the caller's job group and local properties into the thread
+        list(pool.map(inheritable_thread_target(SparkSession.active())(one), jobs))
+    if failed:
+        raise TablesFailed(failed)

@@ -24,14 +24,13 @@ def stream_table(spark: SparkSession, name_or_path: str, schema: T.StructType |
     return spark.readStream.schema(known).parquet(name_or_path)
 
 
-def infer_csv_schema(spark: SparkSession, folder: str, sample: float = 1.0) -> T.StructType:
-    """Column types of the CSV files there now.
+def infer_csv_schema(spark: SparkSession, folder: str) -> T.StructType:
+    """Column types of the CSV files there now, from all of their lines.
 
-    Inference reads the data once; ``sample`` limits how much of it is parsed,
-    and a job at scale passes a declared schema to :func:`stream_csv` instead.
+    Inference reads the data once; a job at scale passes a declared schema to
+    :func:`stream_csv` instead.
     """
-    reader = spark.read.option("header", True).option("inferSchema", True).option("samplingRatio", sample)
-    return reader.csv(folder).schema
+    return spark.read.option("header", True).option("inferSchema", True).csv(folder).schema
 
 
 def add_lineage(df: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -49,14 +48,16 @@ def stream_csv(
     folder: str,
     schema: T.StructType | None = None,
     max_files_per_batch: int | None = None,
-    misfits: str | None = None,
+    misfits: str | None = "misfit_line",
 ) -> DataFrame:
     """Bronze stream of a CSV folder: each file once, lineage added, names cleaned.
 
-    A line that does not fit the schema has NULLs where it does not; ``misfits``
-    names a column that keeps the text of such lines.
+    A file whose header names other columns than the schema, or in another order, fails
+    the stream: values never land under a wrong name. A line with values of another
+    type, or with more or fewer of them, has NULLs where it does not fit, and its whole
+    text in the column ``misfits``; only with ``misfits=None`` is it lost.
     """
-    reader = spark.readStream.option("header", True)
+    reader = spark.readStream.option("header", True).option("enforceSchema", False)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     known = schema if schema is not None else infer_csv_schema(spark, folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +29,37 @@ def write_stream_table(stream: DataFrame, path: str, checkpoint: str, once: bool
 
 
 def store(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Recompute and replace a stored result, then return it as stored."""
-    writer = df.write.mode("overwrite")
+    """Recompute and replace a stored result, then return it as stored.
+
+    The new result is written beside the old one, which stays until the new one is
+    whole; so a refresh that fails leaves what was there, and a result may be
+    computed from its former state.
+    """
+    fresh = f"{path.rstrip('/')}.refresh-{uuid.uuid4().hex}"
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(fresh)
+    _swap(df.sparkSession, fresh, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a folder in the place of another; the former is put back if that fails."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, now, old = (hadoop(p) for p in (fresh, path, f"{fresh}.old"))
+    files = now.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = files.exists(now)
+    if had and not files.rename(now, old):
+        raise OSError(f"{path} can't be replaced")
+    if not files.rename(new, now):
+        if had:
+            files.rename(old, now)
+        raise OSError(f"{path} can't be replaced")
+    if had:
+        files.delete(old, True)
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     """Give a frame a session name; it is evaluated anew by every query on it."""
     df.createOrReplaceTempView(name)

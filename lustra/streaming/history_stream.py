@@ -98,10 +98,12 @@ class StreamedHistory:
     # --- one micro-batch ---------------------------------------------------
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Bring the history up to one batch."""
+        """Bring the history up to one batch; one that is committed already stays as it is."""
         spark, columns = batch.sparkSession, batch.schema
         ensure_checkpoints(spark)
-        commit = self._committed(spark, batch_id - 1)
+        commit = self._committed(spark, batch_id)
+        if commit.batch_id == batch_id:
+            return
         held = self._log_batch(batch, batch_id)
         touched = [row[0] for row in held.select(BUCKET).distinct().collect()]
         if touched:
