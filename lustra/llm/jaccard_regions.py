@@ -17,8 +17,8 @@ regions and the triangle inequality says which of them another region also needs
   nearest pivots; with them go all members whose distance to the pivot lies within
   0.25 of theirs, as by the triangle inequality no other can link with them. These
   regions are split again in the same way.
-* A region is done when its members are in one component. With few members outside
-  the largest component, these are compared with all others.
+* A region is done when its members are in one component. With few pairs still open
+  these are compared one by one; else there are four times the pivots at the next level.
 
 Pivots leave their region, so every level shrinks it. Distances always are of the
 whole sets, and nothing is sampled. A group of copies costs one distance for each member
@@ -165,15 +165,16 @@ def _open_regions(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
     sizes = sizes.withColumn("minors", F.col("size") - F.col("largest.n")).filter("minors > 0")
     sizes = sizes.groupBy("size", "f1", "f2").agg(F.min(F.struct("region", "minors", "largest")).alias("one"))
-    kept = sizes.select("one.region", "one.minors", (-F.col("one.largest.at")).alias("major"))
+    kept = sizes.select("one.region", "one.minors", "size", (-F.col("one.largest.at")).alias("major"))
     return placed.join(kept, "region").withColumn("minor", F.col("label") != F.col("major")).drop("major")
 
 
-def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75, leaf: int = 8) -> DataFrame:
+def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75, leaf: int = 4096) -> DataFrame:
     """``node`` and ``component`` (doc_ids) of all documents that link with another.
 
     ``sets`` has one row for each distinct set: doc, rid, toks. ``members`` has region,
-    doc, rid, so that any two sets that link share a region.
+    doc, rid, so that any two sets that link share a region. A region with at most
+    ``leaf`` open pairs compares them all; larger ones take 1, 4, 16 and so on pivots.
     """
     far, hair = 1 - percent / 100, 1e-9  # fractions are rounded: a hair of slack lets more through, never less
     node = F.struct("doc", "rid")
@@ -182,8 +183,8 @@ def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75,
         placed = stored(_open_regions(members, labels), "regions")
         if placed.isEmpty():
             break
-        rows = placed.select("region", node.alias("x"), "label", "minor", "minors")
-        small, large = rows.filter(F.col("minors") <= leaf), rows.filter(F.col("minors") > leaf)
+        rows = placed.select("region", node.alias("x"), "label", "minor", (F.col("minors") * F.col("size")).alias("open"))
+        small, large = rows.filter(F.col("open") <= leaf), rows.filter(F.col("open") > leaf)
         others = small.filter("minor").select("region", F.col("x").alias("y"), F.col("label").alias("other"))
         leaves = small.join(others, "region").filter(F.col("label") != F.col("other"))
         kind = F.pmod(F.xxhash64("x", F.lit(pivots)), F.lit(pivots))
@@ -210,12 +211,12 @@ def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75,
         within = F.col("d").between(F.col("low") - far - hair, F.col("high") + far + hair)
         members = left.join(windows, ["region", "y"]).filter(within)
         members = members.select(F.xxhash64("region", "y", F.lit(pivots)).alias("region"), "x.doc", "x.rid")
-        pivots = 4
+        pivots *= 4
     return labels if labels is not None else connected_components(members.selectExpr("doc a", "doc b"))
 
 
 def near_duplicates(
-    documents: DataFrame, width: int = 5, percent: int = 75, leaf: int = 8, largest_width: int = 1 << 28
+    documents: DataFrame, width: int = 5, percent: int = 75, leaf: int = 4096, largest_width: int = 1 << 28
 ) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest doc_id reachable by links.
 
