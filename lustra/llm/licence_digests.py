@@ -50,6 +50,7 @@ SPELLINGS = (
     ("realise", "realize"),
     ("recognise", "recognize"),
     ("sub license", "sublicense"),
+    ("sublicence", "sublicense"),
     ("sub licensed", "sublicensed"),
     ("utilisation", "utilization"),
     ("whilst", "while"),
