@@ -14,9 +14,9 @@ regions and the triangle inequality says which of them another region also needs
   every pivot and is linked with it up to 0.25. Links join components, and two members
   of one component need no comparison: only pairs with a member outside the region's
   largest component are still open. Those outside form the Voronoi regions of their
-  nearest pivots; with them go all members whose distance to the pivot lies within
-  0.25 of theirs, as by the triangle inequality no other can link with them. These
-  regions are split again in the same way.
+  nearest pivots; with them go all members that the triangle inequality lets link with
+  one of them: at most 0.25 farther from the pivot. Who is linked with the pivot goes only if
+  a member beyond 0.25 lies at most 0.25 farther. These regions are split again likewise.
 * A region is done when its members are in one component. With few pairs still open
   these are compared one by one; else there are four times the pivots at the next level.
 
@@ -205,11 +205,11 @@ def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75,
         retired = chosen.select("region", F.col("y").alias("x"))
         left = measured.join(retired, ["region", "x"], "left_anti").join(either, ["x", "y"])
         homes = left.filter("minor").groupBy("region", "x").agg(F.min(F.struct("d", "y")).alias("home"))
-        windows = homes.groupBy("region", F.col("home.y").alias("y")).agg(
-            F.min("home.d").alias("low"), F.max("home.d").alias("high")
-        )
-        within = F.col("d").between(F.col("low") - far - hair, F.col("high") + far + hair)
-        members = left.join(windows, ["region", "y"]).filter(within)
+        highest = homes.groupBy("region", F.col("home.y").alias("y")).agg(F.max("home.d").alias("high"))
+        # who is linked with the pivot is in one component: a pair still open has a member beyond
+        outer = left.filter(F.col("d") > far - hair).groupBy("region", "y").agg(F.min("d").alias("outer"))
+        within = (F.col("d") <= F.col("high") + far + hair) & (F.col("outer") <= F.col("d") + far + hair)
+        members = left.join(highest.join(outer, ["region", "y"]), ["region", "y"]).filter(within)
         members = members.select(F.xxhash64("region", "y", F.lit(pivots)).alias("region"), "x.doc", "x.rid")
         pivots *= 4
     return labels if labels is not None else connected_components(members.selectExpr("doc a", "doc b"))
@@ -243,9 +243,10 @@ def near_duplicates(
     points = stored(points.join(firsts, ["doc", "rid"], "left_semi").dropDuplicates(["doc", "rid"]), "points")
 
     cell = F.col("tok").bitwiseAND(_ORDER_CELLS - 1).alias("cell")
-    tally = points.select(F.explode("toks").alias("tok")).groupBy(cell).count().toPandas()
+    tally = points.select(F.explode("toks").alias("tok")).groupBy(cell).count().toArrow()
     counts = np.zeros(_ORDER_CELLS, np.uint8)
-    counts[tally["cell"].to_numpy(np.int64)] = 1 + np.log2(tally["count"].to_numpy(np.float64)).astype(np.uint8)
+    cells, sizes = (tally.column(c).to_numpy() for c in ("cell", "count"))
+    counts[cells] = 1 + np.log2(sizes).astype(np.uint8)
     counts = spark.sparkContext.broadcast(counts)
     members = points.mapInArrow(_regions(percent, seen, counts), _MEMBERS)
     labels = near_duplicate_links(points, stored(members, "regions"), percent, leaf)

@@ -129,7 +129,8 @@ def seen_twice(sources: list[tuple[DataFrame, Values]], width: int, depth: int =
         .mapInArrow(_merged, "block long, bits binary")
     )
     table = np.zeros(width * depth // 8, np.uint8)
-    for row in merged.collect():
-        at = row.block * (_BLOCK // 8)
-        table[at : at + _BLOCK // 8] = np.frombuffer(row.bits, np.uint8)
+    for batch in merged.toArrow().to_batches():
+        blocks = batch.column("block").to_numpy()
+        bits = np.frombuffer(batch.column("bits").buffers()[2], np.uint8)[: len(blocks) * _BLOCK // 8]
+        table.reshape(-1, _BLOCK // 8)[blocks] = bits.reshape(-1, _BLOCK // 8)
     return Seen(sources[0][0].sparkSession.sparkContext.broadcast(table), width, depth)
