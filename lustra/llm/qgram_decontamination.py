@@ -1,7 +1,7 @@
 """Benchmark passages in texts, with some edits: q-gram lemma filter, then banded alignment.
 
 A passage of m bytes and a stretch of text within e edits of it share at least
-m + 1 - q (e + 1) q-grams, and the diagonals (text place minus passage place) of these span
+m + 1 - q (e + 1) q-grams of the passage, and the diagonals (text place minus passage place) of these span
 at most e. So hits are counted in bands of 2 (e + 1) diagonals, each overlapping half of
 the next: every such stretch lies whole in one band. Bands that reach the bound are aligned;
 no other stretch can be within the budget, so the filter loses nothing.
@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks
+from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, run_starts
 
 U64 = np.uint64
 _FOUND = "doc_id {}, item_id {}, distance int, begin int, end int, passage string"
@@ -109,6 +109,10 @@ class _Index:
             band = diagonal // half
             # each hit counts in the band that begins at its half and in the one before
             key = np.r_[(own << 40) + band + (1 << 39), (own << 40) + band - 1 + (1 << 39)]
+            # a gram of the passage counts once in a band, however often the text repeats it
+            gram = np.r_[place[entry], place[entry]]
+            order = np.lexsort((gram, key))
+            key = key[order][run_starts(key[order], gram[order])]
             key, number = np.unique(key, return_counts=True)
             i, band = key >> 40, (key & ((1 << 40) - 1)) - (1 << 39)
             enough = number >= self.shared[i]
@@ -140,12 +144,16 @@ def _forward(passage: np.ndarray, text: np.ndarray, low: int, width: int, anywhe
 
 
 def align(passage: bytes, text: bytes, low: int, width: int, most: int) -> tuple[int, int, int] | None:
-    """Least distance of the passage to a stretch in a band of diagonals, and the stretch; None if over ``most``."""
-    exact = text.find(passage, max(low, 0), max(low, 0) + width + len(passage))
+    """Least distance of the passage to a stretch in a band of diagonals, and the stretch; None if over ``most``.
+
+    The band is widened by ``most`` on both sides. All stretches in it overlap, so the
+    passage itself, if it is there, is the one to report.
+    """
+    low, width = low - most, width + 2 * most
+    exact = text.find(passage, max(low, 0), max(low + width, 0) + len(passage))
     if exact >= 0:
         return 0, exact, exact + len(passage)
     p, t = (np.frombuffer(x, np.uint8) for x in (passage, text))
-    low, width = low - most, width + 2 * most
     ends = _forward(p, t, low, width, True)
     best = int(ends.argmin())
     if ends[best] > most:
