@@ -18,7 +18,7 @@ regions and the triangle inequality says which of them another region also needs
   one of them: at most 0.25 farther from the pivot. Who is linked with the pivot goes only if
   a member beyond 0.25 lies at most 0.25 farther. These regions are split again likewise.
 * A region is done when its members are in one component. With few pairs still open
-  these are compared one by one; else there are four times the pivots at the next level.
+  these are compared one by one; else there are sixteen times the pivots at the next level.
 
 Pivots leave their region, so every level shrinks it. Distances always are of the
 whole sets, and nothing is sampled. A group of copies costs one distance for each member
@@ -174,7 +174,7 @@ def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75,
 
     ``sets`` has one row for each distinct set: doc, rid, toks. ``members`` has region,
     doc, rid, so that any two sets that link share a region. A region with at most
-    ``leaf`` open pairs compares them all; larger ones take 1, 4, 16 and so on pivots.
+    ``leaf`` open pairs compares them all; larger ones take 1, 16, 256 and so on pivots.
     """
     far, hair = 1 - percent / 100, 1e-9  # fractions are rounded: a hair of slack lets more through, never less
     node = F.struct("doc", "rid")
@@ -211,7 +211,7 @@ def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75,
         within = (F.col("d") <= F.col("high") + far + hair) & (F.col("outer") <= F.col("d") + far + hair)
         members = left.join(highest.join(outer, ["region", "y"]), ["region", "y"]).filter(within)
         members = members.select(F.xxhash64("region", "y", F.lit(pivots)).alias("region"), "x.doc", "x.rid")
-        pivots *= 4
+        pivots *= 16
     return labels if labels is not None else connected_components(members.selectExpr("doc a", "doc b"))
 
 
