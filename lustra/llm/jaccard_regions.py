@@ -134,9 +134,17 @@ def _regions(percent: int, seen: Seen, counts):
     return of
 
 
-def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``x``, ``y`` (structs doc, rid), ``shared`` and ``both``: sizes of intersection and union."""
+def _distances(pairs: DataFrame, sets: DataFrame, broadcast_rows: int = 1 << 19) -> DataFrame:
+    """``x``, ``y`` (structs doc, rid), ``shared`` and ``both``: sizes of intersection and union.
+
+    Only sets that are in a pair are shuffled, as long as their names may be broadcast.
+    """
     node = F.struct("doc", "rid")
+    pairs = stored(pairs, "pairs")
+    named = pairs.select("x.doc", "x.rid").unionByName(pairs.select("y.doc", "y.rid")).distinct()
+    named = stored(named, "named")
+    if named.count() <= broadcast_rows:
+        sets = sets.join(F.broadcast(named), ["doc", "rid"], "left_semi")
     left = sets.select(node.alias("x"), F.col("toks").alias("xt"))
     right = sets.select(node.alias("y"), F.col("toks").alias("yt"))
     shared = F.size(F.array_intersect("xt", "yt"))

@@ -296,7 +296,7 @@ def if_small(table: DataFrame, pairs: str, bytes_at_most: int) -> DataFrame:
 
 
 def repeated_ranges(
-    texts: DataFrame, kind: Texts, seen: Seen, broadcast_bytes: int = 64 << 20
+    texts: DataFrame, kind: Texts, seen: Seen, broadcast_bytes: int = 16 << 20
 ) -> DataFrame:
     """``doc``, ``rid`` and ``ranges`` (start and length in symbols, apart) of texts with repeats.
 
