@@ -175,25 +175,39 @@ COPYRIGHT_LINE = (
 _ANY_SPELLING = " (" + "|".join(met for met, _ in SPELLINGS) + ") "
 
 
-def canonical(text: Column) -> Column:
-    """The form that is hashed: words of a-z and 0-9, a space before and after each."""
+def _bare(text: Column) -> Column:
+    """Words of a-z and 0-9, a space before and after each, without copyright lines."""
     lower = F.translate(text, _UPPER, _LOWER)
     words = F.regexp_replace(F.regexp_replace(lower, COPYRIGHT_LINE, "\n"), "[^a-z0-9]+", " ")
-    padded = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
-    spelled = reduce(lambda c, pair: F.replace(c, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")), SPELLINGS, padded)
-    return F.when(padded.rlike(_ANY_SPELLING), spelled).otherwise(padded)
+    return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
+
+
+def _spelled(bare: Column) -> Column:
+    """One spelling of each word."""
+    one = reduce(lambda c, pair: F.replace(c, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")), SPELLINGS, bare)
+    return F.when(bare.rlike(_ANY_SPELLING), one).otherwise(bare)
+
+
+def canonical(text: Column) -> Column:
+    """The form that is hashed."""
+    return _spelled(_bare(text))
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; NULL for NULL and for texts without a word."""
-    form = canonical(text)
-    return F.when(F.length(form) > 2, F.sha2(form.cast("binary"), 256))
+def with_digest(df: DataFrame, text: str) -> DataFrame:
+    """A column of texts replaced by ``digest``: SHA-256 of the canonical form, NULL for NULL and texts without a word.
+
+    Each step is a column of its own, so that it is computed once.
+    """
+    bare = df.withColumn("digest", _bare(F.col(text))).drop(text)
+    form = bare.withColumn("digest", _spelled(F.col("digest")))
+    hashed = F.when(F.length("digest") > 2, F.sha2(F.col("digest").cast("binary"), 256))
+    return form.withColumn("digest", hashed)
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """``digest`` and ``licence`` of the known texts, one row a digest."""
     texts = spark.createDataFrame(list(known), "licence string, text string")
-    return texts.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("licence").alias("licence"))
+    return with_digest(texts, "text").groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
 def scan_licences(documents: DataFrame, known: DataFrame) -> DataFrame:
@@ -207,9 +221,8 @@ def scan_licences(documents: DataFrame, known: DataFrame) -> DataFrame:
     empty table gives an empty result.
     """
     texts = keyed(documents)
-    whole = texts.select("doc", "rid", digest(F.col("text")).alias("digest"))
-    lines = texts.select("doc", "rid", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("doc", "rid", digest(F.col("line")).alias("digest"))
+    whole = with_digest(texts, "text")
+    lines = with_digest(texts.select("doc", "rid", F.explode(F.split("text", "\n")).alias("line")), "line")
     notices = (
         lines.join(known, "digest")
         .groupBy("doc", "rid")
