@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 # --- fixed values: element and attribute names ----------------------------------
 #: Elements whose content never is text of the page.
 SILENT = "script style template svg math iframe object textarea select noscript title canvas audio video".split()
+#: Of these, the ones that are empty when their tag ends in "/>".
+FOREIGN = "svg math".split()
 #: Elements that begin and end a block.
 BLOCK = (
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer"
@@ -44,7 +46,8 @@ NAMES = (
 ).split()
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(SILENT) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?:" + "|".join(FOREIGN) + r")(?=[\s/])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>"
+    r"|<(" + "|".join(SILENT) + r")(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>",
     re.S | re.I,
 )

@@ -77,6 +77,19 @@ def test_blocks_of_broken_markup(page, texts):
     assert [b.text for b in blocks(page)] == texts
 
 
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', ["one two", "three"]),
+        ("<p>a<svg/>b<math display='x>y' />c<p>d", ["abc", "d"]),
+        ("<p>a<svg><path d='m/'/>no</svg>b<SVG a=1 />c<svg b='/'>no</svg>d", ["abcd"]),
+        ("<p>a<svg-icon name=x></svg-icon>b<video-player>c</video-player><p>d", ["abc", "d"]),
+    ],
+)
+def test_empty_icons_swallow_nothing(page, texts):
+    assert [b.text for b in blocks(page)] == texts
+
+
 def test_links_and_containers():
     one, two = blocks("<nav>a b <a>c d</a></nav><article><h2>e <a>f</a></h2></article>")
     assert (one.words, one.linked, one.furniture, one.article) == (4, 2, True, False)
