@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -45,16 +46,27 @@ NAMES = (
     " sidebar signup skip social sponsor sponsored subscribe subscription tags teaser toc toolbar widget widgets"
 ).split()
 
+#: Words that turn a furniture word right after them, or at the end of a name they begin, into one of layout or topic.
+LAYOUT = "has no not with without hide hides category cat tag".split()
+#: Furniture words whose elements hold articles of their own beside the page's one.
+SECONDARY = (
+    "ad ads adv advert advertisement advertising comment comments complementary disqus feedback promo promoted promotion"
+    " recommended related reply replies respond sponsor sponsored teaser"
+).split()
+#: The same of elements.
+SECONDARY_ELEMENTS = "nav footer aside".split()
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:" + "|".join(FOREIGN) + r")(?=[\s/])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<=/)>"
     r"|<(" + "|".join(SILENT) + r")(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>",
     re.S | re.I,
 )
-_NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++)))?", re.S)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _BLOCK, _FURNITURE, _ARTICLE, _NAMES = (frozenset(x) for x in (BLOCK, FURNITURE, ARTICLE, NAMES))
+_LAYOUT, _SECONDARY, _SECONDARY_ELEMENTS = (frozenset(x) for x in (LAYOUT, SECONDARY, SECONDARY_ELEMENTS))
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _HELD = frozenset(CONTAINER) | _FURNITURE | _ARTICLE
 
@@ -71,18 +83,38 @@ class Block:
     heading: bool
 
 
-def _names_furniture(attributes: str, in_article: bool) -> bool:
-    for match in _NAME.finditer(attributes):
-        value = next(v for v in match.groups() if v is not None)
-        for name in value.split():
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by lower-case name; of a repeated attribute the first counts, as in browsers."""
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(raw):
+        found.setdefault(name.lower(), double or single or bare)
+    return found
+
+
+def _furniture_words(attributes: dict[str, str], in_article: bool) -> set[str]:
+    """The furniture words that class, id and role begin or end with, or are."""
+    found: set[str] = set()
+    for attribute in ("class", "id", "role"):
+        for name in attributes.get(attribute, "").split():
             parts = [p.lower() for p in _WORDS.findall(name)]
             if not parts:
                 continue
             if parts[-1] == "header" and (in_article or any(p in OF_ARTICLE for p in parts)):
                 continue
-            if {parts[0], parts[-1], "-".join(parts)} & _NAMES:
-                return True
-    return False
+            words = {parts[0], "-".join(parts)}
+            if not (parts[0] in _LAYOUT or _LAYOUT.intersection(parts[-2:-1])):
+                words.add(parts[-1])
+            found |= words & _NAMES
+    return found
+
+
+def _hides(attributes: dict[str, str]) -> bool:
+    hidden = attributes.get("hidden")
+    return (
+        (hidden is not None and not hidden.lower().startswith(("false", "until")))
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_NO_DISPLAY.search(attributes.get("style", "")))
+    )
 
 
 class _Page:
@@ -90,8 +122,13 @@ class _Page:
 
     def __init__(self):
         self.found: list[Block] = []
-        self.held: list[tuple[str, bool, bool]] = []  # open element, and what held before it
-        self.furniture = self.article = self.paragraph = self.heading = self.in_link = False
+        self.held: list[tuple[str, tuple]] = []  # open element, and what held before it
+        self.hidden = self.article = self.in_article = self.paragraph = self.heading = self.in_link = False
+        self.around = -1  # the innermost open furniture element
+        self.outer: list[int] = []  # of each furniture element the one around it
+        self.secondary: list[bool] = []
+        self.articles: list[tuple[int, bool]] = []  # where articles and mains are; True for an article
+        self.places: list[int] = []  # and where the blocks are
         self._parts: list[str] = []
         self._links: list[str] = []
 
@@ -108,30 +145,72 @@ class _Page:
             if text:
                 words = text.count(" ") + 1
                 linked = len(html.unescape(" ".join(self._links)).split()) if self._links else 0
-                furniture = self.furniture or self.paragraph
+                furniture = self.hidden or self.paragraph
+                self.places.append(self.around)
                 self.found.append(Block(text, words, min(linked, words), furniture, self.article, self.heading))
             self._parts, self._links = [], []
         self.paragraph = self.heading = self.in_link = False
 
-    def opens(self, name: str, attributes: str) -> None:
-        own = name in _FURNITURE or (name == "header" and not self.article)
-        own = own or _names_furniture(attributes, self.article) or bool(_HIDDEN.search(attributes))
+    def opens(self, name: str, raw: str) -> None:
+        attributes = _attributes(raw) if raw else {}
+        words, hidden = _furniture_words(attributes, self.article), _hides(attributes)
+        element = name in _FURNITURE or (name == "header" and not self.article)
         self.heading = name in _HEADINGS
         if name not in _HELD:
-            self.paragraph = own
-        elif not attributes.endswith("/"):
-            self.held.append((name, self.furniture, self.article))
-            self.furniture |= own
+            self.paragraph = element or bool(words) or hidden
+        elif not raw.endswith("/"):
+            self.held.append((name, (self.around, self.hidden, self.article, self.in_article)))
+            self.hidden |= hidden
+            if element or words:
+                self.outer.append(self.around)
+                self.secondary.append(name in _SECONDARY_ELEMENTS or bool(words & _SECONDARY))
+                self.around = len(self.outer) - 1
+            elif name in _ARTICLE and not self.hidden and not self.in_article:
+                self.articles.append((self.around, name == "article"))
+                self.in_article = name == "article"
             self.article |= name in _ARTICLE
 
     def closes(self, name: str) -> None:
         """The innermost open element of this name ends, and all that are open inside it."""
         for i in range(len(self.held) - 1, -1, -1):
             if self.held[i][0] == name:
-                _, self.furniture, self.article = self.held[i]
+                self.around, self.hidden, self.article, self.in_article = self.held[i][1]
                 del self.held[i:]
                 return
 
+    def settle(self) -> None:
+        """What holds the page's article is no furniture.
+
+        Neither is what may hold other articles, such as comments, if no article is outside of it and
+        its own are longer than what is left. Articles that are named furniture don't count.
+        """
+        holds = [False] * len(self.outer)
+        for where, _ in self.articles:
+            if where >= 0:
+                holds[where] = True
+        for i in range(len(holds) - 1, -1, -1):
+            if holds[i] and self.outer[i] >= 0:
+                holds[self.outer[i]] = True
+        shut = self._shut(not h or s for h, s in zip(holds, self.secondary))
+        if any(holds) and not any(own and (where < 0 or not shut[where]) for where, own in self.articles):
+            freed, left, more = self._shut(not h for h in holds), 0, 0
+            for block, where in zip(self.found, self.places):
+                if block.article and not block.furniture:
+                    if where < 0 or not shut[where]:
+                        left += block.words
+                    elif not freed[where]:
+                        more += block.words
+            shut = freed if more > left else shut
+        for block, where in zip(self.found, self.places):
+            block.furniture |= where >= 0 and shut[where]
+
+    def _shut(self, stays: Iterable[bool]) -> list[bool]:
+        """Whether each furniture element, or one around it, stays furniture."""
+        shut: list[bool] = []
+        for own, outer in zip(stays, self.outer):
+            shut.append(own or (outer >= 0 and shut[outer]))
+        return shut
+
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order. White space in a block is one space; character references are decoded."""
@@ -152,6 +231,7 @@ def blocks(page: str) -> list[Block]:
                 state.opens(name, match.group(4))
     state.text(page[at:])
     state.border()
+    state.settle()
     return state.found
 
 

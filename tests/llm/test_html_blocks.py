@@ -90,6 +90,44 @@ def test_empty_icons_swallow_nothing(page, texts):
     assert [b.text for b in blocks(page)] == texts
 
 
+ARTICLE = "<article><h1>Title here</h1><p>The main text of the page has quite a few words in it.</p></article>"
+TEXT = "Title here\n\nThe main text of the page has quite a few words in it."
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        '<div class="overflow-hidden">', '<div style="overflow:hidden">', '<div data-hidden="true" title="display: none">',
+        '<div class="content has-sidebar">', '<section class="no-sidebar">', '<div id="layout-with-sidebar">',
+        '<div class="page-sidebar">', '<div class="notice">', '<form id="aspnetForm">', '<div class="comments-open">',
+        '<div class="widget"><div data-role="footer"><main>', "<div hidden=until-found>",
+    ],
+)
+def test_wrappers_keep_the_article(wrapper):
+    assert main_text(f"<body>{wrapper}{ARTICLE}</body>", article_tree()) == TEXT
+    after = '<section class="comments"><article><p>Nice text, I read it all and shall read it again soon.</p></article></section>'
+    assert main_text(f"<body>{wrapper}{ARTICLE}</div></section></form>{after}", article_tree()).startswith(TEXT)
+
+
+@pytest.mark.parametrize(
+    "other",
+    [
+        "<div hidden>{}</div>", "<div HIDDEN=''>{}</div>", '<div style="color:red; Display : none">{}</div>',
+        "<div aria-hidden=true>{}</div>", '<section id="comments"><article>{}</article></section>',
+        '<aside><article>{}</article></aside>', '<div class="sidebar">{}</div>', '<article class="comment">{}</article>',
+        '<div class="related-posts"><article>{}</article><article>{}</article></div>', "<div class='ad no-border'>{}</div>",
+    ],
+)
+def test_furniture_beside_the_article_goes(other):
+    page = ARTICLE + other.replace("{}", "<p>Other words that are not of this text but of some other one.</p>")
+    assert main_text(page, article_tree()) == TEXT
+
+
+def test_many_open_wrappers():
+    page = '<div class="ad">' * 20_000 + ARTICLE
+    assert main_text(page, article_tree()) == TEXT
+
+
 def test_links_and_containers():
     one, two = blocks("<nav>a b <a>c d</a></nav><article><h2>e <a>f</a></h2></article>")
     assert (one.words, one.linked, one.furniture, one.article) == (4, 2, True, False)
