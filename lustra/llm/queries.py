@@ -66,10 +66,10 @@ def op5_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four best segmentations of every document, and whether the best decodes to it."""
+    """Pieces, score and digest of the four best segmentations of every document, and whether each decodes to it."""
     ship_package(spark)
-    encoded = encode(table(spark, sf_dir, "documents"), PIECES, n=4, with_ids=False)
-    return encoded.select("doc_id", "n_pieces", "scores", "ids_sha256", "round_trip")
+    encoded = encode(table(spark, sf_dir, "documents"), PIECES, n=4, with_ids=False, with_paths=True)
+    return encoded.drop("ids", "paths")
 
 
 def op7_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
+import numpy as np
 import pytest
 from tables import ODD, documents
 
+import corpus_pipeline
 from lustra.llm.nbest_pieces import Lattice, decode, encode
-from lustra.llm.queries import PIECES
+from lustra.llm.queries import PIECES, op6_nbest_pieces
 
 SF = "/root/testdata/sf0.001/documents.parquet"
 
@@ -78,3 +81,32 @@ def test_odd_rows(spark):
     empty = [r for r in coded.collect() if r.doc_id in (1, 2)]
     assert all((r.n_pieces, r.ids, r.scores) == (0, [], [0.0]) for r in empty)
     assert encode(documents(spark, []), PIECES).collect() == []
+
+
+def test_every_path_is_returned_and_decodes(spark):
+    """The query's rows against the ids of all paths, and the pipeline's last stage alike."""
+    docs = spark.read.parquet(SF)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    given = {r.doc_id: r for r in op6_nbest_pieces(spark, SF.rpartition("/")[0]).collect()}
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF.rpartition("/")[0])
+    whole = {r.doc_id: r for r in last.collect()}
+    assert set(given) == set(whole) == set(texts)
+    for d, row in given.items():
+        paths = whole[d].paths
+        assert len(paths) == len(row.scores) == len({tuple(p) for p in paths})
+        assert row.path_pieces == [len(p) for p in paths]
+        assert row.path_sha256 == [hashlib.sha256(np.array(p, "<i4").tobytes()).hexdigest() for p in paths]
+        assert row.path_round_trips == [True] * len(paths)
+        assert (row.n_pieces, row.ids_sha256) == (row.path_pieces[0], row.path_sha256[0])
+    for rank in range(4):
+        ranked = last.selectExpr("doc_id", f"get(paths, {rank}) ids").filter("ids is not null")
+        found = {r.doc_id: r.text for r in decode(ranked, PIECES).collect()}
+        assert found == {d: texts[d] for d in found} and len(found) > 100
+
+
+def test_paths_of_odd_rows(spark):
+    coded = encode(documents(spark, [*ODD, (62, "▁ mark"), (63, "é")]), PIECES, with_ids=False, with_paths=True).collect()
+    assert all(r.ids is None and r.paths is None for r in coded)
+    assert all(len(r.scores) == len(r.path_pieces) == len(r.path_sha256) == len(r.path_round_trips) for r in coded)
+    assert {r.doc_id for r in coded if not all(r.path_round_trips)} == {62}
+    assert all((r.path_pieces, r.path_round_trips) == ([0], [True]) for r in coded if r.doc_id in (1, 2))
