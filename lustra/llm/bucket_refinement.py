@@ -1,17 +1,14 @@
-"""Removal of byte strings that an earlier text holds, by refining q-gram buckets.
-
-Suffixes are put into buckets by their first q bytes. A bucket is refined by the
-bucket identifiers at later offsets, and refined identifiers serve again in the next
-step, until suffixes in one bucket agree on ``window`` bytes:
-
-1. Initial buckets: the identity of the q-gram at every byte. Of the grams of a window
-   the least is its anchor, so a bucket keeps one pointer for a stretch of windows
-   instead of one for each. Bucket sizes are counted in every partition and merged;
-   buckets of one suffix are final and go no further.
-2. Refinement: pointers of a bucket are sorted by the identity of their whole stretch,
-   which is made of the identifiers at all later offsets.
-3. Where a bucket still holds different stretches, their windows are refined singly, by
-   the identifiers at the window's offsets, and sorted once more.
+"""Removal of byte strings that an earlier text holds, by anchors and hashes of windows.
+
+Windows of ``window`` bytes are compared in two fixed levels, by ``repeats.repeated_ranges``:
+
+1. Of the q-grams of a window the least is its anchor; consecutive windows with one anchor
+   are one stretch. Anchors are counted in every partition and merged; those met once are final.
+2. Stretches of an anchor are grouped by the hash of their whole bytes.
+3. Where an anchor still has different stretches, their windows are hashed and grouped singly.
+
+The hashes come from prefix sums of the bytes. Nothing is refined in rounds by the bucket
+identifiers at later offsets: equal hashes of whole windows give the same removals in one step.
 
 Identifiers are hash pairs, not ranks: equal strings must meet, their order is of no use.
 """
