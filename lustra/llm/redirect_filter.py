@@ -71,9 +71,28 @@ def _with_parts(df: DataFrame, url: str) -> DataFrame:
     )
 
 
+def _resolved(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments, to any depth; ``..`` at the root stays there."""
+    segments = F.split(F.regexp_replace(path, r"(/\.\.?)\z", "$1/"), "/", -1)
+
+    def step(kept: Column, segment: Column) -> Column:
+        return (
+            F.when(segment == ".", kept)
+            .when(segment == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
+            .otherwise(F.concat(kept, F.array(segment)))
+        )
+
+    kept = F.aggregate(F.slice(segments, F.lit(2), F.size(segments)), F.array().cast("array<string>"), step)
+    dotted = path.rlike(r"/\.\.?(/|\z)")
+    return F.when(dotted, F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
 def _node() -> Column:
-    """From scheme, host, path and query: the url without fragment; an empty path is ``/``. NULL without ``://``."""
-    path = F.when(F.col("path") == "", F.lit("/")).otherwise(F.col("path"))
+    """From scheme, host, path and query: the url without fragment and dot segments; an empty path is ``/``.
+
+    NULL without ``://``.
+    """
+    path = F.when(F.col("path") == "", F.lit("/")).otherwise(_resolved(F.col("path")))
     return F.when(F.col("scheme") != "", F.concat("scheme", F.lit("://"), "host", path, "query"))
 
 
@@ -99,7 +118,7 @@ def _attribute(tag: Column, name: str) -> Column:
 def declared_links(pages: DataFrame) -> DataFrame:
     """``a`` and ``b``: the nodes of each page and of the urls it redirects to or names as canonical.
 
-    Relative links are put behind the page's folder as they are; ``.`` and ``..`` stay.
+    Relative links are put behind the page's folder; ``.`` and ``..`` are resolved in all nodes.
     """
     html, tag = F.col("html"), F.col("tag")
     tags = F.regexp_extract_all(html, F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), F.lit(1))

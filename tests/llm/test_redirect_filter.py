@@ -83,6 +83,18 @@ def test_blocks_reach_aliases_and_allows_come_first(spark):
     assert out[8].component == out[11].component
 
 
+def test_dot_segments_of_aliases(spark):
+    hrefs = ["../x/", "./../x/", "../../../../x/", "/a/b/c/../../.././x/.", "http://h.net/q/../x/y/..", "../x/?q=/../z#t"]
+    rows = [(i, f"https://p{i}.com/d/e", CANONICAL.format(h)) for i, h in enumerate(hrefs)]
+    goals = [f"https://p{i}.com/x/" for i in range(4)] + ["http://h.net/x/", "https://p5.com/x/?q=/../z"]
+    rows += [(10 + i, g, CANONICAL.format("http://b.net/")) for i, g in enumerate(goals)]
+    rows += [(20, "http://k.com/a/../b", CANONICAL.format("http://b.net/")), (21, "http://k.com/...", CANONICAL.format("b"))]
+    rows += [(22, "http://k.com/.b/c..", None)]
+    out = {r.page_id: r for r in judge_urls(pages(spark, rows)).collect()}
+    assert {r.component for i, r in out.items() if i < 22} == {"http://b.net/"} and out[22].component is None
+    assert {r.verdict for i, r in out.items() if i < 22} == {"block"} and out[20].path == "/a/../b"
+
+
 def test_redirect_table(spark):
     moved = spark.createDataFrame([("http://a.com/1", "http://b.com/2"), ("http://b.com/2", "http://c.net/3"), (None, "http://b.com/2")], "source string, target string")
     out = judge_urls(pages(spark, [(1, "http://a.com/1", ""), (2, "http://a.com/2", "")]), redirects=moved).collect()
