@@ -11,6 +11,8 @@ from lustra.catalog.base import Query
 from lustra.llm.bucket_refinement import repeat_digests
 from lustra.llm.count_min_windows import remove_repeated_windows
 from lustra.llm.html_blocks import extract_main_text
+from lustra.llm.importance_selection import draw_like
+from lustra.llm.importance_selection import oracle_sql as draw_sql
 from lustra.llm.jaccard_regions import near_duplicates
 from lustra.llm.licence_digests import known_digests, scan_licences
 from lustra.llm.licence_digests import oracle_sql as licence_sql
@@ -18,8 +20,13 @@ from lustra.llm.nbest_pieces import Pieces, encode
 from lustra.llm.qgram_decontamination import contaminated
 from lustra.llm.redirect_filter import judge_urls
 from lustra.llm.shipping import ship_package
+from lustra.llm.spelling_composition import oracle_sql as spelling_sql
+from lustra.llm.spelling_composition import spelling_groups, vocabulary
 from lustra.llm.subword_quality import score, train
 from lustra.llm.token_fertility import Vocabulary, token_quality
+from lustra.llm.warc_revisits import deduplicate, read_archives, resolved, write_archives
+from lustra.llm.warc_revisits import oracle_sql as revisit_sql
+from lustra.sources.workspace import fresh_folder
 
 #: Where the public tokeniser files are, on the driver and the executors alike.
 TOKENIZERS = os.environ.get("LUSTRA_TOKENIZERS", "/opt/tokenizers")
@@ -100,6 +107,26 @@ def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of all documents, drawn by how like the benchmark they are."""
+    ship_package(spark)
+    return draw_like(*(table(spark, sf_dir, name) for name in ("documents", "benchmark")))
+
+
+def op12_spelling_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary of all documents, typing slips put in, with the form each word is a variant of."""
+    ship_package(spark)
+    return spelling_groups(vocabulary(table(spark, sf_dir, "documents"), slip_every=199))
+
+
+def op13_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives, written anew with revisit records, read back and resolved."""
+    captured, kept = (fresh_folder(spark, name) for name in ("captures", "archives"))
+    write_archives(table(spark, sf_dir, "pages"), captured)
+    deduplicate(spark, captured, kept)
+    return resolved(read_archives(spark, kept))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_fertility": Query(op1_token_fertility),
     "op2_bucket_refinement": Query(op2_bucket_refinement),
@@ -111,4 +138,7 @@ QUERIES: dict[str, Query] = {
     "op8_redirect_filter": Query(op8_redirect_filter),
     "op9_licence_digests": Query(op9_licence_digests, licence_sql()),
     "op10_subword_quality": Query(op10_subword_quality),
+    "op11_importance_selection": Query(op11_importance_selection, draw_sql()),
+    "op12_spelling_composition": Query(op12_spelling_composition, spelling_sql()),
+    "op13_warc_revisits": Query(op13_warc_revisits, revisit_sql()),
 }
