@@ -203,25 +203,24 @@ def _both_ways(words: dict[str, int]) -> list[tuple]:
 # --- partitions ------------------------------------------------------------------
 
 
-def _parted(pairs_of: DataFrame) -> DataFrame:
-    return (
-        pairs_of.repartition("state")
-        .sortWithinPartitions("state", "word")
-        .mapInArrow(_composed, "word string, near string, near_n long")
-    )
-
-
 def _offers(words: DataFrame, depth: int) -> DataFrame:
-    """Pairs whose edit is at a place of the words: equal offers meet, and no more than the letters do in one."""
-    place = F.lit(depth)
-    here = F.substring("word", depth + 1, 1)
+    """Each word's rest behind a state, with and without its first letter. Equal ones belong to near words."""
+    here = F.substring("word", depth + 1, 1).alias("at")
     without = F.concat(F.substring("word", 1, depth), F.expr(f"substring(word, {depth + 2})"))
-    whole = words.select(F.col("word").alias("offer"), here.alias("at"), F.lit(True).alias("whole"), "word", "n")
-    less = words.filter(F.char_length("word") > depth).select(
-        without.alias("offer"), here.alias("at"), F.lit(False).alias("whole"), "word", "n"
+    longer = F.char_length("word") > depth
+    offers = F.array_compact(
+        F.array(
+            F.struct(F.col("word").alias("offer"), F.lit(True).alias("whole")),
+            F.when(longer, F.struct(without.alias("offer"), F.lit(False).alias("whole"))),
+        )
     )
-    one = F.struct("at", "whole", "word", "n")
-    met = whole.unionByName(less).groupBy("offer", place.alias("place")).agg(F.collect_list(one).alias("met"))
+    return words.select("word", "n", here, F.lit(depth).alias("place"), F.inline(offers))
+
+
+def _met(offers: DataFrame) -> DataFrame:
+    """Pairs whose edit is at the place of an offer. No more words meet in one than there are letters, and one."""
+    one = F.struct("at", "word", "n")
+    met = offers.groupBy("place", "offer").agg(F.collect_list(one).alias("met"))
     met = met.filter(F.size("met") > 1).select("met", F.explode("met").alias("a"))
     met = met.select("a", F.explode("met").alias("b"))
     differ = (F.col("a.word") != F.col("b.word")) & (F.col("a.at") != F.col("b.at"))
@@ -236,27 +235,30 @@ def near_words(words: DataFrame, most: int = 256) -> DataFrame:
     ``words`` is a stored table of distinct ``word`` with ``n``. A state with more than
     ``most`` words is divided; ``most`` grows with the vocabulary beyond 2^17 states, so
     the states to be divided at one depth, which are broadcast, are at most that many.
-    Depths are looked at one by one for as long as a state needs division: a few rounds
-    for natural words, as many as letters for very many words with one long beginning.
+    Depths are looked at one by one for as long as a state needs division, and the words
+    behind these are stored: a few rounds for natural words, as many as letters for very
+    many words with one long beginning. All offers meet in one shuffle, all small
+    states are dealt out in another.
     """
     total = words.count()
     most = max(most, total >> 17)
-    found, rest, depth = [], words, 0
+    offers, settled, rest, depth = [], [], words, 0
     while total > most:
-        found.append(_offers(rest, depth))
+        offers.append(_offers(rest, depth))
         depth += 1
-        state = F.substring("word", 1, depth)
-        # The word that ends before this depth has met its partners in the offers.
-        rest = rest.filter(F.char_length("word") >= depth).withColumn("state", state)
-        large = rest.groupBy("state").count().filter(F.col("count") > most).select("state")
-        large = stored(large, "states")
-        found.append(_parted(rest.join(F.broadcast(large), "state", "left_anti").select("state", "word", "n")))
-        rest = rest.join(F.broadcast(large), "state", "left_semi").select("word", "n")
+        # A word that ends before this depth has met its partners in the offers.
+        state = F.substring("word", 1, depth).alias("state")
+        rest = rest.filter(F.char_length("word") >= depth).select(state, "word", "n")
+        large = stored(rest.groupBy("state").count().filter(F.col("count") > most), "states").select("state")
+        settled.append(rest.join(F.broadcast(large), "state", "left_anti"))
         if large.isEmpty():
             break
+        rest = stored(rest.join(F.broadcast(large), "state", "left_semi").select("word", "n"), "behind")
     else:
-        found.append(_parted(rest.select(F.lit("").alias("state"), "word", "n")))
-    return reduce(DataFrame.unionByName, found)
+        settled.append(rest.select(F.lit("").alias("state"), "word", "n"))
+    parts = reduce(DataFrame.unionByName, settled).repartition("state").sortWithinPartitions("state", "word")
+    pairs = parts.mapInArrow(_composed, "word string, near string, near_n long")
+    return pairs.unionByName(_met(reduce(DataFrame.unionByName, offers))) if offers else pairs
 
 
 # --- forms -----------------------------------------------------------------------
