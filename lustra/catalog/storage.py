@@ -11,6 +11,7 @@ from lustra.functions import standardize, validate
 from lustra.operators.silver import SilverSpec
 from lustra.plans.fixtures import MANY_TABLES, fixture, table
 from lustra.plans.many import TableJob, run_silver
+from lustra.sources.named_csv import NamedCsv
 from lustra.sources.readers import add_lineage, read_table, stream_csv, stream_table
 from lustra.sources.sinks import publish_view, store, write_stream_table
 from lustra.sources.workspace import fresh_folder
@@ -45,6 +46,29 @@ def _csv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers from three exporters: all columns, another order with some missing, another with one more."""
+    landing = fresh_folder(spark, "exports")
+    crm = _crm(spark, sf_dir)
+    text = [F.col(c).cast("string").alias(c) for c in _CRM_SHOWN]
+    names = {"customer_id": " Customer ID ", "full_name": "FULL  Name", "annual_income": "annual income"}
+    exports = (
+        crm.filter("customer_id % 3 = 0").select(*text),
+        crm.filter("customer_id % 3 = 1").select(*text[:2:-1], *text[:2]).drop("status", "dob"),
+        crm.filter("customer_id % 3 = 2").select(*text[4:], F.lit("b").alias("Branch Code"), *text[:4]),
+    )
+    for i, export in enumerate(exports):
+        raw = export.withColumnsRenamed(names) if i else export
+        untrimmed = raw.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+        untrimmed.option("ignoreTrailingWhiteSpace", False).csv(f"{landing}/part={i}")
+    bronze = NamedCsv(fresh_folder(spark, "bronze-named"), crm.schema, files_per_batch=5)
+    bronze.start(spark, f"{landing}/*", fresh_folder(spark, "bronze-named-checkpoint")).awaitTermination()
+    stored = bronze.read(spark)
+    return stored.withColumns(
+        {name: F.col(name).isNotNull() for name in ("ingested_file", "ingestion_ts")}
+    )
+
+
 def _lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = add_lineage(table(spark, sf_dir, "customer"))
     return rows.select(
@@ -160,6 +184,17 @@ QUERIES = {
             " CAST(NULL AS VARCHAR) AS misfit_line FROM crm_customers",
         ),
     ),
+    "src_csv_by_header": Query(
+        _csv_by_header,
+        over(
+            "crm_customers",
+            f"SELECT {', '.join(c for c in _CRM_SHOWN if c not in ('email', 'status', 'dob'))},"
+            " CASE WHEN customer_id % 3 <> 1 THEN email END AS email,"
+            " CASE WHEN customer_id % 3 <> 1 THEN status END AS status, CASE WHEN customer_id % 3 <> 1 THEN dob END AS dob,"
+            " true AS ingested_file, true AS ingestion_ts, CAST(NULL AS VARCHAR) AS misfit_line,"
+            """ CASE WHEN customer_id % 3 = 2 THEN '{"branch_code":"b"}' END AS rescued_values FROM crm_customers""",
+        ),
+    ),
     "src_lineage": Query(_lineage, "SELECT c_custkey, true AS from_file, true AS stamped FROM customer"),
     "src_table": Query(_table, "SELECT c_custkey, c_acctbal FROM customer"),
     "src_table_stream": Query(

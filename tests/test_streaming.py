@@ -135,7 +135,7 @@ def test_csv_files_are_ingested_once(spark, tmp_path):
     write_stream_table(stream_csv(spark, landing), bronze, checkpoint).awaitTermination()
     stored = spark.read.parquet(bronze)
     assert sorted(r["the_id"] for r in stored.collect()) == [1, 2, 3]
-    assert set(stored.columns) == {"the_id", "full_name", "ingested_file", "ingestion_ts"}
+    assert set(stored.columns) == {"the_id", "full_name", "misfit_line", "ingested_file", "ingestion_ts"}
     assert stored.filter(F.col("ingested_file").contains("landing") & F.col("ingestion_ts").isNotNull()).count() == 3
 
 
