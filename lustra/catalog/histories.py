@@ -31,6 +31,7 @@ from lustra.plans.fixtures import fixture
 from lustra.sources.sinks import store
 from lustra.sources.workspace import fresh_folder
 from lustra.streaming.history_stream import StreamedHistory
+from lustra.streaming.quality_flow import QualityFlow
 
 AS_OF = "2024-01-10 12:00:00"
 
@@ -178,18 +179,52 @@ _QUALITY = (
 )
 
 
-def _quality_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = fixture(spark, sf_dir, "crm_changes").select(
+_CRM_HISTORY = history_of(
+    "crm", ["customer_id"], "changed_at", tie_break=("change_id",), transient=("change_id",), ignore_null=True
+)
+
+
+def _quality_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture(spark, sf_dir, "crm_changes").select(
         "customer_id", "changed_at", "change_id", "gender", "country", "email"
     )
-    spec = history_of(
-        "crm", ["customer_id"], "changed_at", tie_break=("change_id",), transient=("change_id",), ignore_null=True
-    )
-    return history_with_quality(changes, spec, _QUALITY)
 
 
-_QUALITY_SQL = history_sql(
-    f"""SELECT customer_id, changed_at, change_id, gender, country, email,
+def _quality_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history_with_quality(_quality_changes(spark, sf_dir), _CRM_HISTORY, _QUALITY)
+
+
+def _streamed_quality(spark: SparkSession, sf_dir: str, required: tuple[str, ...]) -> tuple[QualityFlow, DataFrame]:
+    """Dirty changes streamed in three batches, not in order of time, through checks into a history."""
+    changes = _quality_changes(spark, sf_dir)
+    folder = fresh_folder(spark, "crm-changes")
+    changes.repartition(3, "change_id").write.parquet(folder)
+    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    flow = QualityFlow(fresh_folder(spark, "crm-flow"), _CRM_HISTORY, _QUALITY, required, buckets=8)
+    flow.start(stream, fresh_folder(spark, "crm-flow-checkpoint")).awaitTermination()
+    return flow, changes
+
+
+def _quality_stream(required: tuple[str, ...] = ()):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        flow, changes = _streamed_quality(spark, sf_dir, required)
+        return flow.read(spark, changes.schema)
+
+    return run
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flow, changes = _streamed_quality(spark, sf_dir, ("gender", "email"))
+    return flow.quarantined(spark, changes.schema).drop("batch_id")
+
+
+def _stream_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flow, _ = _streamed_quality(spark, sf_dir, ())
+    names = ("n_rows", "n_passed", "n_failed", "n_unknown")
+    return flow.rule_counts(spark).groupBy("rule").agg(*(F.sum(n).alias(n) for n in names))
+
+
+_JUDGED_SQL = f"""SELECT customer_id, changed_at, change_id, gender, country, email,
  nullif(concat_ws(', ', CASE WHEN NOT v1 THEN 'gender' END, CASE WHEN NOT v2 THEN 'country' END,
   CASE WHEN NOT v3 THEN 'email' END), '') AS data_quality_flags,
  round((CASE WHEN v1 THEN 1 ELSE 0 END + CASE WHEN v2 THEN 1 ELSE 0 END + CASE WHEN v3 THEN 1 ELSE 0 END)
@@ -199,13 +234,37 @@ FROM (SELECT *, gender IN ('M', 'F', 'X') AS v1, country IN ('US', 'GB') AS v2,
  FROM (SELECT customer_id, changed_at, change_id, email,
   CASE WHEN upper(trim(gender)) = 'M' THEN 'M' END AS gender,
   CASE country WHEN 'usa' THEN 'US' WHEN 'UK' THEN 'GB' END AS country
-  FROM ({fixture_sql('crm_changes')}) AS c) AS t) AS j""",
-    "customer_id",
-    "changed_at",
-    ("change_id",),
-    ("gender", "country", "email", "data_quality_flags", "quality_score"),
-    show_seq=True,
-)
+  FROM ({fixture_sql('crm_changes')}) AS c) AS t) AS j"""
+
+
+def _quality_sql(where: str = "true") -> str:
+    return history_sql(
+        f"SELECT * FROM ({_JUDGED_SQL}) AS judged WHERE {where}",
+        "customer_id",
+        "changed_at",
+        ("change_id",),
+        ("gender", "country", "email", "data_quality_flags", "quality_score"),
+        show_seq=True,
+    )
+
+
+_FIT = "gender IS NOT NULL AND coalesce(email LIKE '%@%', false)"
+_QUARANTINE_SQL = f"""SELECT *, concat_ws(', ', CASE WHEN gender IS NULL THEN 'gender' END,
+ CASE WHEN NOT coalesce(email LIKE '%@%', false) THEN 'email' END) AS quarantine_reasons
+FROM ({_JUDGED_SQL}) AS judged WHERE NOT ({_FIT})"""
+
+
+def _rule_counts_sql() -> str:
+    lines = (
+        f"SELECT '{rule}' AS rule, count(*) AS n_rows, count(*) FILTER ({ok}) AS n_passed,"
+        f" count(*) FILTER (NOT {ok}) AS n_failed, count(*) FILTER (({ok}) IS NULL) AS n_unknown FROM judged"
+        for rule, ok in (
+            ("gender", "gender IN ('M', 'F', 'X')"),
+            ("country", "country IN ('US', 'GB')"),
+            ("email", "coalesce(email LIKE '%@%', false)"),
+        )
+    )
+    return f"WITH judged AS ({_JUDGED_SQL})\n" + "\nUNION ALL\n".join(lines)
 
 
 # --- lookups ---------------------------------------------------------------
@@ -284,7 +343,11 @@ WHERE user_id IS NULL OR ts IS NULL""",
     "scd2_transaction_status": Query(_transactions(True), _transactions_sql(("status", "amount"), ("priority",))),
     "scd2_product": Query(_products(True), _products_sql(_PRICED, ("tax",))),
     "scd2_product_all": Query(_products(False), _products_sql((*_PRICED, "tax"), ())),
-    "scd2_quality_flow": Query(_quality_flow, _QUALITY_SQL),
+    "scd2_quality_flow": Query(_quality_flow, _quality_sql()),
+    "scd2_quality_stream": Query(_quality_stream(), _quality_sql()),
+    "scd2_quality_stream_required": Query(_quality_stream(("gender", "email")), _quality_sql(_FIT)),
+    "scd2_quarantine": Query(_quarantined, _QUARANTINE_SQL),
+    "dq_stream_counts": Query(_stream_rule_counts, _rule_counts_sql()),
     "scd2_current": Query(
         _lookup(current_versions), f'SELECT * FROM ({_users_sql()}) AS h WHERE "__END_AT" IS NULL'
     ),

@@ -258,6 +258,10 @@ class StreamedHistory:
 
     # --- reading -----------------------------------------------------------
 
+    def committed_batch(self, spark: SparkSession) -> int:
+        """The newest batch that readers see; -1 before the first."""
+        return self._committed(spark).batch_id
+
     def read(self, spark: SparkSession, columns: T.StructType) -> DataFrame:
         """The history as of the newest commit; ``columns`` is the change rows' schema."""
         commit = self._committed(spark)
