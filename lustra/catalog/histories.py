@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lustra.catalog.base import Query, fixture_sql, history_sql, silver_sql
 from lustra.functions import standardize, validate
+from lustra.operators.as_of import as_of_join
 from lustra.operators.history import (
     CUSTOMER_UNTRACKED,
     HistorySpec,
@@ -26,6 +27,7 @@ from lustra.operators.history import (
     transaction_history,
     versions_as_of,
 )
+from lustra.operators.layout import HistoryLayout
 from lustra.operators.silver import SilverSpec, silver_customers
 from lustra.plans.fixtures import fixture
 from lustra.sources.sinks import store
@@ -279,6 +281,44 @@ def _lookup(pick: Callable[[DataFrame], DataFrame]):
     return run
 
 
+def _laid_out(pick: Callable[[HistoryLayout, SparkSession], DataFrame]):
+    """A lookup on a history stored by eras and key slots."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layout = HistoryLayout(fresh_folder(spark, "users-layout"), ("user_id",), eras=4, slots=8)
+        layout.write(user_history(spark, sf_dir))
+        return pick(layout, spark)
+
+    return run
+
+
+def _facts(source: str):
+    """Every event half an hour later, as a fact about its user."""
+
+    def of(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fixture(spark, sf_dir, source).select(
+            F.col("event_id").alias("fact_id"), "user_id", F.expr("ts + INTERVAL 30 MINUTES").alias("at")
+        )
+
+    return of
+
+
+def _as_of_join(source: str, skew: SkewPolicy):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        history = build_history(fixture(spark, sf_dir, source), USERS).select(*_USERS_SHOWN)
+        return as_of_join(_facts(source)(spark, sf_dir), history, ["user_id"], "at", skew=skew)
+
+    return run
+
+
+def _as_of_join_sql(source: str) -> str:
+    valid = 'h."__END_AT" IS NULL OR h."__END_AT" > f.at'
+    shown = ", ".join(f'CASE WHEN {valid} THEN h."{c}" END AS "{c}"' for c in _USERS_SHOWN[1:])
+    return f"""SELECT f.fact_id, f.user_id, f.at, {shown}
+FROM (SELECT event_id AS fact_id, user_id, ts + INTERVAL 30 MINUTE AS at FROM ({fixture_sql(source)}) AS c) AS f
+ASOF LEFT JOIN ({_users_sql(source)}) AS h ON f.user_id = h.user_id AND f.at >= h."__START_AT\""""
+
+
 # --- stream ----------------------------------------------------------------
 
 
@@ -303,6 +343,10 @@ def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_changes(holed, USERS).select("event_id", "user_id", "ts", "band")
 
 
+_AS_OF_SQL = f"""SELECT * FROM ({_users_sql()}) AS h WHERE "__START_AT" <= TIMESTAMP '{AS_OF}'
+ AND ("__END_AT" IS NULL OR "__END_AT" > TIMESTAMP '{AS_OF}')"""
+_KEY_SQL = f'SELECT * FROM ({_users_sql()}) AS h WHERE user_id = 7 ORDER BY "__START_AT"'
+
 QUERIES = {
     "scd2_build": Query(user_history, _users_sql()),
     "scd2_build_ties": Query(
@@ -351,14 +395,20 @@ WHERE user_id IS NULL OR ts IS NULL""",
     "scd2_current": Query(
         _lookup(current_versions), f'SELECT * FROM ({_users_sql()}) AS h WHERE "__END_AT" IS NULL'
     ),
+    "scd2_as_of_layout": Query(_laid_out(lambda layout, spark: layout.as_of(spark, AS_OF)), _AS_OF_SQL),
+    "scd2_history_layout": Query(_laid_out(lambda layout, spark: layout.key_history(spark, {"user_id": 7})), _KEY_SQL),
+    "scd2_layout": Query(_laid_out(lambda layout, spark: layout.read(spark)), _users_sql()),
+    "scd2_as_of_join": Query(_as_of_join("user_changes", SkewPolicy()), _as_of_join_sql("user_changes")),
+    "scd2_as_of_join_hot_key": Query(
+        _as_of_join("skewed_changes", SkewPolicy(hot_rows=1000, range_rows=500)), _as_of_join_sql("skewed_changes")
+    ),
     "scd2_as_of": Query(
         _lookup(lambda history: versions_as_of(history, AS_OF)),
-        f"""SELECT * FROM ({_users_sql()}) AS h WHERE "__START_AT" <= TIMESTAMP '{AS_OF}'
- AND ("__END_AT" IS NULL OR "__END_AT" > TIMESTAMP '{AS_OF}')""",
+        _AS_OF_SQL,
     ),
     "scd2_history": Query(
         _lookup(lambda history: key_history(history, {"user_id": 7})),
-        f'SELECT * FROM ({_users_sql()}) AS h WHERE user_id = 7 ORDER BY "__START_AT"',
+        _KEY_SQL,
     ),
     "sort_history": Query(
         lambda spark, sf_dir: by_start(user_history(spark, sf_dir), USERS), _users_sql()

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lustra.operators.silver import SilverSpec, build_silver
+from lustra.operators.skew import SkewPolicy, hot_keys
 from lustra.sources.workspace import ensure_checkpoints
 
 START, END = "__START_AT", "__END_AT"
@@ -106,18 +107,6 @@ class HistorySpec:
         return [*self.tie_break, *rest]
 
 
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When a key counts as hot and how finely it is cut.
-
-    A key is hot if it has at least ``hot_rows`` rows and outweighs an average
-    shuffle partition, so there are never more hot keys than partitions.
-    """
-
-    hot_rows: int = 2_000_000
-    range_rows: int = 1_000_000
-
-
 # --- presets ---------------------------------------------------------------
 
 # Customer bookkeeping columns that open no version.
@@ -201,7 +190,7 @@ def build_history(
 ) -> DataFrame:
     """All versions of all keys.
 
-    With a skew policy one counting job over the key columns runs first;
+    With a skew policy one sketching job over the key columns runs first (:mod:`skew`);
     ``skew=None`` skips it where keys are known to be bounded.
     """
     columns = changes.columns
@@ -234,7 +223,7 @@ def walk_changes(
     """
     job = _Walk.over(changes, spec)
     rows = mark_deletes(changes.filter(identified(spec)), spec)
-    hot, hot_rows = _hot_keys(rows, spec, skew, counts) if skew else (None, 0)
+    hot, hot_rows = hot_keys(rows, spec.keys, skew, counts) if skew else (None, 0)
     if hot is None:
         return job.plain(rows)
     keys = list(spec.keys)
@@ -244,25 +233,6 @@ def walk_changes(
     return cold.unionByName(job.ranged(rows.join(few, keys, "left_semi"), ranges))
 
 
-def _hot_keys(
-    rows: DataFrame, spec: HistorySpec, skew: SkewPolicy, counts: DataFrame | None
-) -> tuple[DataFrame | None, int]:
-    """Keys too big for one task, and at least how many rows they have together.
-
-    Counts combine before the shuffle, so a hot key costs one row per task here.
-    """
-    if counts is None:
-        counts = rows.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
-    big = F.when(F.col("n") >= skew.hot_rows, F.col("n"))
-    total, largest, big_total = counts.agg(F.sum("n"), F.max("n"), F.sum(big)).first()
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(skew.hot_rows, (total or 0) // partitions)
-    if (largest or 0) < limit:
-        return None, 0
-    ensure_checkpoints(rows.sparkSession)
-    return counts.filter(F.col("n") >= limit).select(*spec.keys).checkpoint(), big_total
-
-
 @dataclass(frozen=True)
 class _Walk:
     """The window chain, over whole keys or over ranges of hot keys."""
