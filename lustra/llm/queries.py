@@ -96,10 +96,10 @@ def op9_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality scores of all documents; a third of the labels is held out of training."""
+    """Quality scores of all documents; a third of the labels is held out of training, no NULL doc_id ever is."""
     ship_package(spark)
     documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     model = train(documents, labels.filter(~held_out), "quality")
     scored = score(documents, model)
     return scored.select(

@@ -6,11 +6,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tables import ODD, documents
 
 import corpus_pipeline
-from lustra.llm.nbest_pieces import Lattice, decode, encode
+from lustra.llm.nbest_pieces import Lattice, _encoded, decode, encode
 from lustra.llm.queries import PIECES, op6_nbest_pieces
 
 SF = "/root/testdata/sf0.001/documents.parquet"
@@ -110,3 +111,16 @@ def test_paths_of_odd_rows(spark):
     assert all(len(r.scores) == len(r.path_pieces) == len(r.path_sha256) == len(r.path_round_trips) for r in coded)
     assert {r.doc_id for r in coded if not all(r.path_round_trips)} == {62}
     assert all((r.path_pieces, r.path_round_trips) == ([0], [True]) for r in coded if r.doc_id in (1, 2))
+
+
+@pytest.mark.parametrize("order", [(2, 8, 4), (8, 2, 4), (4, 1, 8)])
+def test_lists_of_another_length_are_not_reused(lattice, order):
+    """One process asked for lists of several lengths: each is that of the whole lattice."""
+    texts = ["the an", "on the", "and then", "it in an"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    for n in order:
+        rows = pa.Table.from_batches(_encoded(PIECES, n, True, True)(iter([batch]))).to_pylist()
+        for text, row in zip(texts, rows):
+            wanted = ranked(lattice, "▁" + text.replace(" ", "▁"), n)
+            assert row["scores"] == pytest.approx([s for s, _ in wanted])
+            assert len({tuple(p) for p in row["paths"]}) == len(wanted)
