@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lustra.catalog.base import Query, fixture_sql, over, silver_sql
 from lustra.functions import masks
-from lustra.functions.sql_masks import register_sql_masks
+from lustra.functions.sql_masks import register_level_masks, register_sql_masks
 from lustra.operators.columns import stamp
 from lustra.operators.grants import (
     active_grants,
@@ -24,6 +24,8 @@ from lustra.operators.grants import (
 )
 from lustra.operators.masking import apply_policy, mask_known_columns
 from lustra.operators.silver import add_postal, build_silver, clean_values, customer_spec, silver_customers
+from lustra.operators.skew import SkewPolicy
+from lustra.operators.timeline import access_timeline
 from lustra.plans.fixtures import AS_OF, fixture, table
 from lustra.plans.gold import GOLD_COLUMNS, gold_customer_view, gold_customers
 
@@ -250,6 +252,82 @@ def _sql_masked_sql(user: str) -> str:
     )
 
 
+_SQL_MASKS = (
+    ("email", "email", _EMAIL, "***@***"),
+    ("phone", "phone", _PHONE, "***"),
+    ("nric", "nric", _NRIC, "***"),
+    ("address", "address, postal_code", _ADDRESS_POSTAL, "***"),
+    ("ssn", "ssn", _SSN, "***"),
+)
+_READERS = ("scientist", "governance", "stranger")
+
+
+def _sql_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three readers side by side in one query, each under functions of their own."""
+    grants = fixture(spark, sf_dir, "pii_grants")
+    for user in _READERS:
+        register_sql_masks(spark, grants, F.lit(_address(user)), _as_of(), suffix=f"_{user}")
+    shown = ", ".join(
+        f"mask_{name}_{user}({arguments}) AS {name}_{user}" for user in _READERS for name, arguments, *_ in _SQL_MASKS
+    )
+    return spark.sql(f"SELECT customer_id, {shown} FROM {{silver}}", silver=add_postal(_cleaned(spark, sf_dir)))
+
+
+def _sql_readers_sql() -> str:
+    levels = ", ".join(f"{_level_sql(user)} AS l_{user}" for user in _READERS)
+    shown = ", ".join(
+        f"CASE l_{user} WHEN 'full_access' THEN {name} WHEN 'partial_access' THEN {partial} ELSE '{hidden}' END"
+        f" AS {name}_{user}"
+        for user in _READERS
+        for name, _, partial, hidden in _SQL_MASKS
+    )
+    rows = f"SELECT *, {levels} FROM ({silver_sql('crm_customers')}) AS s"
+    return over("crm_customers", f"SELECT customer_id, {shown} FROM ({rows}) AS l", "pii_grants")
+
+
+def _sql_row_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer row as its own user sees it: all levels resolved once and joined."""
+    register_level_masks(spark)
+    shown = ", ".join(f"mask_{name}_at(access_level, {arguments}) AS {name}" for name, arguments, *_ in _SQL_MASKS)
+    return spark.sql(
+        f"SELECT customer_id, {shown} FROM {{silver}} AS s LEFT JOIN {{levels}} AS l"
+        " ON l.user_email = concat('user', s.customer_id, '@company.com')",
+        silver=add_postal(_cleaned(spark, sf_dir)),
+        levels=resolve_all_levels(fixture(spark, sf_dir, "pii_grants"), _as_of()),
+    )
+
+
+def _sql_row_readers_sql() -> str:
+    rank = (
+        f"(SELECT max({_RANK}) FROM pii_grants WHERE user_email = 'user' || s.customer_id || '@company.com' AND {_LIVE})"
+    )
+    shown = ", ".join(
+        f"CASE level WHEN 2 THEN {name} WHEN 1 THEN {partial} ELSE '{hidden}' END AS {name}"
+        for name, _, partial, hidden in _SQL_MASKS
+    )
+    rows = f"SELECT *, {rank} AS level FROM ({silver_sql('crm_customers')}) AS s"
+    return over("crm_customers", f"SELECT customer_id, {shown} FROM ({rows}) AS l", "pii_grants")
+
+
+def _timeline(name: str, skew: SkewPolicy = SkewPolicy()):
+    return lambda spark, sf_dir: access_timeline(fixture(spark, sf_dir, name), skew)
+
+
+def _timeline_sql(name: str) -> str:
+    """The level at every start or end, from all grants that cover it; rows that change nothing fall out."""
+    live = "g.granted_at <= p.t AND (g.expires_at IS NULL OR g.expires_at > p.t)"
+    return f"""WITH counted AS (SELECT * FROM ({fixture_sql(name)}) AS all_grants
+ WHERE is_active AND (expires_at IS NULL OR expires_at > granted_at)),
+points AS (SELECT user_email, granted_at AS t FROM counted
+ UNION SELECT user_email, expires_at FROM counted WHERE expires_at IS NOT NULL),
+levels AS (SELECT p.user_email, p.t, coalesce(max({_RANK}) FILTER ({live}), 0) AS r
+ FROM points AS p JOIN counted AS g USING (user_email) GROUP BY ALL),
+steps AS (SELECT *, lag(r) OVER (PARTITION BY user_email ORDER BY t) AS before FROM levels)
+SELECT user_email, {_NAME.format('r')} AS access_level, t AS "__START_AT",
+ lead(t) OVER (PARTITION BY user_email ORDER BY t) AS "__END_AT"
+FROM steps WHERE before IS DISTINCT FROM r"""
+
+
 # --- gold ------------------------------------------------------------------
 
 # Gold reads history; these bounds give every third customer a closed version.
@@ -454,6 +532,12 @@ QUALIFY row_number() OVER (PARTITION BY user_email ORDER BY {_RANK} DESC, grante
             + f" FROM ({silver_sql('crm_customers')}) AS s) AS l",
         ),
     ),
+    "grants_timeline": Query(_timeline("pii_grants"), _timeline_sql("pii_grants")),
+    "grants_timeline_hot_user": Query(
+        _timeline("order_grants", SkewPolicy(hot_rows=50, range_rows=20)), _timeline_sql("order_grants")
+    ),
+    "mask_sql_readers": Query(_sql_readers, _sql_readers_sql()),
+    "mask_sql_row_readers": Query(_sql_row_readers, _sql_row_readers_sql()),
     "mask_sql_functions": Query(_sql_masked("scientist"), _sql_masked_sql("scientist")),
     "mask_sql_functions_full": Query(_sql_masked("governance"), _sql_masked_sql("governance")),
     "mask_sql_functions_masked": Query(_sql_masked("expired"), _sql_masked_sql("expired")),

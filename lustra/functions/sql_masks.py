@@ -8,6 +8,8 @@ per query, whatever the number of masked columns and rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from lustra.functions.codes import FULL_LEVEL, PARTIAL_LEVEL
@@ -54,14 +56,36 @@ _FUNCTIONS = {
 
 
 def register_sql_masks(
-    spark: SparkSession, grants: DataFrame, user: Column | None = None, as_of: Column | None = None
+    spark: SparkSession,
+    grants: DataFrame,
+    user: Column | None = None,
+    as_of: Column | None = None,
+    suffix: str = "",
 ) -> None:
-    """Create the mask functions in this session, for one reader (the current user by default)."""
-    resolve_level(grants, user, as_of).createOrReplaceTempView(LEVEL_VIEW)
-    level = f"(SELECT access_level FROM {LEVEL_VIEW})"
+    """Create the mask functions in this session, for one reader (the current user by default).
+
+    Several readers share a session when each has a ``suffix`` of its own: their functions
+    (``mask_email<suffix>`` and so on) read a view of their own, and one query may use both.
+    """
+    view = f"{LEVEL_VIEW}{suffix}"
+    resolve_level(grants, user, as_of).createOrReplaceTempView(view)
+    _create(spark, suffix, f"(SELECT access_level FROM {view})")
+
+
+def register_level_masks(spark: SparkSession) -> None:
+    """Create the mask functions with the level as first argument: ``mask_email_at(access_level, email)``.
+
+    They serve rows of many readers at once: join the readers' levels
+    (:func:`resolve_all_levels`), which resolves each once, and hand them on. NULL hides.
+    """
+    _create(spark, "_at", "access_level", ["access_level"])
+
+
+def _create(spark: SparkSession, suffix: str, level: str, first: Sequence[str] = ()) -> None:
     for name, (arguments, partial, hidden) in _FUNCTIONS.items():
+        declared = ", ".join(f"{a} STRING" for a in (*first, *arguments))
         spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({', '.join(f'{a} STRING' for a in arguments)}) RETURNS STRING"
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{suffix}({declared}) RETURNS STRING"
             f" RETURN CASE {level} WHEN '{FULL_LEVEL}' THEN {arguments[0]} WHEN '{PARTIAL_LEVEL}' THEN {partial}"
             f" ELSE '{hidden}' END"
         )

@@ -89,6 +89,19 @@ FROM (
 ) AS g
 """
 
+# Grants that overlap, one per order, a third of them to one shared account.
+ORDER_GRANTS = """
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'shared@company.com'
+  ELSE CONCAT('user', CAST(o_custkey AS VARCHAR(20)), '@company.com') END AS user_email,
+ CASE o_orderkey % 4 WHEN 0 THEN 'masked_only' WHEN 1 THEN 'partial_access' WHEN 2 THEN 'full_access' ELSE 'other' END
+  AS access_level,
+ CAST(o_orderdate AS {ts}) + INTERVAL '1' HOUR * (o_orderkey % 24) AS granted_at,
+ CASE WHEN o_orderkey % 101 > 0
+  THEN CAST(o_orderdate AS {ts}) + INTERVAL '1' HOUR * (o_orderkey % 40 - 2) END AS expires_at,
+ o_orderkey % 11 <> 0 AS is_active
+FROM {orders}
+"""
+
 USER_CHANGES = """
 SELECT user_id, ts, event_id, event_type = 'signup' AS is_deleted,
  CASE WHEN event_type = 'error' THEN NULL WHEN value < 30 THEN 'lo' ELSE 'hi' END AS band,
@@ -154,6 +167,7 @@ FIXTURES = {
     "crm_customers": CRM_CUSTOMERS,
     "crm_money": CRM_MONEY,
     "pii_grants": PII_GRANTS,
+    "order_grants": ORDER_GRANTS,
     "user_changes": USER_CHANGES,
     "skewed_changes": SKEWED_CHANGES,
     "order_changes": ORDER_CHANGES,
