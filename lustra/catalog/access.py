@@ -22,9 +22,10 @@ from lustra.operators.grants import (
     seed_grants,
     strongest_grants,
 )
-from lustra.operators.masking import apply_policy, mask_known_columns
+from lustra.operators.masking import DEFAULT_POLICY, ColumnMask, apply_policy, mask_known_columns
 from lustra.operators.silver import add_postal, build_silver, clean_values, customer_spec, silver_customers
 from lustra.operators.skew import SkewPolicy
+from lustra.operators.tags import mask_tagged, tag_tables
 from lustra.operators.timeline import access_timeline
 from lustra.plans.fixtures import AS_OF, fixture, table
 from lustra.plans.gold import GOLD_COLUMNS, gold_customer_view, gold_customers
@@ -224,6 +225,24 @@ def _policy_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked.select("customer_id", "email", "phone", "nric", "address", "ssn", "postal_code")
 
 
+def _tag_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables tagged by policy, columns renamed twice, joined, and masked at the end."""
+    rows = add_postal(_cleaned(spark, sf_dir)).withColumn("access_level", F.expr(_ROW_LEVEL))
+    policy = {**DEFAULT_POLICY, "accounts": {"ssn": ColumnMask(masks.mask_ssn)}}
+    tagged = tag_tables(
+        {
+            "main.crm.customers_silver": rows.select("customer_id", "email", "phone", "address", "nric", "postal_code"),
+            "main.crm.accounts": rows.select("customer_id", "ssn", "access_level"),
+        },
+        policy,
+    )
+    contacts = tagged["main.crm.customers_silver"].withColumnRenamed("email", "contact").filter("customer_id > 0")
+    contacts = contacts.select(F.col("contact").alias("reach"), F.col("phone").alias("tel"), "*").drop("contact", "phone")
+    contacts = contacts.withColumnsRenamed({"postal_code": "zip", "address": "home"})
+    joined = contacts.join(tagged["main.crm.accounts"], "customer_id")
+    return mask_tagged(joined, "access_level", policy).drop("access_level")
+
+
 def _sql_masked(user: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         register_sql_masks(spark, fixture(spark, sf_dir, "pii_grants"), F.lit(_address(user)), _as_of())
@@ -532,6 +551,25 @@ QUALIFY row_number() OVER (PARTITION BY user_email ORDER BY {_RANK} DESC, grante
             + f" FROM ({silver_sql('crm_customers')}) AS s) AS l",
         ),
     ),
+    "mask_tags": Query(
+        _tag_masked,
+        over(
+            "crm_customers",
+            "SELECT customer_id, email AS reach, phone AS tel, nric, address AS home, ssn, postal_code AS zip FROM"
+            " (SELECT customer_id, postal_code, "
+            + ", ".join(
+                [
+                    _masked_sql("email", _EMAIL, "***@***"),
+                    _masked_sql("phone", _PHONE, "***"),
+                    _masked_sql("nric", _NRIC, "***"),
+                    _masked_sql("address", _ADDRESS_POSTAL, "***"),
+                    _masked_sql("ssn", _SSN, "***"),
+                ]
+            )
+            + f" FROM (SELECT *, {_ROW_LEVEL} AS access_level FROM ({silver_sql('crm_customers')}) AS s) AS l) AS m"
+            " WHERE customer_id > 0",
+        ),
+    ),
     "grants_timeline": Query(_timeline("pii_grants"), _timeline_sql("pii_grants")),
     "grants_timeline_hot_user": Query(
         _timeline("order_grants", SkewPolicy(hot_rows=50, range_rows=20)), _timeline_sql("order_grants")

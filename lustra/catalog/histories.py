@@ -28,7 +28,8 @@ from lustra.operators.history import (
     versions_as_of,
 )
 from lustra.operators.layout import HistoryLayout
-from lustra.operators.silver import SilverSpec, silver_customers
+from lustra.operators.measures import MeasuredIncrements
+from lustra.operators.silver import SilverSpec, build_silver, silver_customers
 from lustra.plans.fixtures import fixture
 from lustra.sources.sinks import store
 from lustra.sources.workspace import fresh_folder
@@ -226,6 +227,37 @@ def _stream_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow.rule_counts(spark).groupBy("rule").agg(*(F.sum(n).alias(n) for n in names))
 
 
+def _measured(spark: SparkSession, sf_dir: str) -> MeasuredIncrements:
+    """Cleansed change rows measured in four increments."""
+    silver = build_silver(_quality_changes(spark, sf_dir), _QUALITY, flags=False, score=False)
+    rules = {name: (lambda fn=fn, name=name: fn(F.col(name))) for name, fn in _QUALITY.rules.items()}
+    measures = MeasuredIncrements(fresh_folder(spark, "crm-measures"), rules, ("customer_id", "email"), ("change_id",))
+    for i in range(4):
+        measures.add(silver.filter(F.col("change_id") % 4 == i), i)
+    return measures
+
+
+def _span_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _measured(spark, sf_dir).rule_summary(spark, first=1, last=2)
+
+
+def _span_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether distinct counts and medians of the whole, merged from increments, are within their errors."""
+    measures, rows = _measured(spark, sf_dir), _quality_changes(spark, sf_dir)
+    true = rows.agg(*(F.count_distinct(c).alias(c) for c in measures.distinct))
+    true = true.select(F.explode(F.create_map(*(x for c in measures.distinct for x in (F.lit(c), F.col(c))))).alias("column", "n"))
+    counts = measures.distinct_summary(spark).join(true, "column")
+    counts = counts.select("column", "n_known", (F.abs(F.col("n_distinct") - F.col("n")) <= 0.08 * F.col("n")).alias("close"))
+    medians = measures.quantile_summary(spark, (0.5,)).select("n_numbers", F.get("values", F.lit(0)).alias("median"))
+    below = F.avg((F.col("change_id") <= medians.select("median").scalar()).cast("int"))
+    share = rows.agg(below.alias("share")).select(
+        F.lit("change_id").alias("column"),
+        medians.select("n_numbers").scalar().alias("n_known"),
+        (F.abs(F.col("share") - 0.5) <= 0.05).alias("close"),
+    )
+    return counts.unionByName(share)
+
+
 _JUDGED_SQL = f"""SELECT customer_id, changed_at, change_id, gender, country, email,
  nullif(concat_ws(', ', CASE WHEN NOT v1 THEN 'gender' END, CASE WHEN NOT v2 THEN 'country' END,
   CASE WHEN NOT v3 THEN 'email' END), '') AS data_quality_flags,
@@ -256,10 +288,11 @@ _QUARANTINE_SQL = f"""SELECT *, concat_ws(', ', CASE WHEN gender IS NULL THEN 'g
 FROM ({_JUDGED_SQL}) AS judged WHERE NOT ({_FIT})"""
 
 
-def _rule_counts_sql() -> str:
+def _rule_counts_sql(where: str = "true", rate: str = "") -> str:
     lines = (
         f"SELECT '{rule}' AS rule, count(*) AS n_rows, count(*) FILTER ({ok}) AS n_passed,"
-        f" count(*) FILTER (NOT {ok}) AS n_failed, count(*) FILTER (({ok}) IS NULL) AS n_unknown FROM judged"
+        f" count(*) FILTER (NOT {ok}) AS n_failed, count(*) FILTER (({ok}) IS NULL) AS n_unknown"
+        f"{rate.format(ok)} FROM judged WHERE {where}"
         for rule, ok in (
             ("gender", "gender IN ('M', 'F', 'X')"),
             ("country", "country IN ('US', 'GB')"),
@@ -392,6 +425,16 @@ WHERE user_id IS NULL OR ts IS NULL""",
     "scd2_quality_stream_required": Query(_quality_stream(("gender", "email")), _quality_sql(_FIT)),
     "scd2_quarantine": Query(_quarantined, _QUARANTINE_SQL),
     "dq_stream_counts": Query(_stream_rule_counts, _rule_counts_sql()),
+    "dq_increments": Query(
+        _span_summary,
+        _rule_counts_sql("change_id % 4 IN (1, 2)", ", round(count(*) FILTER ({0}) * 100.0 / count(*), 2) AS pass_rate"),
+    ),
+    "dq_increment_sketches": Query(
+        _span_sketches,
+        "SELECT 'customer_id' AS \"column\", count(*) AS n_known, true AS close FROM orders"
+        f" UNION ALL SELECT 'email', count(email), true FROM ({fixture_sql('crm_changes')}) AS c"
+        " UNION ALL SELECT 'change_id', count(*), true FROM orders",
+    ),
     "scd2_current": Query(
         _lookup(current_versions), f'SELECT * FROM ({_users_sql()}) AS h WHERE "__END_AT" IS NULL'
     ),
