@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from lustra.operators.layout import HistoryLayout
 from lustra.operators.measures import MeasuredIncrements
 from lustra.operators.silver import SilverSpec, build_silver, silver_customers
 from lustra.plans.fixtures import fixture
+from lustra.plans.packed import HistoryJob, history_packed
 from lustra.sources.sinks import store
 from lustra.sources.workspace import fresh_folder
 from lustra.streaming.history_stream import StreamedHistory
@@ -73,6 +75,21 @@ def user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _users(USERS)(spark, sf_dir)
 
 
+_SHARDS = 5
+
+
+def _many_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change logs of five shards of the users, built together and written in one pack."""
+
+    def read(name: str) -> DataFrame:
+        return fixture(spark, sf_dir, "user_changes").filter(F.col("user_id") % _SHARDS == int(name[-1]))
+
+    run = history_packed(spark, [HistoryJob(f"users_{i}", USERS) for i in range(_SHARDS)], read)
+    run.raise_failed()
+    parts = [t.read(spark).select(F.lit(name).alias("source"), *_USERS_SHOWN) for name, t in run.tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of all rows under one key, cut into ranges like any key above a tenth of the rows."""
     changes = fixture(spark, sf_dir, "skewed_changes")
@@ -386,6 +403,9 @@ QUERIES = {
         _orders(replace(_ORDERS, track=("status",), deletes="priority = '1-URGENT'")),
         _orders_sql(("status",), ("amount", "priority"), "priority = '1-URGENT'"),
     ),
+    "scd2_many": Query(
+        _many_histories, f"SELECT concat('users_', user_id % {_SHARDS}) AS source, * FROM ({_users_sql()}) AS h"
+    ),
     "scd2_build_hot_key": Query(_ranged, _users_sql("skewed_changes")),
     "scd2_track_only": Query(_orders(replace(_ORDERS, track=("status",))), _orders_sql(("status",), ("amount", "priority"))),
     "scd2_track_except": Query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from lustra.functions import standardize, validate
 from lustra.operators.silver import SilverSpec
 from lustra.plans.fixtures import MANY_TABLES, fixture, table
 from lustra.plans.many import TableJob, run_silver
+from lustra.plans.packed import silver_packed
 from lustra.sources.named_csv import NamedCsv
 from lustra.sources.readers import add_lineage, read_table, stream_csv, stream_table
 from lustra.sources.sinks import publish_view, store, write_stream_table
@@ -155,6 +158,16 @@ def _many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def _many_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same four tables in packs: two writes, read back one by one."""
+    jobs = [TableJob(name, MANY_SPEC) for name in MANY_TABLES]
+    run = silver_packed(spark, jobs, lambda name: fixture(spark, sf_dir, f"dirty_{name}"), packs=2)
+    run.raise_failed()
+    shown = ["id", "name", "data_quality_flags", "quality_score"]
+    parts = [t.read(spark).select(F.lit(name).alias("source"), *shown) for name, t in run.tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _many_sql() -> str:
     lines = []
     for name, text in MANY_TABLES.items():
@@ -221,4 +234,5 @@ FROM (SELECT customer_id, regexp_replace(phone, '[^\d+]', '', 'g') AS d FROM crm
         ),
     ),
     "silver_many": Query(_many, _many_sql()),
+    "silver_many_packed": Query(_many_packed, _many_sql()),
 }
