@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lustra.llm.repeats import id_of, keyed
+from lustra.llm.stored import stored
 
 # --- fixed values -----------------------------------------------------------------
 #: Words that licence texts spell two ways: what is met, what is kept.
@@ -182,10 +183,13 @@ def _bare(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
 
 
+def _one_spelling(bare: Column) -> Column:
+    return reduce(lambda c, pair: F.replace(c, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")), SPELLINGS, bare)
+
+
 def _spelled(bare: Column) -> Column:
     """One spelling of each word."""
-    one = reduce(lambda c, pair: F.replace(c, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")), SPELLINGS, bare)
-    return F.when(bare.rlike(_ANY_SPELLING), one).otherwise(bare)
+    return F.when(bare.rlike(_ANY_SPELLING), _one_spelling(bare)).otherwise(bare)
 
 
 def canonical(text: Column) -> Column:
@@ -210,26 +214,58 @@ def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOW
     return with_digest(texts, "text").groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
-def scan_licences(documents: DataFrame, known: DataFrame) -> DataFrame:
+def _hash(form: Column) -> Column:
+    return F.when(F.length(form) > 2, F.sha2(form.cast("binary"), 256))
+
+
+def _padded(words: Column) -> Column:
+    return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
+
+
+def with_digests(texts: DataFrame) -> DataFrame:
+    """``text`` replaced by ``digest`` of the whole and ``lines``, the canonical forms of its lines.
+
+    The patterns run over a text once, with its line ends kept; the whole and the lines are
+    made of that. A line has no spelling to change unless the whole has one.
+    """
+    lower = F.translate("text", _UPPER, _LOWER)
+    rows = texts.withColumn("text", F.regexp_replace(lower, COPYRIGHT_LINE, "\n"))
+    rows = rows.withColumn("text", F.regexp_replace("text", "[^a-z0-9\n]+", " "))
+    spread = F.concat(F.lit(" "), F.replace("text", F.lit("\n"), F.lit(" \n ")), F.lit(" "))
+    rows = rows.withColumns(
+        {"text": F.replace(spread, F.lit("  "), F.lit(" ")), "bare": _padded(F.regexp_replace("text", "[ \n]+", " "))}
+    )
+    rows = rows.withColumn("any", F.col("bare").rlike(_ANY_SPELLING))
+    rows = rows.withColumns(
+        {c: F.when(F.col("any"), _one_spelling(F.col(c))).otherwise(F.col(c)) for c in ("text", "bare")}
+    )
+    return rows.withColumns({"digest": _hash(F.col("bare")), "lines": F.split("text", "\n")}).drop("text", "bare", "any")
+
+
+def scan_licences(documents: DataFrame, known: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
     """Per row: doc_id, digest, licence (of the whole text) and notices (licences of whole lines).
 
     Needs ``doc_id`` and ``text``; further columns are ignored. ``known`` has digest and
-    licence, one row a digest. Whole texts and single lines are looked up alike; notices
-    are distinct, sorted and joined by commas, NULL if there are none.
+    licence, one row a digest; up to ``broadcast_rows`` of them go to the texts, beyond that digests are
+    shuffled. Whole texts and single lines are looked up alike; notices are distinct, sorted and joined by
+    commas, NULL if there are none.
 
     NULL texts and texts without a word have no digest. Repeated rows get equal results. An
-    empty table gives an empty result.
+    empty table gives an empty result. A text is held as a whole by its task, however long.
     """
-    texts = keyed(documents)
-    whole = with_digest(texts, "text")
-    lines = with_digest(texts.select("doc", "rid", F.explode(F.split("text", "\n")).alias("line")), "line")
+    known = stored(known.select("digest", "licence"), "known")
+    few = F.broadcast(known) if known.count() <= broadcast_rows else known
+    read = with_digests(keyed(documents))
+    whole = read.select("doc", "rid", "digest")
+    lines = read.select("doc", "rid", F.explode("lines").alias("line")).withColumn("line", _padded(F.col("line")))
+    lines = lines.filter(F.length("line") > 2).select("doc", "rid", _hash(F.col("line")).alias("digest"))
     notices = (
-        lines.join(known, "digest")
+        lines.join(few, "digest")
         .groupBy("doc", "rid")
         .agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("notices"))
     )
     return (
-        whole.join(known, "digest", "left")
+        whole.join(few, "digest", "left")
         .join(notices, ["doc", "rid"], "left")
         .select(id_of(F.col("doc")).alias("doc_id"), "digest", "licence", "notices")
     )

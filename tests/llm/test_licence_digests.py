@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from oracle import differences
 from pyspark.sql import functions as F
 from tables import ODD, documents
 
-from lustra.llm.licence_digests import KNOWN, canonical, known_digests, scan_licences
+from lustra.llm.licence_digests import KNOWN, canonical, known_digests, scan_licences, with_digests
 from lustra.llm.queries import QUERIES
 
 
@@ -66,3 +68,37 @@ def test_canonical_form(spark, text, form):
 
 def test_empty_table(spark):
     assert scan_licences(documents(spark, []), known_digests(spark)).collect() == []
+
+
+def test_lines_of_a_whole_have_the_canonical_form_of_each(spark):
+    """Line ends kept through the patterns: every line's form is that of the line alone, and so is the whole's."""
+    texts = [
+        "Copyright 2020 X\n(c) 2021 Y\r\n\n  The Licence,\nof  an-organisation \n\n",
+        "non\ncommercial use\nnon commercial use",
+        "all rights reserved\nplain copyright (c) line\n© 2020 Z\nend",
+        "\n\n ★ \n",
+        "one",
+        "",
+        "sub licence\nsub\nlicensed whilst\nwhilst  whilst",
+    ]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    made = {r.i: r for r in with_digests(rows).collect()}
+    alone = spark.createDataFrame(
+        [(i, line) for i, t in enumerate(texts) for line in t.split("\n")], "i int, line string"
+    ).select("i", canonical(F.col("line")).alias("form"))
+    want = {i: [] for i in range(len(texts))}
+    for r in alone.collect():
+        want[r.i].append(r.form.strip())
+    for r in rows.select("i", canonical(F.col("text")).alias("form")).collect():
+        own = hashlib.sha256(r.form.encode()).hexdigest() if len(r.form) > 2 else None
+        assert made[r.i].digest == own
+        assert sorted(x.strip() for x in made[r.i].lines if x.strip()) == sorted(x for x in want[r.i] if x)
+
+
+def test_many_known_texts_are_joined_by_shuffle(spark):
+    rows = [(i, f"Text.\n{text}") for i, (_, text) in enumerate(KNOWN) if "\n" not in text]
+    few, many = (
+        {(r.doc_id, r.notices) for r in scan_licences(documents(spark, rows), known_digests(spark), n).collect()}
+        for n in (100_000, 1)
+    )
+    assert few == many and all(notices for _, notices in few)
