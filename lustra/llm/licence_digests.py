@@ -6,8 +6,11 @@ words that licences spell two ways, and only letters and digits, one space betwe
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from hashlib import sha256
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -214,58 +217,91 @@ def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOW
     return with_digest(texts, "text").groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
-def _hash(form: Column) -> Column:
-    return F.when(F.length(form) > 2, F.sha2(form.cast("binary"), 256))
+# --- the same form in tasks ----------------------------------------------------
 
+_KEPT = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789\n")
+_SMALL = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+_WORDS = bytes(b if b in _KEPT else 0x20 for b in range(256))
+_RIGHTS = re.compile(COPYRIGHT_LINE)
+#: What a copyright line has, for a quick look.
+_SIGNS = tuple(sign.encode() for sign in ("copyright", "(c)", "©", "all rights reserved"))
+_SPELLINGS = tuple((f" {met} ".encode(), f" {kept} ".encode()) for met, kept in SPELLINGS)
+_FIRST_WORDS = frozenset(met.split()[0].encode() for met, _ in SPELLINGS)
 
-def _padded(words: Column) -> Column:
-    return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
 
+def _form(words: list[bytes]) -> bytes:
+    form = b" " + b" ".join(words) + b" "
+    if not _FIRST_WORDS.isdisjoint(words):
+        for met, kept in _SPELLINGS:
+            form = form.replace(met, kept)
+    return form
 
-def with_digests(texts: DataFrame) -> DataFrame:
-    """``text`` replaced by ``digest`` of the whole and ``lines``, the canonical forms of its lines.
 
-    The patterns run over a text once, with its line ends kept; the whole and the lines are
-    made of that. A line has no spelling to change unless the whole has one.
-    """
-    lower = F.translate("text", _UPPER, _LOWER)
-    rows = texts.withColumn("text", F.regexp_replace(lower, COPYRIGHT_LINE, "\n"))
-    rows = rows.withColumn("text", F.regexp_replace("text", "[^a-z0-9\n]+", " "))
-    spread = F.concat(F.lit(" "), F.replace("text", F.lit("\n"), F.lit(" \n ")), F.lit(" "))
-    rows = rows.withColumns(
-        {"text": F.replace(spread, F.lit("  "), F.lit(" ")), "bare": _padded(F.regexp_replace("text", "[ \n]+", " "))}
-    )
-    rows = rows.withColumn("any", F.col("bare").rlike(_ANY_SPELLING))
-    rows = rows.withColumns(
-        {c: F.when(F.col("any"), _one_spelling(F.col(c))).otherwise(F.col(c)) for c in ("text", "bare")}
-    )
-    return rows.withColumns({"digest": _hash(F.col("bare")), "lines": F.split("text", "\n")}).drop("text", "bare", "any")
+def text_digests(text: bytes) -> tuple[str | None, set[str]]:
+    """SHA-256 of the canonical forms of a text (None without a word) and of its lines: as :func:`canonical` has them."""
+    text = text.translate(_SMALL)
+    if any(sign in text for sign in _SIGNS):
+        text = _RIGHTS.sub("\n", text.decode()).encode()
+    text = text.translate(_WORDS)
+    lines = {sha256(_form(words)).hexdigest() for line in text.split(b"\n") if (words := line.split())}
+    words = text.split()
+    return sha256(_form(words)).hexdigest() if words else None, lines
+
+
+def _digests(wanted: frozenset[str] | None):
+    """Digests of whole texts and of their distinct lines; of lines only those wanted, if that is given."""
+
+    def of(batches):
+        for batch in batches:
+            whole, lines = [], []
+            for text in batch.column("text"):
+                digest, own = text_digests(text.as_buffer().to_pybytes()) if text.is_valid else (None, set())
+                whole.append(digest)
+                lines.append(sorted(own if wanted is None else own & wanted))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc"),
+                    batch.column("rid"),
+                    pa.array(whole, pa.string()),
+                    pa.array(lines, pa.list_(pa.string())),
+                ],
+                names=["doc", "rid", "digest", "lines"],
+            )
+
+    return of
+
+
+_FOUND = "doc long, rid long, digest string, lines array<string>"
 
 
 def scan_licences(documents: DataFrame, known: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
     """Per row: doc_id, digest, licence (of the whole text) and notices (licences of whole lines).
 
     Needs ``doc_id`` and ``text``; further columns are ignored. ``known`` has digest and
-    licence, one row a digest; up to ``broadcast_rows`` of them go to the texts, beyond that digests are
-    shuffled. Whole texts and single lines are looked up alike; notices are distinct, sorted and joined by
-    commas, NULL if there are none.
+    licence, one row a digest. Up to ``broadcast_rows`` of them are handed to the tasks, and only lines that
+    have one of these digests leave them; beyond that the digests of all lines are shuffled. Whole texts and
+    single lines are looked up alike; notices are distinct, sorted and joined by commas, NULL if there are none.
 
     NULL texts and texts without a word have no digest. Repeated rows get equal results. An
     empty table gives an empty result. A text is held as a whole by its task, however long.
     """
     known = stored(known.select("digest", "licence"), "known")
-    few = F.broadcast(known) if known.count() <= broadcast_rows else known
-    read = with_digests(keyed(documents))
-    whole = read.select("doc", "rid", "digest")
-    lines = read.select("doc", "rid", F.explode("lines").alias("line")).withColumn("line", _padded(F.col("line")))
-    lines = lines.filter(F.length("line") > 2).select("doc", "rid", _hash(F.col("line")).alias("digest"))
+    few = known.count() <= broadcast_rows
+    wanted = frozenset(r.digest for r in known.select("digest").collect()) if few else None
+    if few:
+        known = F.broadcast(known)
+    read = keyed(documents).mapInArrow(_digests(wanted), _FOUND)
+    # Read by both sides below, so that the texts are read once.
+    read = stored(read, "digests")
     notices = (
-        lines.join(few, "digest")
+        read.select("doc", "rid", F.explode_outer("lines").alias("digest"))
+        .join(known, "digest")
         .groupBy("doc", "rid")
         .agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("notices"))
     )
     return (
-        whole.join(few, "digest", "left")
+        read.select("doc", "rid", "digest")
+        .join(known, "digest", "left")
         .join(notices, ["doc", "rid"], "left")
         .select(id_of(F.col("doc")).alias("doc_id"), "digest", "licence", "notices")
     )

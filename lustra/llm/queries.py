@@ -92,6 +92,7 @@ def op8_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences that documents are, or that their lines name."""
+    ship_package(spark)
     return scan_licences(table(spark, sf_dir, "documents"), known_digests(spark))
 
 

@@ -10,7 +10,7 @@ from lustra.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 #: Built of DataFrame operations only, by contract or by choice.
-NATIVE = {"op8_redirect_filter", "op9_licence_digests", "op13_warc_revisits"}
+NATIVE = {"op8_redirect_filter", "op13_warc_revisits"}
 
 
 @pytest.mark.parametrize("name", sorted(NATIVE))
