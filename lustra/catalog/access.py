@@ -572,7 +572,7 @@ QUALIFY row_number() OVER (PARTITION BY user_email ORDER BY {_RANK} DESC, grante
     ),
     "grants_timeline": Query(_timeline("pii_grants"), _timeline_sql("pii_grants")),
     "grants_timeline_hot_user": Query(
-        _timeline("order_grants", SkewPolicy(hot_rows=50, range_rows=20)), _timeline_sql("order_grants")
+        _timeline("order_grants", SkewPolicy(hot_rows=100, range_rows=2000)), _timeline_sql("order_grants")
     ),
     "mask_sql_readers": Query(_sql_readers, _sql_readers_sql()),
     "mask_sql_row_readers": Query(_sql_row_readers, _sql_row_readers_sql()),
