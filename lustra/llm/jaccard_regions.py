@@ -9,8 +9,10 @@ regions and the triangle inequality says which of them another region also needs
   breaks the tie, and a document is repeated in every region that a partner's may
   be: those of the first n - ceil(0.75 n) + 1 shingles. Of two documents that link, these
   always have one in common. A sketch of all shingles comes first: who has under 75 %
-  of shingles that occur twice can't link and goes to no region.
-* Inside a region the pivots are documents. Each member measures its distance to
+  of shingles that occur twice can't link and goes to no region. Its counts give the order.
+* First every region's least member is its one pivot, which joins most copies into components. A pair is
+  measured only if the places of the region's shingle in both orders leave room for a link.
+* Inside a region still open the pivots are documents. Each member measures its distance to
   every pivot and is linked with it up to 0.25. Links join components, and two members
   of one component need no comparison: only pairs with a member outside the region's
   largest component are still open. Those outside form the Voronoi regions of their
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -43,8 +45,7 @@ from lustra.llm.symbols import Chunk, Runs, chunks, mixed
 
 U64 = np.uint64
 _SETS = "doc long, rid long, n long, f1 long, f2 long, toks array<long>"
-_MEMBERS = "region long, doc long, rid long"
-_ORDER_CELLS = 1 << 18
+_MEMBERS = "region long, doc long, rid long, n long, at long"
 
 
 def _shingle_sets(chunk: Chunk, width: int) -> Iterator[np.ndarray]:
@@ -101,39 +102,43 @@ def _sets(width: int, percent: int, seen: Seen):
     return of
 
 
-def _regions(percent: int, seen: Seen, counts):
-    """Rows (shingle, text) for the shingles of the prefix that occur twice."""
+def _regions(percent: int, seen: Seen):
+    """Rows (shingle, text, set size, the shingle's place) for the shingles of the prefix that occur twice."""
 
     def of(batches):
-        table = counts.value
         for batch in batches:
             doc, rid = (batch.column(c).to_numpy() for c in ("doc", "rid"))
             lists = batch.column("toks")
             bounds = lists.offsets.to_numpy()
             bounds = bounds - bounds[0]
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(U64)
-            weight = table[(flat & U64(_ORDER_CELLS - 1)).astype(np.int64)]
             twice = seen.twice(flat)
-            weight = np.where(twice, weight, 0)
-            out, rows = [], []
-            for i in range(len(doc)):
-                a, b = bounds[i], bounds[i + 1]
-                n = int(b - a)
+            weight = np.where(twice, seen.level(flat), 0)
+            out, places = [np.empty(0, U64)], [np.empty(0, np.int64)]
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                n = b - a
                 prefix = n - (percent * n + 99) // 100 + 1
                 order = np.lexsort((flat[a:b], weight[a:b]))[:prefix]
-                order = order[twice[a:b][order]]
-                out.append(flat[a:b][order])
-                rows.append(np.full(len(order), i))
-            rows = np.concatenate(rows) if rows else np.empty(0, np.int64)
-            region = np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+                place = np.flatnonzero(twice[a:b][order])
+                out.append(flat[a:b][order[place]])
+                places.append(place)
+            rows = np.repeat(np.arange(len(doc)), [len(p) for p in places[1:]])
+            columns = (np.concatenate(out).view(np.int64), doc[rows], rid[rows], np.diff(bounds)[rows], np.concatenate(places))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(region, pa.int64()), pa.array(doc[rows], pa.int64()), pa.array(rid[rows], pa.int64())],
-                names=["region", "doc", "rid"],
+                [pa.array(c, pa.int64()) for c in columns], names=["region", "doc", "rid", "n", "at"]
             )
 
     return of
 
 
+def _may_link(percent: int, n: Column, at: Column, m: Column, place: Column) -> Column:
+    """Whether sets of ``n`` and ``m`` shingles can link if the first they share stands at these places.
+
+    Both sets are in one order, so at most the shingles from there on are shared.
+    """
+    return (100 + percent) * F.least(n - at, m - place) >= percent * (n + m)
+
+
 def _distances(pairs: DataFrame, sets: DataFrame, broadcast_rows: int = 1 << 19) -> DataFrame:
     """``x``, ``y`` (structs doc, rid), ``shared`` and ``both``: sizes of intersection and union.
 
@@ -152,49 +157,73 @@ def _distances(pairs: DataFrame, sets: DataFrame, broadcast_rows: int = 1 << 19)
     return joined.select("x", "y", shared.alias("shared"), (F.size("xt") + F.size("yt") - shared).alias("both"))
 
 
-def _open_regions(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _open_regions(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of regions with more than one component; ``minor``: not of the region's largest component.
 
-    Of regions with the very same members one is kept.
+    Of regions with the very same members the one whose shingle comes first is kept: there
+    each member has its least place.
     """
-    placed = members.withColumn("label", F.col("doc"))
-    if labels is not None:
-        joined = members.join(labels, members.doc == labels.node, "left")
-        placed = joined.withColumn("label", F.coalesce("component", "doc")).drop("node", "component")
+    joined = members.join(labels, members.doc == labels.node, "left")
+    placed = joined.withColumn("label", F.coalesce("component", "doc")).drop("node", "component")
     name = F.xxhash64("doc", "rid")
     parts = placed.groupBy("region", "label").agg(
-        F.count("*").alias("n"), F.bit_xor(name).alias("f1"), F.sum(name.cast("decimal(38,0)")).alias("f2")
+        F.count("*").alias("n"),
+        F.bit_xor(name).alias("f1"),
+        F.sum(name.cast("decimal(38,0)")).alias("f2"),
+        F.sum("at").alias("at"),
     )
     sizes = parts.groupBy("region").agg(
         F.sum("n").alias("size"),
         F.max(F.struct("n", (-F.col("label")).alias("at"))).alias("largest"),
         F.bit_xor("f1").alias("f1"),
         F.sum("f2").alias("f2"),
+        F.sum("at").alias("at"),
     )
     sizes = sizes.withColumn("minors", F.col("size") - F.col("largest.n")).filter("minors > 0")
-    sizes = sizes.groupBy("size", "f1", "f2").agg(F.min(F.struct("region", "minors", "largest")).alias("one"))
+    sizes = sizes.groupBy("size", "f1", "f2").agg(F.min(F.struct("at", "region", "minors", "largest")).alias("one"))
     kept = sizes.select("one.region", "one.minors", "size", (-F.col("one.largest.at")).alias("major"))
     return placed.join(kept, "region").withColumn("minor", F.col("label") != F.col("major")).drop("major")
 
 
+def _links(known: DataFrame, percent: int) -> DataFrame:
+    found = known.filter(100 * F.col("shared") >= percent * F.col("both"))
+    return found.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+
+
+def _first_links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Components by the links of every region's least member with the others."""
+    heads = members.groupBy("region").agg(
+        F.min(F.struct("doc", "rid", "n", "at")).alias("head"), F.count("*").alias("size")
+    )
+    pairs = members.join(heads.filter("size > 1").drop("size"), "region")
+    x, y = F.struct("doc", "rid"), F.struct("head.doc", "head.rid")
+    pairs = pairs.filter((x != y) & _may_link(percent, *map(F.col, ("n", "at", "head.n", "head.at"))))
+    pairs = pairs.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
+    return connected_components(_links(_distances(pairs, sets), percent))
+
+
 def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75, leaf: int = 4096) -> DataFrame:
     """``node`` and ``component`` (doc_ids) of all documents that link with another.
 
     ``sets`` has one row for each distinct set: doc, rid, toks. ``members`` has region,
-    doc, rid, so that any two sets that link share a region. A region with at most
-    ``leaf`` open pairs compares them all; larger ones take 1, 16, 256 and so on pivots.
+    doc, rid, the set's size ``n`` and the place ``at`` of the region's shingle in the set's
+    order, so that any two sets that link share a region. A region with at most
+    ``leaf`` open pairs compares them all; larger ones take 16, 256 and so on pivots.
     """
     far, hair = 1 - percent / 100, 1e-9  # fractions are rounded: a hair of slack lets more through, never less
     node = F.struct("doc", "rid")
-    labels, pivots = None, 1
+    labels, pivots = _first_links(sets, members, percent), 16
     while True:
         placed = stored(_open_regions(members, labels), "regions")
         if placed.isEmpty():
-            break
-        rows = placed.select("region", node.alias("x"), "label", "minor", (F.col("minors") * F.col("size")).alias("open"))
+            return labels
+        open_pairs = (F.col("minors") * F.col("size")).alias("open")
+        rows = placed.select("region", node.alias("x"), "n", "at", "label", "minor", open_pairs)
         small, large = rows.filter(F.col("open") <= leaf), rows.filter(F.col("open") > leaf)
-        others = small.filter("minor").select("region", F.col("x").alias("y"), F.col("label").alias("other"))
-        leaves = small.join(others, "region").filter(F.col("label") != F.col("other"))
+        others = small.filter("minor").selectExpr("region", "x y", "n m", "at place", "label other")
+        once = ~F.col("minor") | (F.col("x") < F.col("y"))
+        either_way = _may_link(percent, *map(F.col, ("n", "at", "m", "place")))
+        leaves = small.join(others, "region").filter((F.col("label") != F.col("other")) & once & either_way)
         kind = F.pmod(F.xxhash64("x", F.lit(pivots)), F.lit(pivots))
         chosen = large.filter("minor").groupBy("region", kind.alias("kind")).agg(F.min("x").alias("y"))
         chosen = chosen.select("region", "y")
@@ -202,11 +231,7 @@ def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75,
         wanted = leaves.select("x", "y").unionByName(measured.select("x", "y"))
         wanted = wanted.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         known = stored(_distances(wanted, sets), "distances")
-        found = known.filter(100 * F.col("shared") >= percent * F.col("both"))
-        found = found.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
-        if labels is not None:
-            found = found.unionByName(labels.toDF("a", "b"))
-        labels = connected_components(found)
+        labels = connected_components(_links(known, percent).unionByName(labels.toDF("a", "b")))
 
         distance = known.select("x", "y", (1 - F.col("shared") / F.col("both")).alias("d"))
         either = distance.unionByName(distance.select(F.col("y").alias("x"), F.col("x").alias("y"), "d"))
@@ -218,9 +243,9 @@ def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75,
         outer = left.filter(F.col("d") > far - hair).groupBy("region", "y").agg(F.min("d").alias("outer"))
         within = (F.col("d") <= F.col("high") + far + hair) & (F.col("outer") <= F.col("d") + far + hair)
         members = left.join(highest.join(outer, ["region", "y"]), ["region", "y"]).filter(within)
-        members = members.select(F.xxhash64("region", "y", F.lit(pivots)).alias("region"), "x.doc", "x.rid")
+        region = F.xxhash64("region", "y", F.lit(pivots)).alias("region")
+        members = stored(members.select(region, "x.doc", "x.rid", "n", "at"), "members")
         pivots *= 16
-    return labels if labels is not None else connected_components(members.selectExpr("doc a", "doc b"))
 
 
 def near_duplicates(
@@ -237,10 +262,9 @@ def near_duplicates(
     doc_id can't be linked to: such rows have a NULL component_id. An empty table gives
     an empty result.
     """
-    spark = documents.sparkSession
     texts = keyed(documents)
     size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    seen = seen_twice([(texts, _shingles(width))], sketch_width(size // 6, load=1, largest=largest_width))
+    seen = seen_twice([(texts, _shingles(width))], sketch_width(size // 6, load=1, largest=largest_width), levels=True)
     sets = stored(texts.mapInArrow(_sets(width, percent, seen), _SETS), "sets")
 
     point = ["f1", "f2", "n"]
@@ -250,14 +274,9 @@ def near_duplicates(
     points = named.filter(F.col("toks").isNotNull()).select("doc", "rid", "toks")
     points = stored(points.join(firsts, ["doc", "rid"], "left_semi").dropDuplicates(["doc", "rid"]), "points")
 
-    cell = F.col("tok").bitwiseAND(_ORDER_CELLS - 1).alias("cell")
-    tally = points.select(F.explode("toks").alias("tok")).groupBy(cell).count().toArrow()
-    counts = np.zeros(_ORDER_CELLS, np.uint8)
-    cells, sizes = (tally.column(c).to_numpy() for c in ("cell", "count"))
-    counts[cells] = 1 + np.log2(sizes).astype(np.uint8)
-    counts = spark.sparkContext.broadcast(counts)
-    members = points.mapInArrow(_regions(percent, seen, counts), _MEMBERS)
-    labels = near_duplicate_links(points, stored(members, "regions"), percent, leaf)
+    members = stored(points.mapInArrow(_regions(percent, seen), _MEMBERS), "members")
+    seen.release()
+    labels = near_duplicate_links(points, members, percent, leaf)
 
     several = named.groupBy("doc").agg(F.min("f1").alias("low"), F.max("f1").alias("high"))
     several = named.join(several.filter(F.col("low") < F.col("high")), "doc", "left_semi")

@@ -22,6 +22,7 @@ U64 = np.uint64
 _BLOCK = 1 << 16
 _FLUSH = 1 << 21
 _ROWS = "block long, cells binary, twice binary"
+_GROUP = 32
 
 
 def sketch_width(values: int, load: float = 0.5, largest: int = 1 << 28) -> int:
@@ -82,11 +83,46 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
+def _levelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As ``_merged``, and the logarithm of the largest count of each ``_GROUP`` cells."""
+    now, counts = None, None
+
+    def done():
+        bits = np.packbits(counts > 1, bitorder="little").tobytes()
+        most = counts.reshape(-1, _GROUP).max(axis=1)
+        levels = np.log2(np.maximum(most, 1)).astype(np.uint8).tobytes()
+        columns = [pa.array([now], pa.int64()), pa.array([bits], pa.binary()), pa.array([levels], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "bits", "levels"])
+
+    for batch in batches:
+        for block, hit, often in zip(*(column.to_pylist() for column in batch.columns)):
+            if block != now:
+                if now is not None:
+                    yield done()
+                now, counts = block, np.zeros(_BLOCK, np.uint32)
+            counts[np.frombuffer(hit, np.uint16)] += 1
+            counts[np.frombuffer(often, np.uint16)] += 1
+    if now is not None:
+        yield done()
+
+
 class Seen:
-    """The merged sketch. ``twice`` is true for every value counted twice or more, and for few others."""
+    """The merged sketch. ``twice`` is true for every value counted twice or more, and for few others.
+
+    ``level`` grows with the logarithm of a value's estimated count, if the sketch was made with levels.
+    """
+
+    def __init__(self, bits: Broadcast, width: int, depth: int, levels: Broadcast | None = None):
+        self._bits, self.width, self._depth, self._levels = bits, width, depth, levels
+
+    def level(self, values: np.ndarray) -> np.ndarray:
+        return self._levels.value[cells(values, self.width, 0) // _GROUP]
 
-    def __init__(self, bits: Broadcast, width: int, depth: int):
-        self._bits, self.width, self._depth = bits, width, depth
+    def release(self) -> None:
+        """Drop what was broadcast; only once nothing that reads the sketch will be computed again."""
+        for held in (self._bits, self._levels):
+            if held is not None:
+                held.destroy()
 
     def twice(self, values: np.ndarray) -> np.ndarray:
         table = self._bits.value
@@ -100,11 +136,12 @@ class Seen:
 Values = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
 
 
-def seen_twice(sources: list[tuple[DataFrame, Values]], width: int, depth: int = 1) -> Seen:
+def seen_twice(sources: list[tuple[DataFrame, Values]], width: int, depth: int = 1, levels: bool = False) -> Seen:
     """Sketch the values drawn from each partition of the sources and merge the partitions' sketches.
 
     Sketches travel sparse (two bytes a cell), by block, and one task merges a
-    block at a time. The driver holds one bit a cell: 32 MB for the widest row.
+    block at a time. The driver holds one bit a cell: 32 MB for the widest row. With ``levels``
+    (one row of cells only) it also holds a byte for ``_GROUP`` cells.
     """
 
     def sketched(values_of: Values):
@@ -126,11 +163,19 @@ def seen_twice(sources: list[tuple[DataFrame, Values]], width: int, depth: int =
         reduce(DataFrame.unionByName, rows)
         .repartition(F.col("block"))
         .sortWithinPartitions("block")
-        .mapInArrow(_merged, "block long, bits binary")
     )
+    if levels:
+        merged = merged.mapInArrow(_levelled, "block long, bits binary, levels binary")
+    else:
+        merged = merged.mapInArrow(_merged, "block long, bits binary")
     table = np.zeros(width * depth // 8, np.uint8)
+    ranks = np.zeros(width // _GROUP if levels else 0, np.uint8)
     for batch in merged.toArrow().to_batches():
         blocks = batch.column("block").to_numpy()
         bits = np.frombuffer(batch.column("bits").buffers()[2], np.uint8)[: len(blocks) * _BLOCK // 8]
         table.reshape(-1, _BLOCK // 8)[blocks] = bits.reshape(-1, _BLOCK // 8)
-    return Seen(sources[0][0].sparkSession.sparkContext.broadcast(table), width, depth)
+        if levels:
+            own = np.frombuffer(b"".join(batch.column("levels").to_pylist()), np.uint8)
+            ranks.reshape(-1, _BLOCK // _GROUP)[blocks] = own.reshape(-1, _BLOCK // _GROUP)
+    context = sources[0][0].sparkSession.sparkContext
+    return Seen(context.broadcast(table), width, depth, context.broadcast(ranks) if levels else None)
