@@ -20,7 +20,7 @@ regions and the triangle inequality says which of them another region also needs
   one of them: at most 0.25 farther from the pivot. Who is linked with the pivot goes only if
   a member beyond 0.25 lies at most 0.25 farther. These regions are split again likewise.
 * A region is done when its members are in one component. With few pairs still open
-  these are compared one by one; else there are sixteen times the pivots at the next level.
+  those with room for a link are compared one by one; else there are sixteen times the pivots at the next level.
 
 Pivots leave their region, so every level shrinks it. Distances always are of the
 whole sets, and nothing is sampled. A group of copies costs one distance for each member
@@ -202,13 +202,13 @@ def _first_links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame
     return connected_components(_links(_distances(pairs, sets), percent))
 
 
-def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75, leaf: int = 4096) -> DataFrame:
+def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75, leaf: int = 1 << 18) -> DataFrame:
     """``node`` and ``component`` (doc_ids) of all documents that link with another.
 
     ``sets`` has one row for each distinct set: doc, rid, toks. ``members`` has region,
     doc, rid, the set's size ``n`` and the place ``at`` of the region's shingle in the set's
     order, so that any two sets that link share a region. A region with at most
-    ``leaf`` open pairs compares them all; larger ones take 16, 256 and so on pivots.
+    ``leaf`` open pairs compares those with room for a link; larger ones take 16, 256 and so on pivots.
     """
     far, hair = 1 - percent / 100, 1e-9  # fractions are rounded: a hair of slack lets more through, never less
     node = F.struct("doc", "rid")
@@ -249,7 +249,7 @@ def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75,
 
 
 def near_duplicates(
-    documents: DataFrame, width: int = 5, percent: int = 75, leaf: int = 4096, largest_width: int = 1 << 28
+    documents: DataFrame, width: int = 5, percent: int = 75, leaf: int = 1 << 18, largest_width: int = 1 << 28
 ) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest doc_id reachable by links.
 
