@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import base64
 import math
 import re
 from collections import Counter
 
 import pytest
 import sentencepiece
+import tiktoken
 from tables import ODD, documents
 
 from lustra.llm.queries import VOCABULARIES
-from lustra.llm.token_fertility import BANDS, band_of, good_texts, token_quality
+from lustra.llm.token_fertility import BANDS, RANK_PATTERN, band_of, good_texts, token_quality
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -67,13 +69,34 @@ def test_measures_are_the_tokenisers(given):
         assert row.piece_bpe_32k_token_entropy == pytest.approx(bits / math.log2(len(ids)) if len(ids) > 1 else 1)
 
 
+def test_second_vocabulary_is_its_tokeniser(given):
+    """Split by the published pattern, so that a word's piece holds the space before it."""
+    path = VOCABULARIES[1].path
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    pieces = {i: b for b, i in ranks.items()}
+    model = tiktoken.Encoding("whole", pat_str=RANK_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert VOCABULARIES[1].encoder()[0](["the"]) == [[ranks[b" the"]]]
+    texts = {r.doc_id: r.text for r in given[0].collect()}
+    for row in given[1][:25]:
+        words = WORD.findall(texts[row.doc_id])
+        ids = model.encode_ordinary(" " + " ".join(words))
+        counts = Counter(ids)
+        bits = -sum(c / len(ids) * math.log2(c / len(ids)) for c in counts.values())
+        alone = sum(len(pieces[i]) == 1 and pieces[i][0] > 0x7F for i in ids)
+        assert row.byte_bpe_multi_50k_chars_per_token == pytest.approx(sum(map(len, words)) / len(ids))
+        assert row.byte_bpe_multi_50k_fallback_share == pytest.approx(alone / len(ids))
+        assert row.byte_bpe_multi_50k_token_entropy == pytest.approx(bits / math.log2(len(ids)) if len(ids) > 1 else 1)
+
+
 def test_labelled_documents(spark, given):
-    """Clean documents stay, unless the base rules reject them; most others go."""
+    """Of the rows that the base rules leave, clean documents stay and most others go."""
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
-    good = [r for r in given[1] if labels.get(r.doc_id) == 1 and not r.base_failed]
-    bad = [r for r in given[1] if labels.get(r.doc_id) == 0]
+    left = [r for r in given[1] if not r.base_failed]
+    good = [r for r in left if labels.get(r.doc_id) == 1]
+    bad = [r for r in left if labels.get(r.doc_id) == 0]
     assert sum(r.kept for r in good) >= 0.98 * len(good)
-    assert sum(r.kept for r in bad) <= 0.5 * len(bad)
+    assert sum(r.kept for r in bad) <= 0.15 * len(bad)
 
 
 def test_same_rows_are_kept(spark):
