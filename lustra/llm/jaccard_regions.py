@@ -12,6 +12,7 @@ regions and the triangle inequality says which of them another region also needs
   of shingles that occur twice can't link and goes to no region. Its counts give the order.
 * First every region's least member is its one pivot, which joins most copies into components. A pair is
   measured only if the places of the region's shingle in both orders leave room for a link.
+* A region still open first loses the members whose size and place leave no room for a link with any other.
 * Inside a region still open the pivots are documents. Each member measures its distance to
   every pivot and is linked with it up to 0.25. Links join components, and two members
   of one component need no comparison: only pairs with a member outside the region's
@@ -185,6 +186,30 @@ def _open_regions(members: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(kept, "region").withColumn("minor", F.col("label") != F.col("major")).drop("major")
 
 
+def _with_partner(placed: DataFrame, percent: int) -> DataFrame:
+    """Members of open regions that have room for a link with a member of their region, one of both a minor.
+
+    A set of ``n`` with the shingle at place ``at`` links with sets of at most ``most`` only. So its
+    partner is no larger than its ``most``, and has a ``most`` of its own size or more: a running maximum
+    over the region's kinds (size, place, minor), of which there are few however many members it has.
+    """
+    kind = ["region", "n", "at", "minor"]
+    most = F.floor((100 * F.col("n") - (100 + percent) * F.col("at")) / percent)
+    kinds = placed.select(*kind).distinct().withColumn("most", most)
+    gives = kinds.withColumn("upto", F.col("n")).withColumn("asks", F.lit(False))
+    # a minor with room for its own size finds itself, so it needn't ask
+    asks = kinds.filter(~F.col("minor") | (F.col("most") < F.col("n")))
+    asks = asks.withColumn("upto", F.col("most")).withColumn("asks", F.lit(True))
+    before = W.partitionBy("region").orderBy("upto", "asks").rowsBetween(W.unboundedPreceding, W.currentRow)
+    given = F.when(~F.col("asks"), F.col("most"))
+    best = F.when(F.col("minor"), F.max(given).over(before)).otherwise(
+        F.max(F.when(F.col("minor"), given)).over(before)
+    )
+    found = gives.unionByName(asks).withColumn("best", best)
+    alone = found.filter(F.col("asks") & (F.coalesce("best", F.lit(-1)) < F.col("n"))).select(*kind)
+    return placed.join(alone, kind, "left_anti")
+
+
 def _links(known: DataFrame, percent: int) -> DataFrame:
     found = known.filter(100 * F.col("shared") >= percent * F.col("both"))
     return found.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
@@ -217,6 +242,8 @@ def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75,
         placed = stored(_open_regions(members, labels), "regions")
         if placed.isEmpty():
             return labels
+        roomy = _with_partner(placed, percent).select("region", "doc", "rid", "n", "at")
+        placed = stored(_open_regions(roomy, labels), "regions")
         open_pairs = (F.col("minors") * F.col("size")).alias("open")
         rows = placed.select("region", node.alias("x"), "n", "at", "label", "minor", open_pairs)
         small, large = rows.filter(F.col("open") <= leaf), rows.filter(F.col("open") > leaf)

@@ -9,7 +9,7 @@ import pytest
 from tables import ODD, documents
 
 from lustra.llm.components import connected_components
-from lustra.llm.jaccard_regions import near_duplicates, one_of_each_group
+from lustra.llm.jaccard_regions import _with_partner, near_duplicates, one_of_each_group
 
 SF = "/root/testdata/sf0.001/documents.parquet"
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
@@ -90,6 +90,25 @@ def test_tables_without_links_or_rows(spark):
     assert near_duplicates(documents(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_members_without_room_for_a_partner_go(spark, seed):
+    """Whoever has room for a link with another, one of both a minor, stays; others go, but for minors with room for their own size."""
+    draw = random.Random(seed)
+    rows = []
+    for i in range(120):
+        n = draw.randint(4, 60)
+        rows.append((draw.randrange(6), i, 0, n, draw.randint(0, n // 4), draw.random() < 0.3))
+    placed = spark.createDataFrame(rows, "region long, doc long, rid long, n long, at long, minor boolean")
+
+    def room(x, y):
+        return x[0] == y[0] and (x[5] or y[5]) and 175 * min(x[3] - x[4], y[3] - y[4]) >= 75 * (x[3] + y[3])
+
+    partnered = {x[1] for x in rows if any(x is not y and room(x, y) for y in rows)}
+    own_size = {x[1] for x in rows if x[5] and room(x, x)}
+    assert {r.doc for r in _with_partner(placed, 75).collect()} == partnered | own_size
+    assert len(partnered | own_size) < len(rows)
+
+
 def test_one_of_each_group_stays(spark):
     rows = [(5, "a b c d e f"), (3, "A b c d e f"), (7, "q r s t u v"), (None, "a b c d e f"), (7, "another text altogether"), (8, None), (9, "")]
     docs = documents(spark, rows)
