@@ -126,19 +126,21 @@ class StreamedHistory:
     def _advance(self, held: DataFrame, tails: DataFrame, columns: T.StructType, batch_id: int) -> bool:
         """Write what the batch changes; says whether keys had to be repaired."""
         spec, keys, seq = self.spec, list(self.spec.keys), self.spec.sequence_by
-        arrived = held.groupBy(*keys, BUCKET).agg(F.min(seq).alias("first"), F.count(F.lit(1)).alias("n"))
-        known = tails.select(*keys, F.col(seq).alias("newest"))
+        arrived = held.groupBy(*keys).agg(F.min(seq).alias("first"), F.count(F.lit(1)).alias("n"))
+        arrived = arrived.withColumn(BUCKET, self._bucket())
+        known = _shuffled(tails.select(*keys, F.col(seq).alias("newest")))
         is_late = F.coalesce(F.col("first") <= F.col("newest"), F.lit(False))
         plan = arrived.join(known, keys, "left").withColumn("late", is_late).drop("newest").checkpoint()
         late_per_bucket = dict(plan.filter("late").groupBy(BUCKET).count().collect())
 
         nothing = F.lit(None).cast(columns[seq].dataType)
         changes, voids = held.drop(BUCKET), None
-        seeds = tails.join(plan.filter(~F.col("late")).select(*keys), keys, "left_semi")
+        seeds = tails.join(_shuffled(plan.filter(~F.col("late")).select(*keys)), keys, "left_semi")
         counts = plan.filter(~F.col("late")).select(*keys, "n")
         if late_per_bucket:
-            late = _broadcast_if_few(plan.filter("late"), sum(late_per_bucket.values()))
-            changes = changes.join(late.select(*keys), keys, "left_anti").withColumn(WATCH, nothing)
+            late, n_late = plan.filter("late"), sum(late_per_bucket.values())
+            changes = changes.join(_broadcast_if_few(late.select(*keys), n_late), keys, "left_anti")
+            changes = changes.withColumn(WATCH, nothing)
             replayed, resumed, voids = self._repair(late, columns, batch_id, late_per_bucket)
             changes = changes.unionByName(replayed)
             seeds = seeds.withColumn(WATCH, nothing).unionByName(resumed)
@@ -154,7 +156,7 @@ class StreamedHistory:
         )
         stored = [*columns.names, START, END, DELETED, SLOT]
         out = walked.withColumn(SLOT, F.explode(F.array_compact(slots))).select(*stored)
-        untouched = tails.join(plan, keys, "left_anti").withColumn(SLOT, self._bucket())
+        untouched = tails.join(_shuffled(plan.select(*keys)), keys, "left_anti").withColumn(SLOT, self._bucket())
         out = out.unionByName(untouched.select(*stored))
         if voids is not None:
             out = out.unionByName(voids.withColumn(SLOT, F.lit(_VOIDS)), allowMissingColumns=True)
@@ -182,10 +184,10 @@ class StreamedHistory:
 
         # A state holds as long as no later batch brought a row that precedes it.
         states = old_tails.withColumn(BATCH, F.lit(floor.batch_id)).unionByName(marks)
-        states = states.join(late.select(*keys, "first"), keys).filter(F.col(seq) < F.col("first")).drop("first")
+        states = states.join(_broadcast_if_few(late.select(*keys, "first"), n_late), keys).filter(F.col(seq) < F.col("first")).drop("first")
         same_key = [states[key] == disturbed[key] for key in keys]
         precedes = (disturbed["in_batch"] > states[BATCH]) & (disturbed["late_row"] <= states[seq])
-        holding = states.join(disturbed, [*same_key, precedes], "left_anti").drop(BATCH)
+        holding = states.join(_shuffled(disturbed), [*same_key, precedes], "left_anti").drop(BATCH)
         whole_row = F.struct(*(c for c in holding.columns if c not in keys))
         newest = holding.groupBy(*keys).agg(F.max_by(whole_row, seq).alias("state"))
 
@@ -194,7 +196,7 @@ class StreamedHistory:
         known = old_tails.select(*keys, F.col(seq).alias("floor_seq"))
         after, floor_seq = F.col(f"state.{seq}"), F.col("floor_seq")
         deep = floor_seq.isNotNull() & (after.isNull() | (after < floor_seq))
-        found = late.join(known, keys, "left").join(newest, keys, "left")
+        found = late.join(_shuffled(known), keys, "left").join(_shuffled(newest), keys, "left")
         repairs = found.select(
             *keys, BUCKET, "first", deep.alias("deep"), F.when(~deep, F.col("state")).alias("state")
         ).checkpoint()
@@ -281,7 +283,7 @@ class StreamedHistory:
                 F.col("void_after").isNull() | (closed[END] > F.col("void_after"))
             )
             same_key = [closed[key] == voids[key] for key in keys]
-            closed = closed.join(voids, [*same_key, replaced], "left_anti")
+            closed = closed.join(_shuffled(voids), [*same_key, replaced], "left_anti")
         return closed.select(*shown).unionByName(still_open)
 
     def rejects(self, spark: SparkSession, columns: T.StructType) -> DataFrame:
@@ -292,11 +294,13 @@ class StreamedHistory:
 
 
 def _broadcast_if_few(keyed: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a frame of known and small size, so that a hot key on the other side stays spread.
+    """Broadcast a frame of known and small size, so that a hot key on the other side stays spread."""
+    return F.broadcast(keyed) if rows <= _BROADCAST_ROWS else _shuffled(keyed)
 
-    A larger one is joined as Spark sees fit.
-    """
-    return F.broadcast(keyed) if rows <= _BROADCAST_ROWS else keyed
+
+def _shuffled(keyed: DataFrame) -> DataFrame:
+    """Join a frame of unknown size by shuffle: compressed files that look small unfold on the driver."""
+    return keyed.hint("merge")
 
 
 def _with(columns: T.StructType, more: str) -> T.StructType:

@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 from test_history import CUT, FIELDS, SPEC, random_changes, versions_of
 from dataclasses import replace
 
+from lustra.catalog.histories import _in_three_batches
 from lustra.operators.history import END, START
 from lustra.operators.silver import silver_customers
 from lustra.plans.fixtures import fixture
 from lustra.sources.readers import stream_csv, stream_table
 from lustra.sources.sinks import write_stream_table
+from lustra.sources.workspace import fresh_folder
 from lustra.streaming.history_stream import StreamedHistory
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -160,3 +162,38 @@ def test_lines_that_do_not_fit_are_kept(spark, tmp_path):
     write_stream_table(stream, str(tmp_path / "bronze"), str(tmp_path / "cp")).awaitTermination()
     rows = spark.read.parquet(str(tmp_path / "bronze")).select("the_id", "name", "misfit").collect()
     assert sorted(rows, key=str) == [(1, "a", None), (None, "b", "x,b")]
+
+
+def test_state_of_unknown_size_is_not_broadcast(spark, tmp_path, monkeypatch):
+    """Keys' latest rows and voids may unfold to any size: they meet the batch by shuffle, not on the driver."""
+    plans = []
+    frame = type(spark.range(1))
+    checkpoint = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda df, *a: plans.append(plan_of(df)) or checkpoint(df, *a))
+    target = StreamedHistory(str(tmp_path / "t"), SPEC, buckets=2, skew=None)
+    rows = [(1 + i % 9, i * 37 % 60, i, "xy"[i // 7 % 2], i % 5, False) for i in range(60)]
+    for i in range(3):
+        df = spark.createDataFrame(rows[i::3], FIELDS)
+        target.apply(df, i)
+    # the late keys of a batch are counted: only these may be broadcast, to the log and the stored states
+    arrived = [p for p in plans if "late" in p and "deep" not in p]
+    assert len(arrived) == 3
+    assert all("Broadcast" not in p for p in [*arrived, plan_of(target.read(spark, df.schema))])
+    assert "SortMergeJoin" in arrived[-1]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_three_batches_of_a_file_a_core(spark):
+    changes = fixture(spark, SF_DIR, "user_changes")
+    stream = _in_three_batches(spark, changes, "batches", "event_id")
+    files, rows = [], []
+    stream = stream.select("*", "_metadata.file_path").withColumnRenamed("file_path", "source_file")
+    take = lambda batch, _: (files.append(batch.select("source_file").distinct().count()), rows.append(batch.count()))
+    checkpoint = fresh_folder(spark, "batches-checkpoint")
+    query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    query.start().awaitTermination()
+    assert files == [spark.sparkContext.defaultParallelism] * 3
+    assert sum(rows) == changes.count()
