@@ -214,12 +214,18 @@ def _quality_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history_with_quality(_quality_changes(spark, sf_dir), _CRM_HISTORY, _QUALITY)
 
 
+def _in_three_batches(spark: SparkSession, changes: DataFrame, purpose: str, by: str) -> DataFrame:
+    """Changes as a stream of three micro-batches in no order of time, of a file a core each."""
+    files = spark.sparkContext.defaultParallelism
+    folder = fresh_folder(spark, purpose)
+    changes.repartition(3 * files, by).write.parquet(folder)
+    return spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
 def _streamed_quality(spark: SparkSession, sf_dir: str, required: tuple[str, ...]) -> tuple[QualityFlow, DataFrame]:
     """Dirty changes streamed in three batches, not in order of time, through checks into a history."""
     changes = _quality_changes(spark, sf_dir)
-    folder = fresh_folder(spark, "crm-changes")
-    changes.repartition(3, "change_id").write.parquet(folder)
-    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream = _in_three_batches(spark, changes, "crm-changes", "change_id")
     flow = QualityFlow(fresh_folder(spark, "crm-flow"), _CRM_HISTORY, _QUALITY, required, buckets=8)
     flow.start(stream, fresh_folder(spark, "crm-flow-checkpoint")).awaitTermination()
     return flow, changes
@@ -373,11 +379,9 @@ ASOF LEFT JOIN ({_users_sql(source)}) AS h ON f.user_id = h.user_id AND f.at >=
 
 
 def streamed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user history fed by a stream of files in no order of time, one file per micro-batch."""
+    """The user history fed by a stream of files in no order of time, a third of them per micro-batch."""
     changes = fixture(spark, sf_dir, "user_changes")
-    folder = fresh_folder(spark, "users-changes")
-    changes.repartition(3, "event_id").write.parquet(folder)
-    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream = _in_three_batches(spark, changes, "users-changes", "event_id")
     target = StreamedHistory(fresh_folder(spark, "users-streamed"), USERS, buckets=8)
     target.start(stream, fresh_folder(spark, "users-checkpoint")).awaitTermination()
     return target.read(spark, changes.schema).select(*_USERS_SHOWN)

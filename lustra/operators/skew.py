@@ -84,7 +84,10 @@ def hot_keys(
         counted = rows.select(*keys).join(few, F.xxhash64(*keys) == F.col("__h"), "left_semi")
         counts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     else:
-        total = counts.agg(F.sum("n")).first()[0] or 0
+        total, most = counts.agg(F.sum("n"), F.max("n")).first()
+        # Mostly no key is hot, and one pass over the counts says so.
+        if most is None or most < _limit(skew, total, _partitions(rows)):
+            return None, 0
     ensure_checkpoints(spark)
     limit = _limit(skew, total, _partitions(rows))
     found = counts.filter(F.col("n") >= limit).select(*keys, "n").checkpoint()
