@@ -73,10 +73,9 @@ def op5_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces, score and digest of the four best segmentations of every document, and whether each decodes to it."""
+    """The four best segmentations of every document: ids, score and digest, and whether each decodes to it."""
     ship_package(spark)
-    encoded = encode(table(spark, sf_dir, "documents"), PIECES, n=4, with_ids=False, with_paths=True)
-    return encoded.drop("ids", "paths")
+    return encode(table(spark, sf_dir, "documents"), PIECES, n=4, with_paths=True)
 
 
 def op7_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,17 @@ def test_every_path_is_returned_and_decodes(spark):
         assert found == {d: texts[d] for d in found} and len(found) > 100
 
 
+def test_query_returns_the_segmentations_themselves(spark):
+    """Ids of all paths, not only their digests: each decodes to its document by the operator."""
+    docs = spark.read.parquet(SF)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    given = op6_nbest_pieces(spark, SF.rpartition("/")[0]).cache()
+    assert given.filter("ids is null or paths is null or size(paths) != size(scores) or ids != paths[0]").isEmpty()
+    every = given.selectExpr("doc_id", "posexplode(paths) as (rank, ids)")
+    assert every.count() == given.selectExpr("sum(size(scores))").first()[0]
+    assert all(r.text == texts[r.doc_id] for r in decode(every, PIECES).collect())
+
+
 def test_paths_of_odd_rows(spark):
     coded = encode(documents(spark, [*ODD, (62, "▁ mark"), (63, "é")]), PIECES, with_ids=False, with_paths=True).collect()
     assert all(r.ids is None and r.paths is None for r in coded)
