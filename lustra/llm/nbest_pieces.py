@@ -286,7 +286,7 @@ def _spliced(flat: np.ndarray, a: int, b: int, changed: list[tuple[int, int, tup
     return np.concatenate([*parts, flat[a:b]])
 
 
-def _encoded(pieces: Pieces, n: int, with_ids: bool, with_paths: bool):
+def _encoded(pieces: Pieces, n: int, with_ids: bool, with_paths: bool, with_edits: bool = False):
     def of(batches):
         lattice, known, by_n = _worker(pieces)
         searched = by_n.setdefault(n, {})
@@ -315,7 +315,7 @@ def _encoded(pieces: Pieces, n: int, with_ids: bool, with_paths: bool):
                 order = np.lexsort((np.arange(len(doc)), losses, doc))
                 opens = np.searchsorted(doc, np.arange(texts + 1))
                 unit_ids = np.r_[0, np.cumsum(size)]
-                scores, paths = [], []
+                scores, paths, edits = [], [], []
                 for d in range(texts):
                     a, b = opens[d], opens[d + 1]
                     near = [u for u in order[a : min(b, a + n - 1)].tolist() if losses[u] < np.inf]
@@ -334,21 +334,25 @@ def _encoded(pieces: Pieces, n: int, with_ids: bool, with_paths: bool):
                     ranked = _combined(choices, n)
                     scores.append([total[d] - loss for loss, _ in ranked])
                     own = [flat[bounds[d] : bounds[d + 1]]]
+                    apart = []
                     if with_paths:
                         at = dict(choices)
-                        for _, changed in ranked[1:]:
-                            other = [(unit_ids[u], unit_ids[u + 1], at[u][j][1]) for u, j in changed]
+                        for rank, (_, changed) in enumerate(ranked[1:], 1):
+                            other = sorted((unit_ids[u], unit_ids[u + 1], at[u][j][1]) for u, j in changed)
                             own.append(_spliced(flat, bounds[d], bounds[d + 1], other))
+                            apart += [(rank, a - bounds[d], b - a, ids) for a, b, ids in other]
                     paths.append(own)
+                    edits.append(apart)
                 digests = [[_digest(ids) for ids in own] for own in paths]
                 same = _paths_that_decode(lattice, paths, flat, bounds, chunk)
                 few = None if with_paths else [None] * texts
                 columns = [
                     batch.column("doc_id").slice(chunk.first, texts),
                     pa.array(count, pa.int64()),
-                    _lists([own[0] for own in paths]) if with_ids else pa.nulls(texts, pa.list_(pa.int32())),
+                    _lists([own[0] for own in paths]) if with_ids or with_edits else pa.nulls(texts, pa.list_(pa.int32())),
                     pa.array(scores, pa.list_(pa.float64())),
                     _lists_of_lists(paths) if with_paths and with_ids else pa.nulls(texts, pa.list_(pa.list_(pa.int32()))),
+                    _edits(edits) if with_edits else pa.nulls(texts, _EDITS),
                     pa.array([own[0] for own in digests], pa.string()),
                     pa.array([own[0] for own in same], pa.bool_()),
                     pa.array(few or [[len(ids) for ids in own] for own in paths], pa.list_(pa.int64())),
@@ -361,10 +365,33 @@ def _encoded(pieces: Pieces, n: int, with_ids: bool, with_paths: bool):
 
 
 _COLUMNS = (
-    "doc_id n_pieces ids scores paths ids_sha256 round_trip path_pieces path_sha256 path_round_trips"
+    "doc_id n_pieces ids scores paths edits ids_sha256 round_trip path_pieces path_sha256 path_round_trips"
 ).split()
 
 
+_EDIT = pa.struct([("rank", pa.int32()), ("at", pa.int32()), ("size", pa.int32()), ("ids", pa.list_(pa.int32()))])
+_EDITS = pa.list_(_EDIT)
+
+
+def _edits(rows: list[list[tuple]]) -> pa.Array:
+    bounds = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    flat = [edit for row in rows for edit in row]
+    numbers = np.array([edit[:3] for edit in flat], np.int32).reshape(-1, 3)
+    ids = pa.array([edit[3] for edit in flat], pa.list_(pa.int32()))
+    parts = [*(pa.array(numbers[:, i]) for i in range(3)), ids]
+    return pa.ListArray.from_arrays(bounds, pa.StructArray.from_arrays(parts, fields=list(_EDIT)))
+
+
+def path_of(ids: list[int], edits: list, rank: int) -> list[int]:
+    """The path of a rank: the best path's ids with the edits of that rank put in."""
+    path, at = [], 0
+    for edit in edits:
+        if edit["rank"] == rank:
+            path += [*ids[at : edit["at"]], *edit["ids"]]
+            at = edit["at"] + edit["size"]
+    return path + ids[at:]
+
+
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     bounds = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     return pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(rows).astype(np.int32)))
@@ -411,7 +438,12 @@ def _round_trips(lattice: Lattice, flat: np.ndarray, bounds: np.ndarray, chunk:
 
 
 def encode(
-    documents: DataFrame, pieces: Pieces, n: int = 4, with_ids: bool = True, with_paths: bool = False
+    documents: DataFrame,
+    pieces: Pieces,
+    n: int = 4,
+    with_ids: bool = True,
+    with_paths: bool = False,
+    with_edits: bool = False,
 ) -> DataFrame:
     """Per row: doc_id, n_pieces and ids of the best path, scores of the n best, ids_sha256, round_trip.
 
@@ -423,13 +455,18 @@ def encode(
     what n_pieces, ids_sha256 and round_trip say of the best; else these four are NULL. Without
     ``with_ids``, ids and paths are NULL. Paths of equal score come in a fixed order.
 
+    With ``with_edits`` (and ``with_paths``) ids are given, and in ``edits`` what the other paths have in
+    place of stretches of the best one (rank, place, size, their ids; NULL else): all paths in
+    little more room than one, as :func:`path_of` puts them together.
+
     NULL and empty texts have one empty path of score 0. Equal texts get equal results.
     An empty table gives an empty result.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
-        _encoded(pieces, n, with_ids, with_paths),
+        _encoded(pieces, n, with_ids, with_paths, with_edits),
         f"doc_id {kind}, n_pieces long, ids array<int>, scores array<double>, paths array<array<int>>, "
+        "edits array<struct<rank int, at int, size int, ids array<int>>>, "
         "ids_sha256 string, round_trip boolean, path_pieces array<long>, path_sha256 array<string>, "
         "path_round_trips array<boolean>",
     )

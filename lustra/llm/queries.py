@@ -73,9 +73,13 @@ def op5_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four best segmentations of every document: ids, score and digest, and whether each decodes to it."""
+    """The four best segmentations of every document: ids, score and digest, and whether each decodes to it.
+
+    The best one's ids are given, and what each of the others has in place of stretches of them.
+    """
     ship_package(spark)
-    return encode(table(spark, sf_dir, "documents"), PIECES, n=4, with_paths=True)
+    docs = table(spark, sf_dir, "documents")
+    return encode(docs, PIECES, n=4, with_ids=False, with_paths=True, with_edits=True).drop("paths")
 
 
 def op7_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from tables import ODD, documents
 
 import corpus_pipeline
-from lustra.llm.nbest_pieces import Lattice, _encoded, decode, encode
+from lustra.llm.nbest_pieces import Lattice, _encoded, decode, encode, path_of
 from lustra.llm.queries import PIECES, op6_nbest_pieces
 
 SF = "/root/testdata/sf0.001/documents.parquet"
@@ -106,14 +106,16 @@ def test_every_path_is_returned_and_decodes(spark):
 
 
 def test_query_returns_the_segmentations_themselves(spark):
-    """Ids of all paths, not only their digests: each decodes to its document by the operator."""
+    """Ids of all paths, not only their digests: the edits give the pipeline's paths, and each decodes to its text."""
     docs = spark.read.parquet(SF)
     texts = {r.doc_id: r.text for r in docs.collect()}
-    given = op6_nbest_pieces(spark, SF.rpartition("/")[0]).cache()
-    assert given.filter("ids is null or paths is null or size(paths) != size(scores) or ids != paths[0]").isEmpty()
-    every = given.selectExpr("doc_id", "posexplode(paths) as (rank, ids)")
-    assert every.count() == given.selectExpr("sum(size(scores))").first()[0]
-    assert all(r.text == texts[r.doc_id] for r in decode(every, PIECES).collect())
+    given = op6_nbest_pieces(spark, SF.rpartition("/")[0]).collect()
+    whole = {r.doc_id: r.paths for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF.rpartition("/")[0]).collect()}
+    paths = {r.doc_id: [path_of(r.ids, r.edits, rank) for rank in range(len(r.scores))] for r in given}
+    assert paths == whole
+    every = [(d, ids) for d, own in paths.items() for ids in own]
+    found = decode(spark.createDataFrame(every, "doc_id long, ids array<int>"), PIECES).collect()
+    assert len(found) == len(every) and all(r.text == texts[r.doc_id] for r in found)
 
 
 def test_paths_of_odd_rows(spark):
