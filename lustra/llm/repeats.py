@@ -331,7 +331,8 @@ def repeated_ranges(
         .groupBy("doc", "rid")
         .agg(F.collect_list(F.struct("lo", "n")).alias("asked"))
     )
-    asked = texts.join(if_small(stored(asked, "asked"), "asked", broadcast_bytes), ["doc", "rid"])
+    # read twice, by the sketch and by the comparison: stored, so that the texts are shuffled once
+    asked = stored(texts.join(if_small(stored(asked, "asked"), "asked", broadcast_bytes), ["doc", "rid"]), "asked-texts")
     sent = judged.filter(of_window).select(*_NAMES)
     twice = seen_twice([(asked, _asked_windows(kind)), (sent.select("k"), _sent_windows)], seen.width)
     single = asked.mapInArrow(_expanded(kind, twice), _FOUND).unionByName(sent)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 _BLOCK = 1 << 16
-_FLUSH = 1 << 21
+_FLUSH = 1 << 19
 _ROWS = "block long, cells binary, twice binary"
 _GROUP = 32
 

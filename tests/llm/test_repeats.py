@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from tables import ODD, documents
 
+from lustra.llm import repeats
 from lustra.llm.bucket_refinement import remove_repeats, repeat_digests
 from lustra.llm.count_min_windows import remove_repeated_windows
 from lustra.llm.repeats import Texts, byte_symbols, stretches
@@ -188,3 +189,12 @@ def test_words_of_chunks():
             raw = chunk.data.tobytes()
             words += [(chunk.first + d, raw[a:b].decode()) for a, b, d in zip(starts, ends, doc)]
         assert words == [(0, "one"), (0, "two"), (3, "three"), (3, "four"), (4, "five")]
+
+
+def test_texts_meet_their_stretches_in_one_join(spark, monkeypatch):
+    """Both passes over texts with stretches to compare read what one join has stored."""
+    stores = []
+    keep = repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda df, purpose: stores.append((purpose, df.columns)) or keep(df, purpose))
+    remove_repeats(documents(spark, [(1, "a" * 60), (2, "b" + "a" * 60)])).collect()
+    assert ("asked-texts", ["doc", "rid", "text", "asked"]) in stores
