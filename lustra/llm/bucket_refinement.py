@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lustra.llm.memory import returning
 from lustra.llm.repeats import Texts, anchors, byte_symbols, covered, id_of, keyed, repeated_ranges
 from lustra.llm.sketch import seen_twice, sketch_width
 
@@ -80,7 +81,7 @@ def repeat_digests(documents: DataFrame, window: int = 50, q: int = 25, largest_
     same doc_id are never earlier than each other, so copies under one id stay. Texts
     under ``window`` bytes stay whole. An empty table gives an empty result.
     """
-    cut = _with_ranges(documents, window, q, largest_width, False).mapInArrow(_digests, _DIGEST)
+    cut = _with_ranges(documents, window, q, largest_width, False).mapInArrow(returning(_digests), _DIGEST)
     return cut.select(id_of(F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
@@ -91,5 +92,5 @@ def remove_repeats(documents: DataFrame, window: int = 50, q: int = 25, largest_
     may have any names and stay as they are.
     """
     rows = _with_ranges(documents, window, q, largest_width, True).select("row", "text", "ranges")
-    cut = rows.mapInArrow(_cut, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    cut = rows.mapInArrow(returning(_cut), f"row {rows.schema['row'].dataType.simpleString()}, text string")
     return cut.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in documents.columns))

@@ -39,6 +39,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lustra.llm.components import connected_components
+from lustra.llm.memory import returning
 from lustra.llm.repeats import LAST, id_of, keyed, repeats_ids
 from lustra.llm.sketch import Seen, seen_twice, sketch_width
 from lustra.llm.stored import stored
@@ -68,7 +69,7 @@ def _shingle_sets(chunk: Chunk, width: int) -> Iterator[np.ndarray]:
 def _shingles(width: int):
     def of(batches):
         for batch in batches:
-            for chunk in chunks(batch.column("text")):
+            for chunk in chunks(batch.column("text"), 1 << 20):
                 yield np.concatenate(list(_shingle_sets(chunk, width)))
 
     return of
@@ -79,8 +80,8 @@ def _sets(width: int, percent: int, seen: Seen):
 
     def of(batches):
         for batch in batches:
-            n, f1, f2, toks = [], [], [], []
-            for chunk in chunks(batch.column("text")):
+            for chunk in chunks(batch.column("text"), 1 << 20):
+                n, f1, f2, toks = [], [], [], []
                 sets = list(_shingle_sets(chunk, width))
                 sizes = np.array([len(s) for s in sets])
                 twice = seen.twice(np.concatenate(sets))
@@ -90,17 +91,16 @@ def _sets(width: int, percent: int, seen: Seen):
                     f1.append(int(mixed(own).sum(dtype=U64).view(np.int64)))
                     f2.append(int(mixed(own ^ U64(0x5851F42D4C957F2D)).sum(dtype=U64).view(np.int64)))
                     toks.append(own.view(np.int64) if size and 100 * k >= percent * size else None)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc"),
-                    batch.column("rid"),
-                    *(pa.array(c, pa.int64()) for c in (n, f1, f2)),
-                    pa.array(toks, pa.list_(pa.int64())),
-                ],
-                names=["doc", "rid", "n", "f1", "f2", "toks"],
-            )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(chunk.first, len(chunk)) for c in ("doc", "rid")),
+                        *(pa.array(c, pa.int64()) for c in (n, f1, f2)),
+                        pa.array(toks, pa.list_(pa.int64())),
+                    ],
+                    names=["doc", "rid", "n", "f1", "f2", "toks"],
+                )
 
-    return of
+    return returning(of)
 
 
 def _regions(percent: int, seen: Seen):
@@ -129,7 +129,7 @@ def _regions(percent: int, seen: Seen):
                 [pa.array(c, pa.int64()) for c in columns], names=["region", "doc", "rid", "n", "at"]
             )
 
-    return of
+    return returning(of)
 
 
 def _may_link(percent: int, n: Column, at: Column, m: Column, place: Column) -> Column:

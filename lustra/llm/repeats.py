@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lustra.llm.memory import returning
 from lustra.llm.sketch import Seen, seen_twice
 from lustra.llm.stored import stored
 from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, mixed, run_starts
@@ -226,7 +227,7 @@ def _candidates(kind: Texts, seen: Seen):
                 _windows(kind, runs, begin, doc_id, row[part], lo[part], n[part], out)
                 yield out.batch()
 
-    return of
+    return returning(of)
 
 
 def _asked(kind: Texts, batch: pa.RecordBatch):
@@ -272,7 +273,7 @@ def _expanded(kind: Texts, seen: Seen):
                 _windows(kind, (Runs(symbols, 0), Runs(symbols, 1)), begin, doc_id, row, lo, n, out, seen)
                 yield out.batch()
 
-    return of
+    return returning(of)
 
 
 def _spans(batches):

@@ -18,6 +18,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lustra.llm.memory import returning
+
 U64 = np.uint64
 _BLOCK = 1 << 16
 _FLUSH = 1 << 19
@@ -156,7 +158,7 @@ def seen_twice(sources: list[tuple[DataFrame, Values]], width: int, depth: int =
             if size:
                 yield _packed(np.concatenate(held), width, depth)
 
-        return of
+        return returning(of)
 
     rows = [source.mapInArrow(sketched(values_of), _ROWS) for source, values_of in sources]
     merged = (

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lustra.llm.memory import returning
 from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, mixed, run_starts
 
 U64 = np.uint64
@@ -154,13 +155,17 @@ _encoders: dict[Vocabulary, tuple[_Encoded, np.ndarray]] = {}
 
 
 def _encoder(vocabulary: Vocabulary) -> tuple[_Encoded, np.ndarray]:
-    """One per worker process."""
+    """One per worker process; ``good_texts`` drops it after each partition, as other steps follow in the same workers."""
     if vocabulary not in _encoders:
         encode, single = vocabulary.encoder()
         _encoders[vocabulary] = (_Encoded(encode), single)
     return _encoders[vocabulary]
 
 
+def _forget() -> None:
+    _encoders.clear()
+
+
 def _sum_by(bounds: np.ndarray, values: np.ndarray) -> np.ndarray:
     total = np.r_[0, np.cumsum(values, dtype=np.int64)]
     return total[bounds[1:]] - total[bounds[:-1]]
@@ -330,7 +335,7 @@ def good_texts(
     NULL, empty and very long texts are treated as there; repeated rows all stay or all go.
     """
     known = language if language and language in documents.columns else None
-    return documents.mapInArrow(_good(vocabularies, bands, known), documents.schema)
+    return documents.mapInArrow(returning(_good(vocabularies, bands, known), _forget), documents.schema)
 
 
 def token_quality(
