@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lustra.llm.memory import returning
-from lustra.llm.sketch import Seen, seen_twice
+from lustra.llm.sketch import Seen, seen_twice, sketch_width
 from lustra.llm.stored import stored
 from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, mixed, run_starts
 
@@ -243,12 +243,46 @@ def _asked(kind: Texts, batch: pa.RecordBatch):
         yield chunk, symbols, begin, row, lo + begin[row], n
 
 
-def _asked_windows(kind: Texts):
+def _places(doc_id: np.ndarray, rid: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """What stands for a stretch by its text and start."""
+    return mixed(mixed(doc_id.astype(U64)) ^ mixed(rid.astype(U64) + U64(1)) ^ mixed(lo.astype(U64) + U64(2)) * U64(3))
+
+
+def _asked_places(batches):
+    """The places of stretches, each twice, so that a sketch shows it as seen twice."""
+    for batch in batches:
+        at = _places(*(batch.column(c).to_numpy() for c in ("doc", "rid", "lo")))
+        yield np.concatenate([at, at])
+
+
+#: Of each chunk of a batch: the chunk, its symbols and the stretches to be compared (text's begin, row, first, windows).
+Asked = Callable[[Texts, pa.RecordBatch], Iterator[tuple]]
+
+
+def _marked(seen: Seen, marks: Seen) -> Asked:
+    """As ``_asked``, of whole texts: the stretches whose places ``marks`` has."""
+
+    def of(kind, batch):
+        for chunk in chunks(batch.column("text"), kind.chunk_bytes):
+            doc_id, rid = _ids(batch, chunk)
+            symbols, doc = kind.symbols(chunk)
+            begin = _begins(doc, len(chunk))
+            k, lo, n = stretches(kind, symbols, doc)
+            may = seen.twice(k)
+            lo, n = lo[may], n[may]
+            row = doc[lo]
+            asked = marks.twice(_places(doc_id[row], rid[row], lo - begin[row]))
+            yield chunk, symbols, begin, row[asked], lo[asked], n[asked]
+
+    return of
+
+
+def _asked_windows(kind: Texts, asked: Asked = _asked):
     """Identities of the windows that are to be compared, for a sketch."""
 
     def of(batches):
         for batch in batches:
-            for _, symbols, _, _, lo, n in _asked(kind, batch):
+            for _, symbols, _, _, lo, n in asked(kind, batch):
                 each = np.repeat(np.arange(len(lo)), n)
                 at = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
                 yield Runs(symbols, 0).of(at, kind.window)
@@ -262,12 +296,12 @@ def _sent_windows(batches):
         yield batch.column("k").to_numpy().view(U64)
 
 
-def _expanded(kind: Texts, seen: Seen):
+def _expanded(kind: Texts, seen: Seen, asked: Asked = _asked):
     """Windows of the stretches that need single comparison, where the sketch shows them twice."""
 
     def of(batches):
         for batch in batches:
-            for chunk, symbols, begin, row, lo, n in _asked(kind, batch):
+            for chunk, symbols, begin, row, lo, n in asked(kind, batch):
                 doc_id, rid = _ids(batch, chunk)
                 out = _Rows(doc_id, rid)
                 _windows(kind, (Runs(symbols, 0), Runs(symbols, 1)), begin, doc_id, row, lo, n, out, seen)
@@ -297,12 +331,16 @@ def if_small(table: DataFrame, pairs: str, bytes_at_most: int) -> DataFrame:
 
 
 def repeated_ranges(
-    texts: DataFrame, kind: Texts, seen: Seen, broadcast_bytes: int = 16 << 20
+    texts: DataFrame, kind: Texts, seen: Seen, broadcast_bytes: int = 16 << 20, most_marks: int = 1 << 26
 ) -> DataFrame:
     """``doc``, ``rid`` and ``ranges`` (start and length in symbols, apart) of texts with repeats.
 
     A stretch or window is repeated if a text with a smaller doc has it. ``seen`` must
     be true for every anchor that occurs twice.
+
+    Texts are told which of their stretches to compare by a broadcast list if it is small; up to
+    ``most_marks`` stretches by a broadcast bit map of their places (it may let more through, which are
+    compared too and change nothing); beyond that texts and lists are shuffled.
     """
     stretch, anchor = W.partitionBy("k", "s"), W.partitionBy("k")
     is_ask = F.col("kind") == _ASK
@@ -327,16 +365,19 @@ def repeated_ranges(
     gone = judged.filter((F.col("kind") == _REMOVE) | F.col("repeat")).select(
         "doc", "rid", "lo", F.when(F.col("repeat"), F.col("n") + (kind.window - 1)).otherwise(F.col("n")).alias("n")
     )
-    asked = (
-        judged.filter((F.col("kind") == _ASK) & ~F.col("repeat"))
-        .groupBy("doc", "rid")
-        .agg(F.collect_list(F.struct("lo", "n")).alias("asked"))
-    )
-    # read twice, by the sketch and by the comparison: stored, so that the texts are shuffled once
-    asked = stored(texts.join(if_small(stored(asked, "asked"), "asked", broadcast_bytes), ["doc", "rid"]), "asked-texts")
+    asks = judged.filter((F.col("kind") == _ASK) & ~F.col("repeat")).select("doc", "rid", "lo", "n")
+    n_asks = asks.count()
+    if broadcast_bytes < 8 * n_asks and n_asks <= most_marks:
+        marks = seen_twice([(asks, _asked_places)], sketch_width(n_asks, load=0.25))
+        source, asked_of = texts, _marked(seen, marks)
+    else:
+        asked = asks.groupBy("doc", "rid").agg(F.collect_list(F.struct("lo", "n")).alias("asked"))
+        # read twice, by the sketch and by the comparison: stored, so that the texts are shuffled once
+        joined = texts.join(if_small(stored(asked, "asked"), "asked", broadcast_bytes), ["doc", "rid"])
+        source, asked_of = stored(joined, "asked-texts"), _asked
     sent = judged.filter(of_window).select(*_NAMES)
-    twice = seen_twice([(asked, _asked_windows(kind)), (sent.select("k"), _sent_windows)], seen.width)
-    single = asked.mapInArrow(_expanded(kind, twice), _FOUND).unionByName(sent)
+    twice = seen_twice([(source, _asked_windows(kind, asked_of)), (sent.select("k"), _sent_windows)], seen.width)
+    single = source.mapInArrow(_expanded(kind, twice, asked_of), _FOUND).unionByName(sent)
     single = single.withColumn("least", F.min("doc").over(stretch))
     more = single.filter((F.col("kind") == _REMOVE) | (F.col("doc") > F.col("least"))).select(
         "doc", "rid", "lo", F.when(F.col("kind") == _REMOVE, F.col("n")).otherwise(F.lit(kind.window)).alias("n")

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tables import ODD, documents
 
-from lustra.llm import repeats
+from lustra.llm import bucket_refinement, repeats
 from lustra.llm.bucket_refinement import remove_repeats, repeat_digests
 from lustra.llm.count_min_windows import remove_repeated_windows
 from lustra.llm.repeats import Texts, byte_symbols, stretches
@@ -198,3 +198,22 @@ def test_texts_meet_their_stretches_in_one_join(spark, monkeypatch):
     monkeypatch.setattr(repeats, "stored", lambda df, purpose: stores.append((purpose, df.columns)) or keep(df, purpose))
     remove_repeats(documents(spark, [(1, "a" * 60), (2, "b" + "a" * 60)])).collect()
     assert ("asked-texts", ["doc", "rid", "text", "asked"]) in stores
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_marked_stretches_are_compared_without_a_join(spark, monkeypatch, seed):
+    """More stretches than a list may be broadcast for: no text is joined or stored, and the result is the same."""
+    stores = []
+    keep, ranges = repeats.stored, repeats.repeated_ranges
+    monkeypatch.setattr(repeats, "stored", lambda df, purpose: stores.append(purpose) or keep(df, purpose))
+    monkeypatch.setattr(bucket_refinement, "repeated_ranges", lambda *a: ranges(*a, broadcast_bytes=0))
+    rows = random_rows(seed) + [(7, "the same id, " + "ab " * 60), (None, "no id, " + "ab " * 60), (None, None)]
+    assert found(repeat_digests(documents(spark, rows).repartition(5)), *BYTES) == expected_bytes(rows)
+    assert "asked-texts" not in stores
+
+
+def test_more_stretches_than_marks(spark, monkeypatch):
+    ranges = repeats.repeated_ranges
+    monkeypatch.setattr(bucket_refinement, "repeated_ranges", lambda *a: ranges(*a, broadcast_bytes=0, most_marks=1))
+    rows = random_rows(6)
+    assert found(repeat_digests(documents(spark, rows).repartition(5)), *BYTES) == expected_bytes(rows)
