@@ -331,7 +331,7 @@ def if_small(table: DataFrame, pairs: str, bytes_at_most: int) -> DataFrame:
 
 
 def repeated_ranges(
-    texts: DataFrame, kind: Texts, seen: Seen, broadcast_bytes: int = 16 << 20, most_marks: int = 1 << 26
+    texts: DataFrame, kind: Texts, seen: Seen, broadcast_bytes: int = 16 << 20, most_marks: int = 1 << 24
 ) -> DataFrame:
     """``doc``, ``rid`` and ``ranges`` (start and length in symbols, apart) of texts with repeats.
 
@@ -339,7 +339,7 @@ def repeated_ranges(
     be true for every anchor that occurs twice.
 
     Texts are told which of their stretches to compare by a broadcast list if it is small; up to
-    ``most_marks`` stretches by a broadcast bit map of their places (it may let more through, which are
+    ``most_marks`` stretches by a broadcast bit map of their places (it lets a few more through, which are
     compared too and change nothing); beyond that texts and lists are shuffled.
     """
     stretch, anchor = W.partitionBy("k", "s"), W.partitionBy("k")
@@ -368,7 +368,7 @@ def repeated_ranges(
     asks = judged.filter((F.col("kind") == _ASK) & ~F.col("repeat")).select("doc", "rid", "lo", "n")
     n_asks = asks.count()
     if broadcast_bytes < 8 * n_asks and n_asks <= most_marks:
-        marks = seen_twice([(asks, _asked_places)], sketch_width(n_asks, load=0.25))
+        marks = seen_twice([(asks, _asked_places)], sketch_width(n_asks, load=1 / 32))
         source, asked_of = texts, _marked(seen, marks)
     else:
         asked = asks.groupBy("doc", "rid").agg(F.collect_list(F.struct("lo", "n")).alias("asked"))

@@ -22,7 +22,7 @@ from lustra.llm.memory import returning
 
 U64 = np.uint64
 _BLOCK = 1 << 16
-_FLUSH = 1 << 19
+_FLUSH = 1 << 20
 _ROWS = "block long, cells binary, twice binary"
 _GROUP = 32
 
