@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lustra.llm.memory import returning
+from lustra.llm.memory import portions, returning
 from lustra.llm.repeats import Texts, anchors, byte_symbols, covered, id_of, keyed, repeated_ranges
 from lustra.llm.sketch import seen_twice, sketch_width
 
@@ -53,7 +53,7 @@ def _digests(batches):
 
 
 def _cut(batches):
-    for batch in batches:
+    for batch in (part for whole in batches for part in portions(whole)):
         pairs = zip(batch.column("text"), batch.column("ranges"))
         texts = [bytes(_kept(*pair)[0]).decode(errors="ignore") for pair in pairs]
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])

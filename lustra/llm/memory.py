@@ -9,14 +9,18 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 
+from lustra.llm.symbols import chunks, drop_powers
+
 Batches = Iterator[pa.RecordBatch]
 
 
 def give_back() -> None:
-    """Return freed memory to the system."""
+    """Return freed memory to the system, and the tables that any chunk makes anew."""
+    drop_powers()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
     if trim is not None:
@@ -24,11 +28,12 @@ def give_back() -> None:
 
 
 def returning(of: Callable[[Batches], Batches], forget: Callable[[], None] | None = None) -> Callable[[Batches], Batches]:
-    """``of``, for ``mapInArrow``; at a partition's end the worker calls ``forget`` and gives memory back.
+    """``of``, for ``mapInArrow`` and by its name; at a partition's end the worker calls ``forget`` and gives memory back.
 
     ``forget`` drops tables of the worker's own module, so it has to be a function there, not a table.
     """
 
+    @wraps(of)
     def held(batches):
         try:
             yield from of(batches)
@@ -38,3 +43,9 @@ def returning(of: Callable[[Batches], Batches], forget: Callable[[], None] | Non
             give_back()
 
     return held
+
+
+def portions(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in groups of about ``size`` bytes of text, so that what is made of a batch is never held whole."""
+    for chunk in chunks(batch.column("text"), size):
+        yield batch.slice(chunk.first, len(chunk))

@@ -24,11 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lustra.llm.memory import returning
 from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, mixed
 
 U64 = np.uint64
 SPACE = "▁"
 _WIDEST = 32
+#: Units a worker keeps the searched paths of, over a kilobyte each.
+_SEARCHED = 1 << 13
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -291,7 +294,7 @@ def _encoded(pieces: Pieces, n: int, with_ids: bool, with_paths: bool, with_edit
         lattice, known, by_n = _worker(pieces)
         searched = by_n.setdefault(n, {})
         for batch in batches:
-            for chunk in chunks(batch.column("text"), 1 << 20):
+            for chunk in chunks(batch.column("text"), 1 << 18):
                 starts, ends, doc, opening = _units(chunk)
                 texts = len(chunk)
                 values = Runs(BYTE_VALUES[0][chunk.data]).of(starts, ends - starts)
@@ -323,7 +326,7 @@ def _encoded(pieces: Pieces, n: int, with_ids: bool, with_paths: bool, with_edit
                     for u in near:
                         key = int(values[u])
                         if key not in searched:
-                            if len(searched) > 1 << 16:
+                            if len(searched) > _SEARCHED:
                                 searched.clear()
                             # of paths that tie, the one in flat is the first here too
                             best = tuple(flat[unit_ids[u] : unit_ids[u + 1]].tolist())
@@ -464,7 +467,7 @@ def encode(
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
-        _encoded(pieces, n, with_ids, with_paths, with_edits),
+        returning(_encoded(pieces, n, with_ids, with_paths, with_edits)),
         f"doc_id {kind}, n_pieces long, ids array<int>, scores array<double>, paths array<array<int>>, "
         "edits array<struct<rank int, at int, size int, ids array<int>>>, "
         "ids_sha256 string, round_trip boolean, path_pieces array<long>, path_sha256 array<string>, "

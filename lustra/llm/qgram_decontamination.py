@@ -22,6 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lustra.llm.memory import returning
 from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, run_starts
 
 U64 = np.uint64
@@ -257,7 +258,7 @@ def contaminated(
     """
     kinds = (t.schema[c].dataType.simpleString() for t, c in ((documents, "doc_id"), (benchmark, "item_id")))
     schema, texts = _FOUND.format(*kinds), documents.select("doc_id", "text")
-    found = [texts.mapInArrow(_regions(index), schema) for index in _blocks(benchmark, budget, block_bytes)]
+    found = [texts.mapInArrow(returning(_regions(index)), schema) for index in _blocks(benchmark, budget, block_bytes)]
     return reduce(DataFrame.unionByName, found) if found else documents.sparkSession.createDataFrame([], schema)
 
 
@@ -266,5 +267,5 @@ def clean_texts(
 ) -> DataFrame:
     """The rows, with all their columns, in which ``contaminated`` finds nothing."""
     for index in _blocks(benchmark, budget, block_bytes):
-        documents = documents.mapInArrow(_clean(index), documents.schema)
+        documents = documents.mapInArrow(returning(_clean(index)), documents.schema)
     return documents

@@ -32,6 +32,9 @@ class _Powers:
 
     def __init__(self, base: int):
         self._base, self._inverse = base, pow(base, -1, 2**64)
+        self.drop()
+
+    def drop(self) -> None:
         self._up = self._down = np.ones(0, U64)
 
     def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,6 +53,12 @@ class _Powers:
 _POWERS = tuple(_Powers(base) for base in _BASES)
 
 
+def drop_powers() -> None:
+    """Forget the powers; they grow again as needed."""
+    for powers in _POWERS:
+        powers.drop()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over all 64 bits of the output."""
     x = x ^ (x >> U64(30))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lustra.llm.memory import returning
+from lustra.llm.memory import portions, returning
 from lustra.llm.symbols import BYTE_VALUES, Chunk, Runs, chunks, mixed, run_starts
 
 U64 = np.uint64
@@ -231,15 +231,15 @@ def _entropy(doc: np.ndarray, ids: np.ndarray, tokens: np.ndarray) -> np.ndarray
 
 def _scripts(chunk: Chunk) -> list[str]:
     """The script that most letters beyond ASCII and Latin are in, if they are a third of all characters."""
-    data = chunk.data.astype(np.int64)
-    lead = data[:-2] if len(data) > 2 else data[:0]
+    data = np.r_[chunk.data, 0, 0].astype(np.int64)  # a text's last characters count whether or not its chunk goes on
+    lead = data[:-2]
     # code points of three-byte sequences, two-byte sequences and single bytes
     point = np.where(
         lead >= 0xE0,
-        (lead & 0x0F) << 12 | (data[1:-1] & 0x3F)[: len(lead)] << 6 | (data[2:] & 0x3F)[: len(lead)],
-        np.where(lead >= 0xC0, (lead & 0x1F) << 6 | (data[1:-1] & 0x3F)[: len(lead)], 0),
+        (lead & 0x0F) << 12 | (data[1:-1] & 0x3F) << 6 | (data[2:] & 0x3F),
+        np.where(lead >= 0xC0, (lead & 0x1F) << 6 | (data[1:-1] & 0x3F), 0),
     )
-    doc = chunk.doc_of_bytes()[: len(lead)]
+    doc = chunk.doc_of_bytes()
     far = point >= SCRIPTS[0][0]
     names = ["Latin"] * len(chunk)
     if far.any():
@@ -258,7 +258,7 @@ def _measured(vocabularies: tuple[Vocabulary, ...], bands: dict[str, dict[str, B
         for batch in batches:
             langs = batch.column("language").to_pylist()
             parts = []
-            for chunk in chunks(batch.column("text"), 1 << 20):
+            for chunk in chunks(batch.column("text"), 1 << 18):
                 starts, ends, doc = words = chunk.words()
                 values = chunk.word_values(starts, ends)
                 out = base_counts(chunk, words, values)
@@ -306,7 +306,7 @@ def _good(vocabularies: tuple[Vocabulary, ...], bands: dict[str, dict[str, Band]
     measure = _measured(vocabularies, bands)
 
     def of(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole)):
             text = batch.column("text")
             langs = batch.column(language).cast(pa.string()) if language else pa.nulls(len(text), pa.string())
             only = pa.RecordBatch.from_arrays([text, langs], names=["text", "language"])

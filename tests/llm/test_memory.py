@@ -6,10 +6,11 @@ import numpy as np
 import pyarrow as pa
 from tables import documents
 
-from lustra.llm import token_fertility
+from lustra.llm import nbest_pieces, symbols, token_fertility
+from lustra.llm.bucket_refinement import _cut
 from lustra.llm.jaccard_regions import _sets
 from lustra.llm.memory import returning
-from lustra.llm.queries import VOCABULARIES
+from lustra.llm.queries import PIECES, VOCABULARIES
 
 
 def test_tables_go_with_the_partition():
@@ -42,3 +43,44 @@ def test_sets_leave_a_task_in_portions():
     out = list(_sets(5, 75, All())(iter([batch])))
     assert len(out) > 1
     assert pa.Table.from_batches(out).column("doc").to_pylist() == list(range(20))
+
+
+def test_powers_go_with_the_partition():
+    def runs(batches):
+        for _ in batches:
+            symbols.Runs(np.ones(1 << 17, np.uint64), 0)
+            yield len(symbols._POWERS[0]._up)
+
+    held = returning(runs)
+    assert list(held(iter([1]))) == [1 << 18]
+    assert held.__name__ == "runs"
+    assert all(len(powers._up) == len(powers._down) == 0 for powers in symbols._POWERS)
+
+
+def test_texts_leave_a_task_in_portions():
+    """Stages that return texts hold a megabyte of them at a time, not a batch."""
+    texts = [" ".join(f"word{i}x{j}" for j in range(20_000)) for i in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(texts), pa.array(["en"] * 20)], names=["doc_id", "text", "lang"])
+    bands = {"*": {"*": token_fertility.Band(0, 1e9, 1, 0)}}
+    good = list(token_fertility._good(VOCABULARIES[:1], bands, "lang")(iter([batch])))
+    assert len(good) > 1
+    kept = pa.Table.from_batches(good)
+    once = pa.Table.from_batches(token_fertility._good(VOCABULARIES[:1], bands, "lang")(iter([batch.slice(i, 1) for i in range(20)])))
+    assert kept.num_rows and kept.equals(once)
+
+    none = pa.nulls(20, pa.list_(pa.struct([("lo", pa.int32()), ("n", pa.int32())])))
+    cut = list(_cut(iter([pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(texts), none], names=["row", "text", "ranges"])])))
+    assert len(cut) > 1
+    assert pa.Table.from_batches(cut).column("text").to_pylist() == texts
+
+
+def test_searched_units_are_forgotten_without_a_change(monkeypatch):
+    texts = [f"some words, {'abcdefghij'[i % 10] * (i % 7 + 1)} and others of text {i}" for i in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts)], names=["doc_id", "text"])
+    found = []
+    for most in (1 << 20, 8):
+        monkeypatch.setattr(nbest_pieces, "_SEARCHED", most)
+        nbest_pieces._known.clear()
+        found.append(pa.Table.from_batches(nbest_pieces._encoded(PIECES, 4, True, True)(iter([batch]))))
+        assert most > 8 or len(nbest_pieces._worker(PIECES)[2][4]) <= most + 1
+    assert found[0].equals(found[1])
