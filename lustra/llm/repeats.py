@@ -39,6 +39,8 @@ _FOUND = "k long, s long, doc long, rid long, lo int, n int, kind byte"
 _NAMES = [part.split()[0] for part in _FOUND.split(", ")]
 #: Different stretches of one anchor that a chunk may send on as they are.
 _FEW = 8
+#: So many stretches to compare, or as many as there are texts, are few: a list of them names few of the texts.
+_FEW_ASKED = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -102,12 +104,12 @@ def stretches(kind: Texts, symbols: np.ndarray, doc: np.ndarray) -> tuple[np.nda
 def anchors(kind: Texts, column: str = "text") -> Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]:
     """The anchors of every stretch, for a sketch."""
 
-    def of(batches):
+    def anchored(batches):
         for batch in batches:
             for chunk in chunks(batch.column(column), kind.chunk_bytes):
                 yield stretches(kind, *kind.symbols(chunk))[0]
 
-    return of
+    return anchored
 
 
 def _joined(row: np.ndarray, lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,7 +198,7 @@ def _ids(batch: pa.RecordBatch, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
 def _candidates(kind: Texts, seen: Seen):
     """First pass over the texts after the sketch: what may repeat, settled within chunks as far as possible."""
 
-    def of(batches):
+    def candidates(batches):
         for batch in batches:
             for chunk in chunks(batch.column("text"), kind.chunk_bytes):
                 doc_id, rid = _ids(batch, chunk)
@@ -227,7 +229,7 @@ def _candidates(kind: Texts, seen: Seen):
                 _windows(kind, runs, begin, doc_id, row[part], lo[part], n[part], out)
                 yield out.batch()
 
-    return returning(of)
+    return returning(candidates)
 
 
 def _asked(kind: Texts, batch: pa.RecordBatch):
@@ -280,14 +282,14 @@ def _marked(seen: Seen, marks: Seen) -> Asked:
 def _asked_windows(kind: Texts, asked: Asked = _asked):
     """Identities of the windows that are to be compared, for a sketch."""
 
-    def of(batches):
+    def asked_windows(batches):
         for batch in batches:
             for _, symbols, _, _, lo, n in asked(kind, batch):
                 each = np.repeat(np.arange(len(lo)), n)
                 at = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
                 yield Runs(symbols, 0).of(at, kind.window)
 
-    return of
+    return asked_windows
 
 
 def _sent_windows(batches):
@@ -299,7 +301,7 @@ def _sent_windows(batches):
 def _expanded(kind: Texts, seen: Seen, asked: Asked = _asked):
     """Windows of the stretches that need single comparison, where the sketch shows them twice."""
 
-    def of(batches):
+    def expanded(batches):
         for batch in batches:
             for chunk, symbols, begin, row, lo, n in asked(kind, batch):
                 doc_id, rid = _ids(batch, chunk)
@@ -307,7 +309,7 @@ def _expanded(kind: Texts, seen: Seen, asked: Asked = _asked):
                 _windows(kind, (Runs(symbols, 0), Runs(symbols, 1)), begin, doc_id, row, lo, n, out, seen)
                 yield out.batch()
 
-    return returning(of)
+    return returning(expanded)
 
 
 def _spans(batches):
@@ -338,7 +340,7 @@ def repeated_ranges(
     A stretch or window is repeated if a text with a smaller doc has it. ``seen`` must
     be true for every anchor that occurs twice.
 
-    Texts are told which of their stretches to compare by a broadcast list if it is small; up to
+    Texts are told which of their stretches to compare by a broadcast list if these are few; up to
     ``most_marks`` stretches by a broadcast bit map of their places (it lets a few more through, which are
     compared too and change nothing); beyond that texts and lists are shuffled.
     """
@@ -367,7 +369,8 @@ def repeated_ranges(
     )
     asks = judged.filter((F.col("kind") == _ASK) & ~F.col("repeat")).select("doc", "rid", "lo", "n")
     n_asks = asks.count()
-    if broadcast_bytes < 8 * n_asks and n_asks <= most_marks:
+    many = broadcast_bytes < 8 * n_asks or (n_asks > _FEW_ASKED and n_asks > texts.count())
+    if many and n_asks <= most_marks:
         marks = seen_twice([(asks, _asked_places)], sketch_width(n_asks, load=1 / 32))
         source, asked_of = texts, _marked(seen, marks)
     else:

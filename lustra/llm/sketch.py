@@ -10,7 +10,7 @@ broadcast is bounded; past the bound the sketch lets more through but loses noth
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import reduce, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +147,7 @@ def seen_twice(sources: list[tuple[DataFrame, Values]], width: int, depth: int =
     """
 
     def sketched(values_of: Values):
+        @wraps(values_of)
         def of(batches):
             held, size = [], 0
             for values in values_of(batches):

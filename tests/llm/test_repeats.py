@@ -217,3 +217,44 @@ def test_more_stretches_than_marks(spark, monkeypatch):
     monkeypatch.setattr(bucket_refinement, "repeated_ranges", lambda *a: ranges(*a, broadcast_bytes=0, most_marks=1))
     rows = random_rows(6)
     assert found(repeat_digests(documents(spark, rows).repartition(5)), *BYTES) == expected_bytes(rows)
+
+
+def test_steps_have_names_of_their_own():
+    """Plans count the rows of a step by its name and columns; the two steps have the same columns."""
+    kind = Texts(byte_symbols)
+    steps = [f(kind, None) for f in (repeats._candidates, repeats._expanded)]
+    assert [step.__name__ for step in steps] == ["candidates", "expanded"]
+
+
+def test_many_stretches_go_one_way_at_any_size(spark, monkeypatch):
+    """More stretches to compare than texts: marks, also where a list of them would be small."""
+    stores = []
+    keep = repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda df, purpose: stores.append(purpose) or keep(df, purpose))
+    monkeypatch.setattr(repeats, "_FEW_ASKED", 0, raising=False)
+    rows = random_rows(7)
+    assert found(repeat_digests(documents(spark, rows).repartition(5)), *BYTES) == expected_bytes(rows)
+    assert "asked-texts" not in stores
+
+
+def test_rows_sent_grow_with_the_texts():
+    """Of one passage in ever more texts, each with another end, both steps send rows in proportion."""
+
+    class All:
+        def twice(self, values):
+            return np.ones(len(values), bool)
+
+    kind = Texts(byte_symbols, chunk_bytes=1 << 12)
+    draw = random.Random(8)
+    passage = "".join(draw.choices("abcdefgh", k=300))
+
+    def sent(texts):
+        rows = ["".join(draw.choices("abcdefgh", k=200)) + passage[: 300 - i % 100] + "z" * 60 for i in range(texts)]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(range(texts)), pa.array([0] * texts), pa.array(rows)], names=["doc", "rid", "text"]
+        )
+        steps = (repeats._candidates(kind, All()), repeats._expanded(kind, All(), repeats._marked(All(), All())))
+        return [sum(part.num_rows for part in step(iter([batch]))) for step in steps]
+
+    few, many = sent(200), sent(1600)
+    assert all(b < 9 * a for a, b in zip(few, many))
