@@ -11,6 +11,7 @@ gram in them) form a stretch. Equal windows have equal anchors, so
 Each chunk of texts settles what it can by itself: of equal stretches or windows it
 sends on one, and of an anchor with many stretches only a mark. So a group that is
 compared after the shuffle has at most a few rows per chunk, however many texts share it.
+Symbols and their sums, eight bytes each, are held for a part of a chunk at a time.
 
 Identities are pairs of 64-bit hashes. A text is known by its doc_id and a hash of
 doc_id and text, so rows that repeat a doc_id don't mix. NULL ids come last.
@@ -45,12 +46,16 @@ _FEW_ASKED = 1 << 16
 
 @dataclass(frozen=True)
 class Texts:
-    """Symbols of a chunk: a value for each, and the text (row of the chunk) each belongs to."""
+    """Symbols of a chunk: a value for each, and the text (row of the chunk) each belongs to.
+
+    What repeats is settled within chunks, symbols are read in parts of them; a part has whole texts.
+    """
 
     symbols: Callable[[Chunk], tuple[np.ndarray, np.ndarray]]
     window: int = 50
     gram: int = 25
     chunk_bytes: int = 1 << 20
+    part_bytes: int = 1 << 17
 
 
 def byte_symbols(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -106,8 +111,8 @@ def anchors(kind: Texts, column: str = "text") -> Callable[[Iterator[pa.RecordBa
 
     def anchored(batches):
         for batch in batches:
-            for chunk in chunks(batch.column(column), kind.chunk_bytes):
-                yield stretches(kind, *kind.symbols(chunk))[0]
+            for part in chunks(batch.column(column), kind.part_bytes):
+                yield stretches(kind, *kind.symbols(part))[0]
 
     return anchored
 
@@ -157,33 +162,49 @@ class _Rows:
         return pa.RecordBatch.from_arrays(arrays, names=_NAMES)
 
 
-def _windows(
-    kind: Texts,
-    runs: tuple[Runs, Runs],
-    begin: np.ndarray,
-    doc_id: np.ndarray,
-    row: np.ndarray,
-    lo: np.ndarray,
-    n: np.ndarray,
-    out: _Rows,
-    seen: Seen | None = None,
-) -> None:
-    """Single windows of some stretches: of equal ones the least text's goes on, the others are repeats."""
+#: Stretches by part of a chunk: the part's first text, its symbols, where each text begins, and of each stretch the
+#: text in the part, the first window's place in the symbols and the number of windows.
+Parts = Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _each(lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every window of some stretches: which stretch it is of, and its place."""
     each = np.repeat(np.arange(len(lo)), n)
-    at = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-    k, s = (r.of(at, kind.window) for r in runs)
-    row = row[each]
-    if seen is not None:
-        may = seen.twice(k)
-        k, s, row, at = k[may], s[may], row[may], at[may]
+    return each, lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _given(kind: Texts, chunk: Chunk, row: np.ndarray, lo: np.ndarray, n: np.ndarray) -> Parts:
+    """Stretches known by text and place in it, of the parts that have some."""
+    for part in chunk.parts(kind.part_bytes):
+        own = (row >= part.first) & (row < part.first + len(part))
+        if own.any():
+            symbols, doc = kind.symbols(part)
+            begin, at = _begins(doc, len(part)), row[own] - part.first
+            yield part.first, symbols, begin, at, lo[own] + begin[at], n[own]
+
+
+def _windows(kind: Texts, parts: Parts, doc_id: np.ndarray, out: _Rows, seen: Seen | None = None) -> None:
+    """Single windows of some stretches: of equal ones the least text's goes on, the others are repeats."""
+    found = []
+    for first, symbols, begin, row, lo, n in parts:
+        each, at = _each(lo, n)
+        k = Runs(symbols, 0).of(at, kind.window)
+        if seen is not None:
+            may = seen.twice(k)
+            k, each, at = k[may], each[may], at[may]
+        row = row[each]
+        found.append((k, Runs(symbols, 1).of(at, kind.window), row + first, at - begin[row]))
+    if not found:
+        return
+    k, s, row, lo = (np.concatenate(x) for x in zip(*found))
+    found.clear()
     order = np.lexsort((doc_id[row], s, k))
-    k, s, row, at = k[order], s[order], row[order], at[order]
-    group = np.cumsum(run_starts(k, s)) - 1
-    least = doc_id[row][run_starts(k, s)][group] if len(k) else doc_id[:0]
-    later = doc_id[row] > least
-    out.gone(row[later], (at - begin[row])[later], np.full(int(later.sum()), kind.window))
+    k, s, row, lo = k[order], s[order], row[order], lo[order]
+    starts = run_starts(k, s)
+    later = doc_id[row] > doc_id[row][starts][np.cumsum(starts) - 1]
+    out.gone(row[later], lo[later], np.full(int(later.sum()), kind.window))
     keep = ~later
-    out.add(_WINDOW, k[keep], s[keep], row[keep], (at - begin[row])[keep], np.ones(int(keep.sum()), np.int64))
+    out.add(_WINDOW, k[keep], s[keep], row[keep], lo[keep], np.ones(int(keep.sum()), np.int64))
 
 
 def _begins(doc: np.ndarray, texts: int) -> np.ndarray:
@@ -195,6 +216,20 @@ def _ids(batch: pa.RecordBatch, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return (batch.column(c).to_numpy(zero_copy_only=False)[part] for c in ("doc", "rid"))
 
 
+def _seen_stretches(kind: Texts, chunk: Chunk, seen: Seen) -> tuple[np.ndarray, ...]:
+    """The chunk's stretches whose anchors were seen twice: anchor, identity, text, place in it and number of windows."""
+    found = []
+    for part in chunk.parts(kind.part_bytes):
+        symbols, doc = kind.symbols(part)
+        k, lo, n = stretches(kind, symbols, doc)
+        may = seen.twice(k)
+        k, lo, n = k[may], lo[may], n[may]
+        row = doc[lo]
+        s = Runs(symbols, 0).of(lo, n + kind.window - 1)
+        found.append((k, s, row.astype(np.int64) + part.first, lo - _begins(doc, len(part))[row], n))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _candidates(kind: Texts, seen: Seen):
     """First pass over the texts after the sketch: what may repeat, settled within chunks as far as possible."""
 
@@ -203,46 +238,38 @@ def _candidates(kind: Texts, seen: Seen):
             for chunk in chunks(batch.column("text"), kind.chunk_bytes):
                 doc_id, rid = _ids(batch, chunk)
                 out = _Rows(doc_id, rid)
-                symbols, doc = kind.symbols(chunk)
-                k, lo, n = stretches(kind, symbols, doc)
-                may = seen.twice(k)
-                k, lo, n = k[may], lo[may], n[may]
+                k, s, row, lo, n = _seen_stretches(kind, chunk, seen)
                 if not len(k):
                     continue
-                runs = (Runs(symbols, 0), Runs(symbols, 1))
-                s = runs[0].of(lo, n + kind.window - 1)
-                row, begin = doc[lo], _begins(doc, len(chunk))
                 order = np.lexsort((doc_id[row], s, k))
-                k, s, lo, n, row = k[order], s[order], lo[order], n[order], row[order]
+                k, s, row, lo, n = k[order], s[order], row[order], lo[order], n[order]
                 same = run_starts(k, s)
                 least = doc_id[row][same][np.cumsum(same) - 1]
                 later = doc_id[row] > least
-                out.gone(row[later], (lo - begin[row])[later], n[later] + kind.window - 1)
+                out.gone(row[later], lo[later], n[later] + kind.window - 1)
                 several = np.bincount(np.cumsum(run_starts(k)) - 1, weights=same) > _FEW
                 several = several[np.cumsum(run_starts(k)) - 1]
                 alone = ~later & ~several
-                out.add(_ASK, k[alone], s[alone], row[alone], (lo - begin[row])[alone], n[alone])
+                out.add(_ASK, k[alone], s[alone], row[alone], lo[alone], n[alone])
                 marks = np.flatnonzero(several & run_starts(k))
                 none = np.zeros(len(marks), np.int64)
                 out.add(_MARK, k[marks], none.astype(U64), row[marks], none, none)
                 part = ~later & several
-                _windows(kind, runs, begin, doc_id, row[part], lo[part], n[part], out)
+                _windows(kind, _given(kind, chunk, row[part], lo[part], n[part]), doc_id, out)
                 yield out.batch()
 
     return returning(candidates)
 
 
 def _asked(kind: Texts, batch: pa.RecordBatch):
-    """Of each chunk: its symbols and the stretches whose windows are to be compared singly."""
+    """Of each chunk: the stretches whose windows are to be compared singly."""
     asked = batch.column("asked")
     for chunk in chunks(batch.column("text"), kind.chunk_bytes):
-        symbols, doc = kind.symbols(chunk)
-        begin = _begins(doc, len(chunk))
         lists = asked.slice(chunk.first, len(chunk))
         row = np.repeat(np.arange(len(chunk)), np.diff(lists.offsets.to_numpy()))
         flat = lists.flatten()
         lo, n = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-        yield chunk, symbols, begin, row, lo + begin[row], n
+        yield chunk, _given(kind, chunk, row, lo, n)
 
 
 def _places(doc_id: np.ndarray, rid: np.ndarray, lo: np.ndarray) -> np.ndarray:
@@ -257,24 +284,28 @@ def _asked_places(batches):
         yield np.concatenate([at, at])
 
 
-#: Of each chunk of a batch: the chunk, its symbols and the stretches to be compared (text's begin, row, first, windows).
-Asked = Callable[[Texts, pa.RecordBatch], Iterator[tuple]]
+#: Of each chunk of a batch: the chunk and the stretches to be compared.
+Asked = Callable[[Texts, pa.RecordBatch], Iterator[tuple[Chunk, Parts]]]
 
 
 def _marked(seen: Seen, marks: Seen) -> Asked:
     """As ``_asked``, of whole texts: the stretches whose places ``marks`` has."""
 
-    def of(kind, batch):
-        for chunk in chunks(batch.column("text"), kind.chunk_bytes):
-            doc_id, rid = _ids(batch, chunk)
-            symbols, doc = kind.symbols(chunk)
-            begin = _begins(doc, len(chunk))
+    def parts(kind, chunk, doc_id, rid):
+        for part in chunk.parts(kind.part_bytes):
+            symbols, doc = kind.symbols(part)
+            begin = _begins(doc, len(part))
             k, lo, n = stretches(kind, symbols, doc)
             may = seen.twice(k)
             lo, n = lo[may], n[may]
             row = doc[lo]
-            asked = marks.twice(_places(doc_id[row], rid[row], lo - begin[row]))
-            yield chunk, symbols, begin, row[asked], lo[asked], n[asked]
+            at = row + part.first
+            asked = marks.twice(_places(doc_id[at], rid[at], lo - begin[row]))
+            yield part.first, symbols, begin, row[asked], lo[asked], n[asked]
+
+    def of(kind, batch):
+        for chunk in chunks(batch.column("text"), kind.chunk_bytes):
+            yield chunk, parts(kind, chunk, *_ids(batch, chunk))
 
     return of
 
@@ -284,10 +315,9 @@ def _asked_windows(kind: Texts, asked: Asked = _asked):
 
     def asked_windows(batches):
         for batch in batches:
-            for _, symbols, _, _, lo, n in asked(kind, batch):
-                each = np.repeat(np.arange(len(lo)), n)
-                at = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-                yield Runs(symbols, 0).of(at, kind.window)
+            for _, parts in asked(kind, batch):
+                for _, symbols, _, _, lo, n in parts:
+                    yield Runs(symbols, 0).of(_each(lo, n)[1], kind.window)
 
     return asked_windows
 
@@ -303,10 +333,10 @@ def _expanded(kind: Texts, seen: Seen, asked: Asked = _asked):
 
     def expanded(batches):
         for batch in batches:
-            for chunk, symbols, begin, row, lo, n in asked(kind, batch):
+            for chunk, parts in asked(kind, batch):
                 doc_id, rid = _ids(batch, chunk)
                 out = _Rows(doc_id, rid)
-                _windows(kind, (Runs(symbols, 0), Runs(symbols, 1)), begin, doc_id, row, lo, n, out, seen)
+                _windows(kind, parts, doc_id, out, seen)
                 yield out.batch()
 
     return returning(expanded)

@@ -36,12 +36,16 @@ def sketch_width(values: int, load: float = 0.5, largest: int = 1 << 28) -> int:
 def cells(values: np.ndarray, width: int, row: int) -> np.ndarray:
     """A value's cell in a row. Rows take different products of the value."""
     factor = U64((0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)[row])
-    return ((values * factor) >> U64(64 - width.bit_length() + 1)).astype(np.int64)
+    where = values * factor
+    where >>= U64(64 - width.bit_length() + 1)
+    return where.view(np.int64)
 
 
 def _packed(values: np.ndarray, width: int, depth: int) -> pa.RecordBatch:
     """A partition's cells by block: those hit once and those hit more often."""
-    where = np.concatenate([cells(values, width, r) + r * width for r in range(depth)])
+    where = np.empty(depth * len(values), np.int64)
+    for r in range(depth):
+        np.add(cells(values, width, r), r * width, out=where[r * len(values) : (r + 1) * len(values)])
     where.sort()
     first = np.ones(len(where), bool)
     first[1:] = where[1:] != where[:-1]
@@ -154,8 +158,8 @@ def seen_twice(sources: list[tuple[DataFrame, Values]], width: int, depth: int =
                 held.append(values)
                 size += len(values)
                 if size >= _FLUSH:
-                    yield _packed(np.concatenate(held), width, depth)
-                    held, size = [], 0
+                    whole, held, size = np.concatenate(held), [], 0
+                    yield _packed(whole, width, depth)
             if size:
                 yield _packed(np.concatenate(held), width, depth)
 

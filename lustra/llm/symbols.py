@@ -99,6 +99,16 @@ class Chunk:
     def __len__(self) -> int:
         return len(self.bounds) - 1
 
+    def parts(self, size: int) -> Iterator[Chunk]:
+        """The texts in order, in groups of about ``size`` bytes; a longer text is a group of its own."""
+        first, bounds = 0, self.bounds
+        while first < len(self):
+            last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + size, "right")) - 1)
+            last = min(last, len(self))
+            a, b = bounds[first], bounds[last]
+            yield Chunk(first, self.data[a:b], bounds[first : last + 1] - a)
+            first = last
+
     def doc_of_bytes(self) -> np.ndarray:
         return np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.bounds))
 
@@ -137,13 +147,7 @@ def chunks(column: pa.Array | pa.ChunkedArray, size: int = 1 << 21) -> Iterator[
     if len(column) == 0:
         return
     data, bounds = _buffer(column)
-    first = 0
-    while first < len(column):
-        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + size, "right")) - 1)
-        last = min(last, len(column))
-        a, b = bounds[first], bounds[last]
-        yield Chunk(first, data[a:b], bounds[first : last + 1] - a)
-        first = last
+    yield from Chunk(0, data, bounds).parts(size)
 
 
 def run_starts(*sorted_columns: np.ndarray) -> np.ndarray:

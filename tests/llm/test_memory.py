@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from tables import documents
 
-from lustra.llm import nbest_pieces, symbols, token_fertility
+from lustra.llm import nbest_pieces, repeats, symbols, token_fertility
 from lustra.llm.bucket_refinement import _cut
-from lustra.llm.jaccard_regions import _sets
+from lustra.llm.jaccard_regions import _sets, _shingles
 from lustra.llm.memory import returning
 from lustra.llm.queries import PIECES, VOCABULARIES
+from lustra.llm.repeats import Texts, byte_symbols, word_symbols
 
 
 def test_tables_go_with_the_partition():
@@ -84,3 +88,62 @@ def test_searched_units_are_forgotten_without_a_change(monkeypatch):
         found.append(pa.Table.from_batches(nbest_pieces._encoded(PIECES, 4, True, True)(iter([batch]))))
         assert most > 8 or len(nbest_pieces._worker(PIECES)[2][4]) <= most + 1
     assert found[0].equals(found[1])
+
+
+class Some:
+    """A sketch that shows some of the values as seen twice."""
+
+    def __init__(self, of_16):
+        self._of_16 = np.uint64(of_16)
+
+    def twice(self, values):
+        return symbols.mixed(values) % np.uint64(16) < self._of_16
+
+
+def _texts(count, words):
+    draw = np.random.default_rng(7)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 5000, words)) for _ in range(count)]
+    texts = [t + " " + texts[i // 2][: len(t) // 3] for i, t in enumerate(texts)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(count)), pa.array([0] * count), pa.array(texts)], names=["doc", "rid", "text"]
+    )
+
+
+def _steps(kind):
+    marked = repeats._marked(Some(12), Some(2))
+    return {
+        "anchors": repeats.anchors(kind),
+        "candidates": repeats._candidates(kind, Some(12)),
+        "asked": repeats._asked_windows(kind, marked),
+        "expanded": repeats._expanded(kind, Some(2), marked),
+        "shingles": _shingles(5),
+        "sets": _sets(5, 75, Some(12)),
+    }
+
+
+@pytest.mark.parametrize("step", ["anchors", "candidates", "asked", "expanded", "shingles", "sets"])
+def test_symbols_are_held_for_a_part_of_a_chunk(step):
+    """Eight bytes a symbol, several times over, of a megabyte of text would be 80 MB and more in each worker."""
+    batch = _texts(200, 1500)
+    assert batch.column("text").nbytes > 1 << 21
+    of = _steps(Texts(byte_symbols))[step]
+    symbols.drop_powers()
+    tracemalloc.start()
+    for _ in of(iter([batch])):
+        pass
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 40 << 20, f"{most >> 20} MB"
+
+
+@pytest.mark.parametrize("symbols_of", [byte_symbols, word_symbols])
+def test_parts_change_no_row(symbols_of):
+    batch = _texts(60, 150)
+    found = []
+    for part in (1 << 20, 1 << 10):
+        kind = Texts(symbols_of, chunk_bytes=1 << 14, part_bytes=part)
+        steps = _steps(kind)
+        found.append([pa.Table.from_batches(steps[s](iter([batch]))) for s in ("candidates", "expanded")])
+        found[-1].append(sorted(np.concatenate(list(steps["asked"](iter([batch])))).tolist()))
+        assert all(len(x) for x in found[-1])
+    assert found[0] == found[1]
