@@ -1,8 +1,9 @@
-"""What Python workers hold once their partition is done.
+"""What Python workers and the executors that feed them hold beside Spark's heap.
 
 Spark keeps its workers for later tasks, and the allocators of C and Arrow keep what
 was freed: a worker that took 250 MB for some arrays would hold most of it, unused, while
-the executor's JVM joins and sorts.
+the executor's JVM joins and sorts. The JVM's own buffers of rows for the workers are kept
+likewise, so rows go over a megabyte at a time.
 """
 
 from __future__ import annotations
@@ -12,10 +13,19 @@ from collections.abc import Callable, Iterator
 from functools import wraps
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 from lustra.llm.symbols import chunks, drop_powers
 
 Batches = Iterator[pa.RecordBatch]
+#: Spark's limit on a batch of rows for a Python worker; by default 64 MB, so that 10,000 rows of text go over at once.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, size: int = 1 << 20) -> None:
+    """Rows go to Python workers about ``size`` bytes at a time, for the rest of the session; a limit set before stays."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, f"{size}b")
 
 
 def give_back() -> None:

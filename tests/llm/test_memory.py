@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tracemalloc
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -12,7 +13,7 @@ from tables import documents
 from lustra.llm import nbest_pieces, repeats, symbols, token_fertility
 from lustra.llm.bucket_refinement import _cut
 from lustra.llm.jaccard_regions import _sets, _shingles
-from lustra.llm.memory import returning
+from lustra.llm.memory import BATCH_BYTES, returning, small_batches
 from lustra.llm.queries import PIECES, VOCABULARIES
 from lustra.llm.repeats import Texts, byte_symbols, word_symbols
 
@@ -147,3 +148,21 @@ def test_parts_change_no_row(symbols_of):
         found[-1].append(sorted(np.concatenate(list(steps["asked"](iter([batch])))).tolist()))
         assert all(len(x) for x in found[-1])
     assert found[0] == found[1]
+
+
+def test_pipeline_hands_rows_over_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    rows = spark.range(0, 4000, 1, 1).selectExpr("id", "repeat('abcdefgh', 250) text")
+    try:
+        for _, stage in corpus_pipeline.STAGES[:1]:
+            stage(spark, documents(spark, [(1, "some text")]), "")
+        most, n = rows.mapInArrow(sizes, "size long").selectExpr("max(size)", "count(*)").first()
+        assert most < 1.1 * (1 << 20) and n > 4
+        spark.conf.set(BATCH_BYTES, "100k")
+        small_batches(spark)
+        assert spark.conf.get(BATCH_BYTES) == "100k"
+    finally:
+        spark.conf.unset(BATCH_BYTES)
