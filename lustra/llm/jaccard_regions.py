@@ -10,6 +10,8 @@ regions and the triangle inequality says which of them another region also needs
   be: those of the first n - ceil(0.75 n) + 1 shingles. Of two documents that link, these
   always have one in common. A sketch of all shingles comes first: who has under 75 %
   of shingles that occur twice can't link and goes to no region. Its counts give the order.
+  A sketch too full to tell lets more through; so a region is known only once its shingle, sent to
+  its owner by hash, was met with two texts there.
 * First every region's least member is its one pivot, which joins most copies into components. A pair is
   measured only if the places of the region's shingle in both orders leave room for a link.
 * A region still open first loses the members whose size and place leave no room for a link with any other.
@@ -24,13 +26,13 @@ regions and the triangle inequality says which of them another region also needs
   those with room for a link are compared one by one; else there are sixteen times the pivots at the next level.
 
 Pivots leave their region, so every level shrinks it. Distances always are of the
-whole sets, and nothing is sampled. A group of copies costs one distance for each member
+whole sets, made of the texts anew for those in a pair, and nothing is sampled. A group of copies costs one distance for each member
 and pivot, not one for each pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +45,15 @@ from lustra.llm.memory import returning
 from lustra.llm.repeats import LAST, id_of, keyed, repeats_ids
 from lustra.llm.sketch import Seen, seen_twice, sketch_width
 from lustra.llm.stored import stored
-from lustra.llm.symbols import Chunk, Runs, chunks, mixed
+from lustra.llm.symbols import Chunk, Runs, chunks, mixed, run_starts
 
 U64 = np.uint64
-_SETS = "doc long, rid long, n long, f1 long, f2 long, toks array<long>"
+_SETS = "doc long, rid long, n long, f1 long, f2 long, may boolean"
+_SHINGLES = "doc long, rid long, toks array<long>"
+_PLACED = "block long, settled boolean, regions binary, docs binary, rids binary, sizes binary, places binary"
 _MEMBERS = "region long, doc long, rid long, n long, at long"
+#: Rows of a region that a task settles by itself or sends on, gathered so many at a time; a block gets about as many in all.
+_GATHERED = 1 << 19
 
 
 def _shingle_sets(chunk: Chunk, width: int) -> Iterator[np.ndarray]:
@@ -76,58 +82,185 @@ def _shingles(width: int):
 
 
 def _sets(width: int, percent: int, seen: Seen):
-    """Each text's set size and identity, and the set itself where it may have a partner."""
+    """Each text's set size and identity, and whether it may have a partner."""
 
     def of(batches):
         for batch in batches:
             for chunk in chunks(batch.column("text"), 1 << 18):
-                n, f1, f2, toks = [], [], [], []
+                n, f1, f2 = [], [], []
                 sets = list(_shingle_sets(chunk, width))
                 sizes = np.array([len(s) for s in sets])
-                twice = seen.twice(np.concatenate(sets))
-                often = np.add.reduceat(np.r_[twice, False].astype(np.int64), np.cumsum(sizes) - sizes)
-                for own, size, k in zip(sets, sizes.tolist(), often.tolist()):
-                    n.append(size)
+                often = _often(np.concatenate(sets), sizes, seen)[1]
+                for own in sets:
+                    n.append(len(own))
                     f1.append(int(mixed(own).sum(dtype=U64).view(np.int64)))
                     f2.append(int(mixed(own ^ U64(0x5851F42D4C957F2D)).sum(dtype=U64).view(np.int64)))
-                    toks.append(own.view(np.int64) if size and 100 * k >= percent * size else None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c).slice(chunk.first, len(chunk)) for c in ("doc", "rid")),
                         *(pa.array(c, pa.int64()) for c in (n, f1, f2)),
-                        pa.array(toks, pa.list_(pa.int64())),
+                        pa.array((sizes > 0) & (100 * often >= percent * sizes)),
                     ],
-                    names=["doc", "rid", "n", "f1", "f2", "toks"],
+                    names=["doc", "rid", "n", "f1", "f2", "may"],
                 )
 
     return returning(of)
 
 
-def _regions(percent: int, seen: Seen):
-    """Rows (shingle, text, set size, the shingle's place) for the shingles of the prefix that occur twice."""
+def _often(flat: np.ndarray, sizes: np.ndarray, seen: Seen) -> tuple[np.ndarray, np.ndarray]:
+    """Of the shingles of sets of these sizes which were seen twice, and how many of each set."""
+    twice = seen.twice(flat)
+    ends = np.cumsum(sizes)
+    counts = np.r_[0, np.cumsum(twice)]
+    return twice, counts[ends] - counts[ends - sizes]
+
+
+def _names(doc: np.ndarray, rid: np.ndarray) -> np.ndarray:
+    """What stands for a text in a bit map."""
+    return mixed(mixed(doc.astype(U64)) ^ mixed(rid.astype(U64) + U64(1)) * U64(3))
+
+
+def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "rid"))
+
+
+def _names_twice(batches):
+    """The names of texts, each twice, so that a sketch shows it as seen twice."""
+    for batch in batches:
+        names = _names(*_ids(batch))
+        yield np.concatenate([names, names])
+
+
+def _bit_map(texts: DataFrame, rows: int) -> Seen:
+    """True for each of the texts (doc, rid), of which there are so many, and for about one in sixteen others."""
+    return seen_twice([(texts, _names_twice)], sketch_width(rows, load=1 / 16))
+
+
+def _named_sets(batches, width: int, names: Seen):
+    """The ids and the shingle sets of the texts that the bit map names, a part of a batch at a time."""
+    for batch in batches:
+        batch = batch.filter(pa.array(names.twice(_names(*_ids(batch)))))
+        doc, rid = _ids(batch)
+        for chunk in chunks(batch.column("text"), 1 << 18):
+            at = slice(chunk.first, chunk.first + len(chunk))
+            yield doc[at], rid[at], list(_shingle_sets(chunk, width))
+
+
+def _shingles_of(width: int, names: Seen):
+    """The sets themselves."""
 
     def of(batches):
-        for batch in batches:
-            doc, rid = (batch.column(c).to_numpy() for c in ("doc", "rid"))
-            lists = batch.column("toks")
-            bounds = lists.offsets.to_numpy()
-            bounds = bounds - bounds[0]
-            flat = lists.flatten().to_numpy(zero_copy_only=False).view(U64)
-            twice = seen.twice(flat)
+        for doc, rid, sets in _named_sets(batches, width, names):
+            ends = np.cumsum([0, *map(len, sets)])
+            toks = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(rid), toks], names=["doc", "rid", "toks"])
+
+    return returning(of)
+
+
+def _by_block(columns: list[np.ndarray], block: np.ndarray, settled: bool) -> pa.RecordBatch:
+    """A row for each block, with the bytes of its part of each column."""
+    order = np.argsort(block, kind="stable")
+    block = block[order]
+    starts = np.flatnonzero(run_starts(block))
+    bounds = list(zip(starts.tolist(), np.r_[starts[1:], len(block)].tolist()))
+    parts = [[c[a:b].tobytes() for a, b in bounds] for c in (column[order] for column in columns)]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(block[starts].astype(np.int64)),
+            pa.array(np.full(len(starts), settled)),
+            *(pa.array(p, pa.binary()) for p in parts),
+        ],
+        names=[c.split()[0] for c in _PLACED.split(", ")],
+    )
+
+
+_KINDS = (U64, np.int64, np.int64, np.int32, np.int32)
+#: The place of a row that only says that a task has met the shingle twice.
+_MARK = -1
+
+
+def _prefixes(width: int, percent: int, seen: Seen, names: Seen, blocks: int):
+    """Rows (shingle, text, set size, the shingle's place) for the shingles of the prefix that were seen twice, by block.
+
+    What a task meets twice is settled: these rows go anywhere, and one mark to the shingle's block. So a block
+    gets a row or a mark of each shingle from each portion of a task, however many texts share it.
+    """
+    bits = U64(64 - blocks.bit_length() + 1)
+
+    def portion(held):
+        regions, docs, rids, sizes, places = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((rids, docs, regions))
+        first = run_starts(regions[order], docs[order], rids[order])
+        regions, docs, rids, sizes, places = (x[order][first] for x in (regions, docs, rids, sizes, places))
+        starts = run_starts(regions)
+        met = np.diff(np.r_[np.flatnonzero(starts), len(regions)])[np.cumsum(starts) - 1] > 1
+        anywhere = (mixed(docs.astype(U64)) >> bits) % U64(blocks)
+        rows = [regions, docs, rids, sizes.astype(np.int32), places.astype(np.int32)]
+        yield _by_block([c[met] for c in rows], anywhere[met], True)
+        rows[4] = np.where(met, np.int32(_MARK), rows[4])
+        sent = ~met | starts
+        rows = [c[sent] for c in rows]
+        yield _by_block(rows, (rows[0] >> bits) % U64(blocks), False)
+
+    def of(batches):
+        held, size = [], 0
+        for doc, rid, sets in _named_sets(batches, width, names):
+            sizes = np.array([len(s) for s in sets])
+            flat = np.concatenate(sets)
+            twice, often = _often(flat, sizes, seen)
             weight = np.where(twice, seen.level(flat), 0)
-            out, places = [np.empty(0, U64)], [np.empty(0, np.int64)]
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                n = b - a
+            ends = np.cumsum(sizes)
+            for i in np.flatnonzero((sizes > 0) & (100 * often >= percent * sizes)).tolist():
+                n, own = int(sizes[i]), slice(ends[i] - sizes[i], ends[i])
                 prefix = n - (percent * n + 99) // 100 + 1
-                order = np.lexsort((flat[a:b], weight[a:b]))[:prefix]
-                place = np.flatnonzero(twice[a:b][order])
-                out.append(flat[a:b][order[place]])
-                places.append(place)
-            rows = np.repeat(np.arange(len(doc)), [len(p) for p in places[1:]])
-            columns = (np.concatenate(out).view(np.int64), doc[rows], rid[rows], np.diff(bounds)[rows], np.concatenate(places))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=["region", "doc", "rid", "n", "at"]
-            )
+                order = np.lexsort((flat[own], weight[own]))[:prefix]
+                place = np.flatnonzero(twice[own][order])
+                k = len(place)
+                held.append((flat[own][order[place]], *(np.full(k, x, np.int64) for x in (doc[i], rid[i], n)), place))
+                size += k
+                if size >= _GATHERED:
+                    yield from portion(held)
+                    held, size = [], 0
+        if size:
+            yield from portion(held)
+
+    return returning(of)
+
+
+def _members():
+    """Of shingles that several texts have in their prefixes: rows (region, doc, rid, n, at). Rows come sorted by block."""
+
+    def batch_of(columns):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c.view(np.int64) if c.dtype == U64 else c.astype(np.int64)) for c in columns],
+            names=["region", "doc", "rid", "n", "at"],
+        )
+
+    def met(held):
+        columns = [np.concatenate(x) for x in zip(*held)]
+        order = np.argsort(columns[0], kind="stable")
+        starts = run_starts(columns[0][order])
+        several = np.diff(np.r_[np.flatnonzero(starts), len(order)])[np.cumsum(starts) - 1] > 1
+        kept = order[several]
+        kept = kept[columns[4][kept] != _MARK]
+        return batch_of([c[kept] for c in columns])
+
+    def of(batches):
+        now, held = None, []
+        for batch in batches:
+            for block, settled, *parts in zip(*(column.to_pylist() for column in batch.columns)):
+                columns = [np.frombuffer(p, kind) for p, kind in zip(parts, _KINDS)]
+                if settled:
+                    yield batch_of(columns)
+                    continue
+                if block != now and held:
+                    yield met(held)
+                    held = []
+                now = block
+                held.append(columns)
+        if held:
+            yield met(held)
 
     return returning(of)
 
@@ -140,22 +273,28 @@ def _may_link(percent: int, n: Column, at: Column, m: Column, place: Column) ->
     return (100 + percent) * F.least(n - at, m - place) >= percent * (n + m)
 
 
-def _distances(pairs: DataFrame, sets: DataFrame, broadcast_rows: int = 1 << 19) -> DataFrame:
-    """``x``, ``y`` (structs doc, rid), ``shared`` and ``both``: sizes of intersection and union.
+#: The sets (doc, rid, toks) of some texts (doc, rid), of which there are so many, and a function to call once they were read.
+SetsOf = Callable[[DataFrame, int], tuple[DataFrame, Callable[[], None]]]
+
 
-    Only sets that are in a pair are shuffled, as long as their names may be broadcast.
+def _distances(pairs: DataFrame, sets_of: SetsOf) -> DataFrame:
+    """``x``, ``y`` (structs doc, rid), ``shared`` and ``both``: sizes of intersection and union. Stored.
+
+    Only sets that are in a pair are made.
     """
-    node = F.struct("doc", "rid")
     pairs = stored(pairs, "pairs")
     named = pairs.select("x.doc", "x.rid").unionByName(pairs.select("y.doc", "y.rid")).distinct()
     named = stored(named, "named")
-    if named.count() <= broadcast_rows:
-        sets = sets.join(F.broadcast(named), ["doc", "rid"], "left_semi")
-    left = sets.select(node.alias("x"), F.col("toks").alias("xt"))
-    right = sets.select(node.alias("y"), F.col("toks").alias("yt"))
+    sets, release = sets_of(named, named.count())
     shared = F.size(F.array_intersect("xt", "yt"))
-    joined = pairs.join(left, "x").join(right, "y")
-    return joined.select("x", "y", shared.alias("shared"), (F.size("xt") + F.size("yt") - shared).alias("both"))
+    # both joins read the sets by doc and rid, so that they are shuffled once
+    joined = pairs.select("x", "y", "x.doc", "x.rid").join(sets, ["doc", "rid"])
+    joined = joined.select("x", "y", F.col("toks").alias("xt"), "y.doc", "y.rid").join(sets, ["doc", "rid"])
+    joined = joined.withColumnRenamed("toks", "yt")
+    both = F.size("xt") + F.size("yt") - shared
+    known = stored(joined.select("x", "y", shared.alias("shared"), both.alias("both")), "distances")
+    release()
+    return known
 
 
 def _open_regions(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -215,7 +354,7 @@ def _links(known: DataFrame, percent: int) -> DataFrame:
     return found.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
 
 
-def _first_links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _first_links(sets_of: SetsOf, members: DataFrame, percent: int) -> DataFrame:
     """Components by the links of every region's least member with the others."""
     heads = members.groupBy("region").agg(
         F.min(F.struct("doc", "rid", "n", "at")).alias("head"), F.count("*").alias("size")
@@ -224,20 +363,20 @@ def _first_links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame
     x, y = F.struct("doc", "rid"), F.struct("head.doc", "head.rid")
     pairs = pairs.filter((x != y) & _may_link(percent, *map(F.col, ("n", "at", "head.n", "head.at"))))
     pairs = pairs.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
-    return connected_components(_links(_distances(pairs, sets), percent))
+    return connected_components(_links(_distances(pairs, sets_of), percent))
 
 
-def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75, leaf: int = 1 << 18) -> DataFrame:
+def near_duplicate_links(sets_of: SetsOf, members: DataFrame, percent: int = 75, leaf: int = 1 << 18) -> DataFrame:
     """``node`` and ``component`` (doc_ids) of all documents that link with another.
 
-    ``sets`` has one row for each distinct set: doc, rid, toks. ``members`` has region,
+    ``sets_of`` gives one row for each set that is asked for: doc, rid, toks. ``members`` has region,
     doc, rid, the set's size ``n`` and the place ``at`` of the region's shingle in the set's
     order, so that any two sets that link share a region. A region with at most
     ``leaf`` open pairs compares those with room for a link; larger ones take 16, 256 and so on pivots.
     """
     far, hair = 1 - percent / 100, 1e-9  # fractions are rounded: a hair of slack lets more through, never less
     node = F.struct("doc", "rid")
-    labels, pivots = _first_links(sets, members, percent), 16
+    labels, pivots = _first_links(sets_of, members, percent), 16
     while True:
         placed = stored(_open_regions(members, labels), "regions")
         if placed.isEmpty():
@@ -257,7 +396,7 @@ def near_duplicate_links(sets: DataFrame, members: DataFrame, percent: int = 75,
         measured = large.join(chosen, "region").filter(F.col("x") != F.col("y"))
         wanted = leaves.select("x", "y").unionByName(measured.select("x", "y"))
         wanted = wanted.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        known = stored(_distances(wanted, sets), "distances")
+        known = _distances(wanted, sets_of)
         labels = connected_components(_links(known, percent).unionByName(labels.toDF("a", "b")))
 
         distance = known.select("x", "y", (1 - F.col("shared") / F.col("both")).alias("d"))
@@ -296,14 +435,27 @@ def near_duplicates(
 
     point = ["f1", "f2", "n"]
     named = sets.filter((F.col("n") > 0) & (F.col("doc") != LAST))
-    classes = named.groupBy(*point).agg(F.min(F.struct("doc", "rid")).alias("first"))
-    firsts = classes.select("first.doc", "first.rid")
-    points = named.filter(F.col("toks").isNotNull()).select("doc", "rid", "toks")
-    points = stored(points.join(firsts, ["doc", "rid"], "left_semi").dropDuplicates(["doc", "rid"]), "points")
-
-    members = stored(points.mapInArrow(_regions(percent, seen), _MEMBERS), "members")
+    classes = named.groupBy(*point).agg(F.min(F.struct("doc", "rid")).alias("first"), F.max("may").alias("may"))
+    points = stored(classes.filter("may").select("first.doc", "first.rid", "n"), "points")
+    n_points, shingles = points.select(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    # whole rows that repeat are one text
+    repeated = not named.groupBy("doc", "rid").count().filter("count > 1").isEmpty()
+
+    chosen = _bit_map(points, n_points)
+    blocks = 1 << max(4, (shingles // 4 // _GATHERED).bit_length())
+    placed = texts.filter(F.col("doc") != LAST).mapInArrow(_prefixes(width, percent, seen, chosen, blocks), _PLACED)
+    placed = placed.repartition("block").sortWithinPartitions("block")
+    members = placed.mapInArrow(_members(), _MEMBERS)
+    members = stored(members.dropDuplicates(["region", "doc", "rid"]) if repeated else members, "members")
     seen.release()
-    labels = near_duplicate_links(points, members, percent, leaf)
+    chosen.release()
+
+    def sets_of(wanted: DataFrame, rows: int) -> tuple[DataFrame, Callable[[], None]]:
+        names = _bit_map(wanted, rows)
+        found = texts.mapInArrow(_shingles_of(width, names), _SHINGLES)
+        return found.dropDuplicates(["doc", "rid"]) if repeated else found, names.release
+
+    labels = near_duplicate_links(sets_of, members, percent, leaf)
 
     several = named.groupBy("doc").agg(F.min("f1").alias("low"), F.max("f1").alias("high"))
     several = named.join(several.filter(F.col("low") < F.col("high")), "doc", "left_semi")

@@ -5,11 +5,15 @@ from __future__ import annotations
 import random
 import string
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from tables import ODD, documents
 
+from lustra.llm import jaccard_regions
 from lustra.llm.components import connected_components
 from lustra.llm.jaccard_regions import _with_partner, near_duplicates, one_of_each_group
+from lustra.llm.stored import stored
 
 SF = "/root/testdata/sf0.001/documents.parquet"
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
@@ -139,3 +143,68 @@ def test_components(spark, seed):
     links = spark.createDataFrame([*pairs, (None, 3)], "a long, b long")
     out = {r.node: r.component for r in connected_components(links).collect()}
     assert out == {x: root(x) for x in linked}
+
+
+def unlike(count, words=300):
+    draw = random.Random(5)
+    return [" ".join("".join(draw.choices("abcdefgh", k=4)) for _ in range(words)) for _ in range(count)]
+
+
+def test_a_full_sketch_keeps_rows_few(spark, monkeypatch):
+    """Where the sketch shows every shingle as seen twice, neither whole sets nor shingles of one text alone are stored."""
+    kept = {}
+
+    def storing(df, purpose):
+        now = stored(df, purpose)
+        kept.setdefault(purpose, now)
+        return now
+
+    monkeypatch.setattr(jaccard_regions, "stored", storing)
+    rows = [*families(4, [1, 2, 8], 2), *enumerate(unlike(400), 100)]
+    out = found(near_duplicates(documents(spark, rows).repartition(4), largest_width=1 << 16))
+    assert [x for x in out if x[0] < 100] == expected(rows[:11])
+    assert all(x[0] == x[2] for x in out if x[0] >= 100) and len(out) == len(rows)
+    assert not [p for p, df in kept.items() if "toks" in df.columns]
+    assert kept["members"].groupBy("region").count().filter("count < 2").isEmpty()
+    assert not kept["members"].isEmpty()
+
+
+class All:
+    """A full sketch."""
+
+    def twice(self, values):
+        return np.ones(len(values), bool)
+
+    def level(self, values):
+        return np.zeros(len(values), np.uint8)
+
+
+@pytest.mark.parametrize("gathered, blocks", [(1 << 19, 16), (40, 16), (200, 64)])
+def test_members_are_what_two_texts_share(monkeypatch, gathered, blocks):
+    """However a task's rows are cut into portions, and whether a task or a block's owner meets a shingle twice."""
+    monkeypatch.setattr(jaccard_regions, "_GATHERED", gathered)
+    rows = [*families(6, [1, 2, 3, 12], 3), (18, ""), (19, None)]
+    sets, members = {}, {}
+    placed = []
+    for part in (rows[:7], rows[7:]):
+        doc, text = zip(*part)
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(doc, pa.int64()), pa.array([0] * len(doc), pa.int64()), pa.array(text)], names=["doc", "rid", "text"]
+        )
+        for b in jaccard_regions._shingles_of(5, All())(iter([batch])):
+            sets |= dict(zip(b.column("doc").to_pylist(), b.column("toks").to_pylist()))
+        placed += jaccard_regions._prefixes(5, 75, All(), All(), blocks)(iter([batch]))
+    for doc, toks in sets.items():
+        order = sorted(toks, key=lambda x: x % 2**64)[: len(toks) - (75 * len(toks) + 99) // 100 + 1 if toks else 0]
+        for at, region in enumerate(order):
+            members.setdefault(region, []).append((region, doc, 0, len(toks), at))
+    met = pa.Table.from_batches(placed).sort_by("block").to_batches(max_chunksize=5)
+    out = [r for b in jaccard_regions._members()(iter(met)) for r in zip(*(c.to_pylist() for c in b.columns))]
+    assert sorted(out) == sorted(r for group in members.values() if len(group) > 1 for r in group)
+    assert out and len(out) < sum(map(len, members.values()))
+
+
+def test_whole_rows_that_repeat_are_one_text(spark):
+    rows = [(i, t) for i, t in families(8, [3, 3, 9], 2)]
+    rows += [rows[0], rows[0], rows[5], (4, rows[9][1]), (4, rows[9][1])]
+    assert found(near_duplicates(documents(spark, rows).repartition(3))) == expected(rows)
