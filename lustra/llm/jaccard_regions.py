@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lustra.llm.components import connected_components
-from lustra.llm.memory import returning
+from lustra.llm.memory import returning, settle
 from lustra.llm.repeats import LAST, id_of, keyed, repeats_ids
 from lustra.llm.sketch import Seen, seen_twice, sketch_width
 from lustra.llm.stored import stored
@@ -294,6 +294,7 @@ def _distances(pairs: DataFrame, sets_of: SetsOf) -> DataFrame:
     both = F.size("xt") + F.size("yt") - shared
     known = stored(joined.select("x", "y", shared.alias("shared"), both.alias("both")), "distances")
     release()
+    settle(known.sparkSession)
     return known
 
 
@@ -411,6 +412,7 @@ def near_duplicate_links(sets_of: SetsOf, members: DataFrame, percent: int = 75,
         members = left.join(highest.join(outer, ["region", "y"]), ["region", "y"]).filter(within)
         region = F.xxhash64("region", "y", F.lit(pivots)).alias("region")
         members = stored(members.select(region, "x.doc", "x.rid", "n", "at"), "members")
+        settle(members.sparkSession)
         pivots *= 16
 
 
@@ -449,6 +451,7 @@ def near_duplicates(
     members = stored(members.dropDuplicates(["region", "doc", "rid"]) if repeated else members, "members")
     seen.release()
     chosen.release()
+    settle(documents.sparkSession)
 
     def sets_of(wanted: DataFrame, rows: int) -> tuple[DataFrame, Callable[[], None]]:
         names = _bit_map(wanted, rows)
@@ -480,6 +483,7 @@ def one_of_each_group(documents: DataFrame, width: int = 5, percent: int = 75, b
     """
     found = near_duplicates(documents, width, percent)
     extra = stored(found.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct(), "copies")
+    settle(documents.sparkSession)
     if extra.count() <= broadcast_rows:
         extra = F.broadcast(extra)
     kept = documents.join(extra, "doc_id", "left_anti").select(*documents.columns)

@@ -1,14 +1,16 @@
-"""What Python workers and the executors that feed them hold beside Spark's heap.
+"""What Python workers, the executors that feed them and the driver hold beside what they need.
 
 Spark keeps its workers for later tasks, and the allocators of C and Arrow keep what
 was freed: a worker that took 250 MB for some arrays would hold most of it, unused, while
 the executor's JVM joins and sorts. The JVM's own buffers of rows for the workers are kept
-likewise, so rows go over a megabyte at a time.
+likewise, so rows go over a megabyte at a time. The driver's heap grows with the plans, task
+reports and results of many small jobs, until something collects them.
 """
 
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from functools import wraps
 
@@ -37,6 +39,13 @@ def give_back() -> None:
         trim(0)
 
 
+def settle(spark: SparkSession) -> None:
+    """Have the driver collect what is done: its heap shrinks, and Spark removes shuffles and broadcasts nothing refers to."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark.sparkContext._jvm.System.gc()
+
+
 def returning(of: Callable[[Batches], Batches], forget: Callable[[], None] | None = None) -> Callable[[Batches], Batches]:
     """``of``, for ``mapInArrow`` and by its name; at a partition's end the worker calls ``forget`` and gives memory back.
 

@@ -18,13 +18,16 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lustra.llm.memory import returning
+from lustra.llm.memory import returning, settle
+from lustra.llm.stored import stored
 
 U64 = np.uint64
 _BLOCK = 1 << 16
 _FLUSH = 1 << 20
 _ROWS = "block long, cells binary, twice binary"
 _GROUP = 32
+#: Blocks of a merged sketch that go to the driver at once: 5 MB with levels, 4 without.
+_AT_ONCE = 1 << 9
 
 
 def sketch_width(values: int, load: float = 0.5, largest: int = 1 << 28) -> int:
@@ -147,7 +150,9 @@ def seen_twice(sources: list[tuple[DataFrame, Values]], width: int, depth: int =
 
     Sketches travel sparse (two bytes a cell), by block, and one task merges a
     block at a time. The driver holds one bit a cell: 32 MB for the widest row. With ``levels``
-    (one row of cells only) it also holds a byte for ``_GROUP`` cells.
+    (one row of cells only) it also holds a byte for ``_GROUP`` cells. It reads a sketch of many
+    blocks from the shared folder in portions, as it would else hold it in Spark's results,
+    their buffers and Arrow at once besides.
     """
 
     def sketched(values_of: Values):
@@ -177,12 +182,21 @@ def seen_twice(sources: list[tuple[DataFrame, Values]], width: int, depth: int =
         merged = merged.mapInArrow(_merged, "block long, bits binary")
     table = np.zeros(width * depth // 8, np.uint8)
     ranks = np.zeros(width // _GROUP if levels else 0, np.uint8)
-    for batch in merged.toArrow().to_batches():
+    last = width * depth // _BLOCK
+    portions = [merged]
+    if last > _AT_ONCE:
+        merged = stored(merged, "sketch")
+        portions = [merged.filter(F.col("block").between(a, a + _AT_ONCE - 1)) for a in range(0, last, _AT_ONCE)]
+    for batch in (batch for portion in portions for batch in portion.toArrow().to_batches()):
         blocks = batch.column("block").to_numpy()
         bits = np.frombuffer(batch.column("bits").buffers()[2], np.uint8)[: len(blocks) * _BLOCK // 8]
         table.reshape(-1, _BLOCK // 8)[blocks] = bits.reshape(-1, _BLOCK // 8)
         if levels:
             own = np.frombuffer(b"".join(batch.column("levels").to_pylist()), np.uint8)
             ranks.reshape(-1, _BLOCK // _GROUP)[blocks] = own.reshape(-1, _BLOCK // _GROUP)
-    context = sources[0][0].sparkSession.sparkContext
-    return Seen(context.broadcast(table), width, depth, context.broadcast(ranks) if levels else None)
+    session = sources[0][0].sparkSession
+    bits, ranks = (session.sparkContext.broadcast(x) if len(x) else None for x in (table, ranks))
+    if last > _AT_ONCE:
+        del table
+        settle(session)
+    return Seen(bits, width, depth, ranks)

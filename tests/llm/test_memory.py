@@ -16,6 +16,7 @@ from lustra.llm.jaccard_regions import _sets, _shingles
 from lustra.llm.memory import BATCH_BYTES, returning, small_batches
 from lustra.llm.queries import PIECES, VOCABULARIES
 from lustra.llm.repeats import Texts, byte_symbols, word_symbols
+from lustra.llm.sketch import seen_twice
 
 
 def test_tables_go_with_the_partition():
@@ -166,3 +167,32 @@ def test_pipeline_hands_rows_over_in_small_batches(spark):
         assert spark.conf.get(BATCH_BYTES) == "100k"
     finally:
         spark.conf.unset(BATCH_BYTES)
+
+
+@pytest.mark.parametrize("levels", [False, True])
+def test_the_driver_reads_a_wide_sketch_in_portions(spark, monkeypatch, levels):
+    """8 or 10 MB of bits and levels would be in Spark's results, their buffers and Arrow at once."""
+    kind = type(spark.range(1))
+    sizes, whole = [], kind.toArrow
+
+    def measured(df):
+        table = whole(df)
+        sizes.append(table.nbytes)
+        return table
+
+    monkeypatch.setattr(kind, "toArrow", measured)
+
+    def values(batches):
+        for batch in batches:
+            yield symbols.mixed(batch.column("id").to_numpy().astype(np.uint64) // np.uint64(2))
+
+    ids = spark.range(0, 40_000, 1, 4).filter("id < 30000 OR id % 2 = 0")
+    seen = seen_twice([(ids, values)], 1 << 26, levels=levels)
+    assert 0 < max(sizes) < 6 << 20 and sum(sizes) > 6 << 20
+    twice = seen.twice(symbols.mixed(np.arange(20_000, dtype=np.uint64)))
+    assert twice[:15_000].all() and not twice[15_000:].all()
+    assert not levels or seen.level(symbols.mixed(np.arange(15_000, dtype=np.uint64))).all()
+    nothing = seen_twice([(ids.filter("id < 0"), values)], 1 << 26)
+    assert not nothing.twice(np.arange(9, dtype=np.uint64)).any()
+    for sketch in (seen, nothing):
+        sketch.release()
